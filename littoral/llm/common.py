@@ -60,3 +60,16 @@ def mix64(x: np.ndarray) -> np.ndarray:
     x *= np.uint64(0x94D049BB133111EB)
     x ^= x >> np.uint64(31)
     return x
+
+
+def literal(one_row: DataFrame) -> Column:
+    """The only value of a frame as a compact literal; its size must be bounded."""
+    jvm, jdf = one_row.sparkSession._jvm, one_row._jdf
+    value = jdf.queryExecution().executedPlan().executeCollect()[0].getArray(0)
+    expression = jvm.org.apache.spark.sql.catalyst.expressions.Literal(value, jdf.schema().apply(0).dataType())
+    return Column(jvm.org.apache.spark.sql.classic.ExpressionUtils.column(expression))
+
+
+def bucket(key: Column, buckets: int) -> Column:
+    """The one-based hash bucket of a key; xxhash with seed 42 gives the same outside Spark."""
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int") + 1

@@ -1,11 +1,21 @@
-"""Queries of the training-data operators, one for each."""
+"""Queries of the training-data operators, one for each.
+
+No SQL is given: it cannot express the chosen documents of a mix, cuts, models and merges, or
+would be too slow on whole tables; the tests hold each query against a brute-force version.
+"""
 
 from __future__ import annotations
 
+from littoral.llm.bpe import op10_bpe
+from littoral.llm.embeddings import op5_embeddings
+from littoral.llm.html import op8_html
+from littoral.llm.jaccard import op7_jaccard
+from littoral.llm.language import op9_language
+from littoral.llm.lm import op4_lm
 from littoral.llm.media import op6_media
 from littoral.llm.mixing import op1_mix
 from littoral.llm.secrets import op3_secrets
 from littoral.llm.sharding import op2_shard
 
-QUERIES = {f.__name__: f for f in (op1_mix, op2_shard, op3_secrets, op6_media)}
+QUERIES = {f.__name__: f for f in (op1_mix, op2_shard, op3_secrets, op4_lm, op5_embeddings, op6_media, op7_jaccard, op8_html, op9_language, op10_bpe)}
 ORACLE_SQL: dict[str, str] = {}
