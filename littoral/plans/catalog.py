@@ -1,6 +1,8 @@
-"""Registered queries of the engine's own operators and their SQL equivalents."""
+"""All registered queries of the engine's own operators."""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE_SQL: dict[str, str] = {}
+from littoral.plans import rates, relational  # noqa: F401  importing registers
+from littoral.plans.registry import ORACLE_SQL, QUERIES
+
+__all__ = ["ORACLE_SQL", "QUERIES"]
