@@ -59,7 +59,7 @@ def web_address(c: Column) -> Column:
 
 def slug(*parts: Column, limit: int = 120) -> Column:
     dashed = F.regexp_replace(F.lower(F.concat_ws("-", *parts)), "[^a-z0-9]+", "-")
-    return F.left(F.trim(F.lit("-"), dashed), F.lit(limit))
+    return F.left(F.trim(dashed, F.lit("-")), F.lit(limit))
 
 
 def replace_word(c: Column, wrong: str, right: str) -> Column:

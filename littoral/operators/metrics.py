@@ -15,15 +15,15 @@ def _by_score(rows: DataFrame, score: str, label: str, keys: list[str]) -> DataF
     per = rows.where(F.col(score).isNotNull() & F.col(label).isNotNull()).groupBy(*keys, F.col(score).alias("_s")).agg(F.sum(y).alias("_p"), F.sum(1 - y).alias("_n"))
     up = Window.partitionBy(*keys).orderBy(F.desc("_s")).rowsBetween(Window.unboundedPreceding, 0)
     whole = Window.partitionBy(*keys)
-    return per.withColumns({"_tp": F.sum("_p").over(up), "_fp": F.sum("_n").over(up), "_P": F.sum("_p").over(whole), "_N": F.sum("_n").over(whole)})
+    return per.withColumns({"_tp": F.sum("_p").over(up), "_fp": F.sum("_n").over(up), "_all_p": F.sum("_p").over(whole), "_all_n": F.sum("_n").over(whole)})
 
 
 def ranking(rows: DataFrame, score: str, label: str, keys: list[str] = ()) -> DataFrame:
     """AUROC (ties count half) and average precision, per key; null where a class is missing."""
     per = _by_score(rows, score, label, list(keys))
-    wins = F.sum(F.col("_p") * (F.col("_N") - F.col("_fp") + F.col("_n") / 2))
+    wins = F.sum(F.col("_p") * (F.col("_all_n") - F.col("_fp") + F.col("_n") / 2))
     precision = F.sum(F.col("_p") * F.col("_tp") / (F.col("_tp") + F.col("_fp")))
-    pos, neg = F.max("_P"), F.max("_N")
+    pos, neg = F.max("_all_p"), F.max("_all_n")
     aggs = [(pos + neg).cast("long").alias("n"), pos.cast("long").alias("positives"), F.when((pos > 0) & (neg > 0), wins / (pos * neg)).alias("auroc"), F.when(pos > 0, precision / pos).alias("average_precision")]
     return per.groupBy(*keys).agg(*aggs) if keys else per.agg(*aggs)
 
@@ -49,14 +49,14 @@ def within_group_auroc(rows: DataFrame, score: str, label: str, key: str, least:
 def sensitivity_at(rows: DataFrame, score: str, label: str, specificity: float = 0.87) -> DataFrame:
     """The highest sensitivity at a specificity of at least the wanted one."""
     per = _by_score(rows, score, label, [])
-    ok = 1 - F.col("_fp") / F.col("_N") >= specificity
-    return per.agg(F.coalesce(F.max(F.when(ok, F.col("_tp") / F.col("_P"))), F.lit(0.0)).alias("sensitivity"))
+    ok = 1 - F.col("_fp") / F.col("_all_n") >= specificity
+    return per.agg(F.coalesce(F.max(F.when(ok, F.col("_tp") / F.col("_all_p"))), F.lit(0.0)).alias("sensitivity"))
 
 
 def precision_at(rows: DataFrame, score: str, label: str, recall: float = 0.8) -> DataFrame:
     """E5: the highest precision at a recall of at least the wanted one."""
     per = _by_score(rows, score, label, [])
-    return per.agg(F.max(F.when(F.col("_tp") >= recall * F.col("_P"), F.col("_tp") / (F.col("_tp") + F.col("_fp")))).alias("precision"))
+    return per.agg(F.max(F.when(F.col("_tp") >= recall * F.col("_all_p"), F.col("_tp") / (F.col("_tp") + F.col("_fp")))).alias("precision"))
 
 
 def reliability(rows: DataFrame, score: str, label: str, edges: list[float] | None = None, bins: int = 10) -> DataFrame:

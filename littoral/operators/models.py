@@ -77,8 +77,8 @@ def blocked_split(rows: DataFrame, day: str, shares: tuple[float, float] = (0.70
 def leave_one_group_out(rows: DataFrame, group: str, label: str, k: float = 5.0) -> DataFrame:
     """The rate of all other groups, for each group, from one pass of sums."""
     per = rows.groupBy(group).agg(F.count(F.lit(1)).alias("n"), F.sum(F.col(label).cast("long")).alias("pos"))
-    whole = per.agg(F.sum("n").alias("N"), F.sum("pos").alias("P"))
-    return per.join(F.broadcast(whole)).select(group, "n", "pos", ((F.col("P") - F.col("pos") + k * 0.5) / (F.col("N") - F.col("n") + k)).alias("held_out_rate"))
+    whole = per.agg(F.sum("n").alias("_all"), F.sum("pos").alias("_hits"))
+    return per.join(F.broadcast(whole)).select(group, "n", "pos", ((F.col("_hits") - F.col("pos") + k * 0.5) / (F.col("_all") - F.col("n") + k)).alias("held_out_rate"))
 
 
 def stratified_part(rows: DataFrame, strata: list[str], tie: str, share: float = 0.2, seed: int = 3) -> DataFrame:

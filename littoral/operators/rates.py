@@ -71,9 +71,9 @@ def beta_interval(pos: pd.Series, n: pd.Series, g: pd.Series, k: pd.Series) -> p
 def hierarchical_rate(rows: DataFrame, outer: str, inner: str, hit: str, k_outer: float = 20.0, k_inner: float = 5.0) -> DataFrame:
     """Inner groups shrink to their outer group, which shrinks to the whole."""
     per = rows.groupBy(outer, inner).agg(F.count(F.lit(1)).alias("n"), F.sum(F.col(hit).cast("long")).alias("pos"))
-    top = per.groupBy(outer).agg(F.sum("n").alias("N"), F.sum("pos").alias("P"))
-    whole = top.agg((F.sum("P") / F.sum("N")).alias("g"))  # one row
-    top = top.join(F.broadcast(whole)).withColumn("outer_rate", (F.col("P") + k_outer * F.col("g")) / (F.col("N") + k_outer))
+    top = per.groupBy(outer).agg(F.sum("n").alias("_all"), F.sum("pos").alias("_hits"))
+    whole = top.agg((F.sum("_hits") / F.sum("_all")).alias("g"))  # one row
+    top = top.join(F.broadcast(whole)).withColumn("outer_rate", (F.col("_hits") + k_outer * F.col("g")) / (F.col("_all") + k_outer))
     return per.join(top.select(outer, "outer_rate", "g"), outer).withColumn("rate", (F.col("pos") + k_inner * F.col("outer_rate")) / (F.col("n") + k_inner))
 
 
