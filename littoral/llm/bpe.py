@@ -1,8 +1,8 @@
 """Byte-level BPE encoding and decoding by Spark's higher-order functions.
 
-A word (one match of the splitting pattern) is an array of bytes, written as hex pairs. A fold
-over it merges the leftmost pair of lowest rank, step by step; ranks come from a literal map
-in hash buckets, so a look-up costs the same at any size. Distinct words are counted over the
+A word (one match of the splitting pattern) is an array of bytes. A fold over it merges the
+leftmost pair of lowest rank, step by step; ranks come from a literal map in hash buckets, so
+a look-up costs the same at any size. Distinct words are counted over the
 whole corpus; those above a count, at most ``cache_words``, are folded once and stand in a
 second literal, and any other word is folded where it occurs. Texts never move between tasks.
 Decoding joins the byte pieces of the ids.
@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import base64
 import heapq
+from functools import lru_cache
 
 import pandas as pd
 import xxhash
@@ -29,7 +30,8 @@ from littoral.llm.common import Scratch, bucket, documents, literal
 
 CACHE_WORDS = 1 << 19
 LONG = 200
-NONE = 1 << 40
+#: No such pair; above all ranks.
+NONE = (1 << 31) - 1
 #: White space as the tokenizer's own regular expressions define it (Unicode's property).
 SPACE = r"\t-\r \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
 
@@ -50,50 +52,84 @@ def default_tokenizer() -> tuple[str, str]:
     return public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
 
 
+class Vocabulary:
+    """Ranks of a file, the pairs of ids that merge, and the pieces that merging does not reach."""
+
+    def __init__(self, path: str):
+        self.ranks = load_ranks(path)
+        self.pairs: dict[int, int] = {}
+        for piece, rank in self.ranks.items():
+            for at in range(1, len(piece)):
+                left, right = self.ranks.get(piece[:at]), self.ranks.get(piece[at:])
+                if left is not None and right is not None:
+                    self.pairs[left << 20 | right] = rank
+        self.apart = {piece: rank for piece, rank in self.ranks.items() if len(_merge_long(piece, self.ranks, False)) > 1}
+
+    @staticmethod
+    @lru_cache(2)
+    def of(path: str) -> Vocabulary:
+        return Vocabulary(path)
+
+
 class Codec:
     """Column expressions over the literals of one vocabulary."""
 
     def __init__(self, spark: SparkSession, path: str, pattern: str):
-        self.spark, self.pattern, self.table = spark, java_pattern(pattern), load_ranks(path)
-        self.buckets = 1 << max(8, len(self.table).bit_length())
-        maps: list[dict[str, int]] = [{} for _ in range(self.buckets)]
-        for piece, rank in self.table.items():
-            key = piece.hex().upper()
-            maps[xxhash.xxh64_intdigest(key, 42) % self.buckets][key] = rank
-        self.ranks = literal(spark.createDataFrame([(maps,)], "v array<map<string,int>>"))
-        size = max(self.table.values()) + 1
-        pieces = [""] * size
-        for piece, rank in self.table.items():
+        self.spark, self.pattern, self.vocabulary = spark, java_pattern(pattern), Vocabulary.of(path)
+        ranks, pairs = self.vocabulary.ranks, self.vocabulary.pairs
+        self.buckets = 1 << max(8, len(pairs).bit_length() - 1)
+        maps: list[dict[int, int]] = [{} for _ in range(self.buckets)]
+        for key, rank in pairs.items():
+            maps[xxhash.xxh64_intdigest(key.to_bytes(8, "little"), 42) % self.buckets][key] = rank
+        self.merges = literal(spark.createDataFrame([(maps,)], "v array<map<bigint,int>>"))
+        self.bytes = literal(spark.createDataFrame([([ranks.get(bytes([i]), 0) for i in range(256)],)], "v array<int>"))
+        self.size = max(ranks.values()) + 1
+        pieces = [""] * self.size
+        for piece, rank in ranks.items():
             pieces[rank] = piece.hex()
         self.pieces = literal(spark.createDataFrame([(pieces,)], "v array<string>"))
-        self.little = literal(spark.createDataFrame([([i.to_bytes(4, "little").hex() for i in range(size)],)], "v array<string>"))
-        self.size = size
+        self.little = literal(spark.createDataFrame([([i.to_bytes(4, "little").hex() for i in range(self.size)],)], "v array<string>"))
 
-    def rank(self, key: Column) -> Column:
-        return F.element_at(F.element_at(self.ranks, bucket(key, self.buckets)), key)
+    def rank(self, left: Column, right: Column) -> Column:
+        """The rank (and id) of the piece that two ids merge to, or NONE."""
+        key = F.shiftleft(left.cast("long"), 20).bitwiseOR(right.cast("long"))
+        return F.coalesce(F.element_at(F.get(self.merges, bucket(key, self.buckets)), key), F.lit(NONE))
 
     def words(self, text: Column) -> Column:
         return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(self.pattern), F.lit(0))
 
     def fold(self, word: Column) -> Column:
-        """The ids of one word."""
-
-        def step(parts: Column, _: Column) -> Column:
-            def code(i: Column) -> Column:  # rank first, then place: the least is the leftmost pair of lowest rank
-                return F.coalesce(self.rank(F.concat(parts[i - 1], parts[i])).cast("long"), F.lit(NONE)) * (1 << 20) + i
-
-            def merge(best: Column) -> Column:
-                at = F.pmod(best, F.lit(1 << 20)).cast("int")
-                merged = F.concat(F.slice(parts, 1, at - 1), F.array(F.concat(parts[at - 1], parts[at])), F.slice(parts, at + 2, F.size(parts)))
-                return F.when(best >= NONE << 20, parts).otherwise(merged)
-
-            best = F.array_min(F.transform(F.sequence(F.lit(1), F.size(parts) - 1), code))
-            return F.when(F.size(parts) < 2, parts).otherwise(F.element_at(F.transform(F.array(best), merge), 1))
-
-        start = F.regexp_extract_all(F.hex(word), F.lit(".."), F.lit(0))
-        parts = F.aggregate(F.sequence(F.lit(1), F.octet_length(word)), start, step)
-        whole = self.rank(F.hex(word))
-        return F.when(whole.isNotNull(), F.array(whole)).otherwise(F.transform(parts, self.rank))
+        """The ids of one word: a fold that keeps the ids and the ranks of neighbours, and merges the leftmost pair of lowest rank."""
+
+        def step(state: Column, _: Column) -> Column:
+            ids, ranks = state["ids"], state["ranks"]
+
+            def merge(found: Column) -> Column:
+                best, at = found["best"], found["at"]
+                none = F.array().cast("array<int>")
+                before = F.when(at > 1, F.array(self.rank(F.get(ids, at - 2), best))).otherwise(none)
+                after = F.when(at < F.size(ranks), F.array(self.rank(best, F.get(ids, at + 1)))).otherwise(none)
+                return F.struct(  # flatten copies blocks, where concat would build its list lazily
+                    F.flatten(F.array(F.slice(ids, 1, at - 1), F.array(best), F.slice(ids, at + 2, F.size(ids)))).alias("ids"),
+                    F.flatten(F.array(F.slice(ranks, 1, F.greatest(at - 2, F.lit(0))), before, after, F.slice(ranks, at + 2, F.size(ranks)))).alias("ranks"),
+                )
+
+            best = F.array_min(ranks)
+            found = F.array(F.struct(best.alias("best"), F.array_position(ranks, best).cast("int").alias("at")))
+            return F.when(F.coalesce(best, F.lit(NONE)) == NONE, state).otherwise(F.element_at(F.transform(found, merge), 1))
+
+        letters = F.split(F.decode(F.encode(word, "UTF-8"), "ISO-8859-1"), "")
+        ids = F.transform(F.filter(letters, lambda c: c != ""), lambda c: F.get(self.bytes, F.ascii(c)))
+
+        def start(ids: Column) -> Column:
+            ranks = F.when(F.size(ids) > 1, F.transform(F.sequence(F.lit(1), F.size(ids) - 1), lambda i: self.rank(F.get(ids, i - 1), F.get(ids, i)))).otherwise(F.array().cast("array<int>"))
+            first = F.struct(ids.alias("ids"), ranks.alias("ranks"))
+            return F.aggregate(ranks, first, step, lambda state: state["ids"])
+
+        folded = F.element_at(F.transform(F.array(ids), start), 1)
+        for piece, rank in self.vocabulary.apart.items():
+            folded = F.when(word.cast("binary") == F.lit(bytearray(piece)), F.array(F.lit(rank))).otherwise(folded)
+        return folded
 
     def cache(self, counts: DataFrame, words: int, scratch: Scratch) -> Column | None:
         """A literal of the ids of the most frequent words: all above one count, ``words`` at most."""
@@ -107,18 +143,17 @@ class Codec:
             return None
         buckets = 1 << max(4, (words - left).bit_length())
         own = counts.where(grade >= least).select("w", self.fold(F.col("w")).alias("ids"))
-        filled = own.groupBy((bucket(F.col("w"), buckets)).alias("b")).agg(F.collect_list(F.struct("w", "ids")).alias("e"))
-        every = self.spark.range(1, buckets + 1, 1, 1).select(F.col("id").cast("int").alias("b"))
+        filled = own.groupBy(bucket(F.col("w"), buckets).alias("b")).agg(F.collect_list(F.struct("w", "ids")).alias("e"))
+        every = self.spark.range(0, buckets, 1, 1).select(F.col("id").cast("int").alias("b"))
         filled = scratch.save(every.join(filled, "b", "left"), "cache")
         one = filled.groupBy().agg(F.array_sort(F.collect_list(F.struct("b", F.coalesce("e", F.expr("cast(array() as array<struct<w:string,ids:array<int>>>)")).alias("e")))).alias("v"))
         self.cache_buckets = buckets
         return literal(one.select(F.transform("v", lambda x: F.map_from_entries(x["e"])).alias("v")))
 
 
-def _merge_long(word: str, ranks: dict[bytes, int]) -> list[int]:
+def _merge_long(raw: bytes, ranks: dict[bytes, int], whole: bool = True) -> list[int]:
     """Merges by rank, leftmost first, with a heap over a linked list of pieces."""
-    raw = word.encode()
-    if raw in ranks:
+    if whole and raw in ranks:
         return [ranks[raw]]
     start, after, before = list(range(len(raw))), list(range(1, len(raw) + 1)), list(range(-1, len(raw) - 1))
     end = [i + 1 for i in start]
@@ -153,23 +188,29 @@ def encode(docs: DataFrame, path: str | None = None, pattern: str | None = None,
     scratch = Scratch(spark, "bpe")
     column = F.col(text)
     has_long = F.coalesce(column.rlike(rf"[^{SPACE}]{{{LONG},}}|[{SPACE}]{{{LONG},}}"), F.lit(False))
-    occurring = docs.select(F.explode(codec.words(column)).alias("w")).where(F.length("w") <= LONG)
-    counts = scratch.save(occurring.groupBy("w").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "counts")
+    # long words are counted together, under null
+    occurring = docs.select(F.explode(codec.words(column)).alias("w")).select(F.when(F.length("w") <= LONG, F.col("w")).alias("w"))
+    counts = scratch.save(occurring.groupBy("w").agg(F.count(F.lit(1)).alias("n")).where("n > 1 or w is null"), "counts")
+    any_long = not counts.where("w is null").isEmpty()
+    counts = counts.where("w is not null")
     cached = codec.cache(counts, cache_words, scratch)
 
     def ids(word: Column) -> Column:
         if cached is None:
             return codec.fold(word)
-        return F.coalesce(F.element_at(F.element_at(cached, bucket(word, codec.cache_buckets)), word), codec.fold(word))
+        return F.coalesce(F.element_at(F.get(cached, bucket(word, codec.cache_buckets)), word), codec.fold(word))
 
-    ranks = spark.sparkContext.broadcast(codec.table)  # bounded by the vocabulary
+    docs = docs.drop("ids")
+    folded = F.flatten(F.transform(codec.words(column), ids))
+    if not any_long:
+        return docs.withColumn("ids", folded), codec
+    ranks = spark.sparkContext.broadcast(codec.vocabulary.ranks)  # bounded by the vocabulary
 
     @F.pandas_udf("array<array<int>>")
     def merge_long(found: pd.Series) -> pd.Series:
-        return found.map(lambda ws: [_merge_long(w, ranks.value) for w in ws])
+        return found.map(lambda ws: [_merge_long(w.encode(), ranks.value) for w in ws])
 
-    docs = docs.drop("ids")
-    short = docs.where(~has_long).withColumn("ids", F.flatten(F.transform(codec.words(column), ids)))
+    short = docs.where(~has_long).withColumn("ids", folded)
     long_words = F.array_distinct(F.filter("_words", lambda w: F.length(w) > LONG))
     rest = docs.where(has_long).withColumn("_words", codec.words(column)).withColumn("_long", long_words)
     rest = rest.withColumn("_map", F.map_from_arrays("_long", merge_long("_long")))
@@ -179,13 +220,12 @@ def encode(docs: DataFrame, path: str | None = None, pattern: str | None = None,
 
 def ids_bytes(codec: Codec, ids: Column) -> Column:
     """Ids as little-endian unsigned 32-bit integers."""
-    return F.unhex(F.array_join(F.transform(ids, lambda i: F.element_at(codec.little, i + 1)), ""))
+    return F.unhex(F.array_join(F.transform(ids, lambda i: F.get(codec.little, i)), ""))
 
 
 def decode(codec: Codec, ids: Column) -> Column:
-    """The bytes of the ids' pieces, joined."""
-    known = F.filter(ids, lambda i: (i >= 0) & (i < codec.size))
-    return F.unhex(F.array_join(F.transform(known, lambda i: F.element_at(codec.pieces, i + 1)), ""))
+    """The bytes of the ids' pieces, joined; an id that is not in the vocabulary gives null, which joining leaves out."""
+    return F.unhex(F.array_join(F.transform(ids, lambda i: F.get(codec.pieces, i)), ""))
 
 
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

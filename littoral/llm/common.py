@@ -71,5 +71,5 @@ def literal(one_row: DataFrame) -> Column:
 
 
 def bucket(key: Column, buckets: int) -> Column:
-    """The one-based hash bucket of a key; xxhash with seed 42 gives the same outside Spark."""
-    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int") + 1
+    """The hash bucket of a key, from 0; ``buckets`` is a power of two. xxhash with seed 42 gives the same outside Spark."""
+    return F.xxhash64(key).bitwiseAND(F.lit(buckets - 1).cast("long")).cast("int")

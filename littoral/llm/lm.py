@@ -144,7 +144,7 @@ class Vocabulary:
             self.totals[r.c] += r.n
 
     def number(self, word: Column) -> Column:
-        own = F.element_at(F.element_at(self.table, bucket(word, self.buckets)), word)
+        own = F.element_at(F.get(self.table, bucket(word, self.buckets)), word)
         return F.coalesce(own, (F.pmod(F.xxhash64(word, F.lit(1)), F.lit(HASHED)) + KNOWN).cast("int"))
 
 
