@@ -314,7 +314,8 @@ def _tokens_of(docs: DataFrame) -> DataFrame:
 
 def _semi(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """The documents that stand for the wanted nodes; equal rows all come."""
-    keys = wanted.select(F.col("one.text_key").alias("_k"), F.col("one.doc_id").alias("_d"))
+    # texts move once, by merge join at every size: the keys grow with the documents
+    keys = wanted.select(F.col("one.text_key").alias("_k"), F.col("one.doc_id").alias("_d")).hint("merge")
     return docs.join(keys, (F.xxhash64("text") == F.col("_k")) & F.col("doc_id").eqNullSafe(F.col("_d")), "left_semi")
 
 
@@ -355,10 +356,10 @@ def drop_near_copies(docs: DataFrame, recall: float = RECALL) -> DataFrame:
     keys = Scratch(docs.sparkSession, "kept").save(keys, "keys")
     keyed = docs.withColumn("_key", F.xxhash64("text"))
     match = F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_key") == F.col("_k"))
-    out = keyed.join(keys.where("not _stays or _n > 1"), match, "left_anti")
+    out = keyed.join(keys.where("not _stays or _n > 1").hint("merge"), match, "left_anti")
     again = keys.where("_stays and _n > 1")  # equal rows of one id: one of them stays
     if not again.isEmpty():
-        out = out.unionByName(keyed.join(again, match, "left_semi").dropDuplicates(["doc_id", "_key"]))
+        out = out.unionByName(keyed.join(again.hint("merge"), match, "left_semi").dropDuplicates(["doc_id", "_key"]))
     return out.drop("_key")
 
 
