@@ -232,3 +232,46 @@ def t02(spark, d):
 
     s = _events(spark, d).withWatermark("ts", "60 days").groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
     return _table(s, spark, "complete")
+
+
+@query("w17_collapse_physical")
+def w17b(spark, d):
+    """Units of one physical sample across sources, within half an hour."""
+    rows = table(spark, d, "events").select("event_id", F.col("user_id").alias("site"), F.to_date("ts").alias("day"), F.col("ts").cast("timestamp").alias("t"), F.floor(F.col("value") / 50).cast("double").alias("v"), F.col("event_type").alias("src"))
+    return dedupe.collapse_physical(rows, ["site", "day"], "t", "v", "src", "event_id", 240).select("event_id", "site", "day")
+
+
+@query("p09_national", "SELECT event_id, user_id AS site FROM events WHERE event_id % 10 NOT IN (1, 2, 6) AND event_type <> 'signup'")
+def p09(spark, d):
+    raw = _raw_lab(spark, d).withColumn("value", core.safe_float(F.col("result")))
+    types = table(spark, d, "events").select("event_id", "event_type")
+    rows = raw.where(F.lower("parameter").contains("enteroc") & (F.col("value") >= 0)).join(types, "event_id")
+    return rows.where("event_type <> 'signup'").select("event_id", "site")
+
+
+@query("m05_baseline")
+def m05(spark, d):
+    rows = scored(spark, d).withColumns({"label": F.col("y").cast("double"), "t": F.col("toxic").cast("double")})
+    out = models.baseline(["p", "p0", "t"], "label").fit(rows).transform(rows)
+    return out.select("doc_id", F.col("prediction").cast("int").alias("prediction"))
+
+
+@query("m06_undersampled_ensemble")
+def m06(spark, d):
+    rows = scored(spark, d).select("doc_id", "p", "p0", F.col("y").cast("int").alias("label"))
+    fitted = models.undersampled_ensemble(rows, ["p", "p0"], "label", draws=2, trees=3)
+    return models.ensemble_probability(fitted, rows, ["p", "p0"]).select("doc_id", F.round("probability", 4).alias("probability"))
+
+
+@query("m18_refresh_candidates", f"WITH {SD}, c AS (SELECT site, arg_max(ratio, day) AS frozen FROM sd GROUP BY 1), n AS (SELECT l_suppkey AS site, AVG(l_quantity) AS fresh FROM lineitem WHERE l_shipdate >= TIMESTAMP '2001-01-01' GROUP BY 1) SELECT site, ROUND(COALESCE(fresh, frozen), 6) AS covariate, fresh IS NOT NULL AS refreshed FROM c LEFT JOIN n USING (site)")
+def m18(spark, d):
+    frozen = site_day(spark, d).groupBy("site").agg(F.max_by("ratio", "day").alias("frozen"))
+    fresh = table(spark, d, "lineitem").where(F.col("l_shipdate") >= datetime(2001, 1, 1)).groupBy(F.col("l_suppkey").alias("site")).agg(F.avg("l_quantity").alias("fresh"))
+    return frozen.join(fresh, "site", "left").select("site", F.round(F.coalesce("fresh", "frozen"), 6).alias("covariate"), F.col("fresh").isNotNull().alias("refreshed"))
+
+
+@query("e01_lookup_against_model", f"WITH {SCORED} SELECT COUNT(*) AS n, ROUND(AVG((p - CAST(y AS INT)) ^ 2), 6) AS brier_p, ROUND(AVG((p0 - CAST(y AS INT)) ^ 2), 6) AS brier_p0 FROM sc")
+def e01b(spark, d):
+    """Head to head on the same rows."""
+    y = F.col("y").cast("int")
+    return scored(spark, d).agg(F.count(F.lit(1)).alias("n"), F.round(F.avg(F.pow(F.col("p") - y, 2)), 6).alias("brier_p"), F.round(F.avg(F.pow(F.col("p0") - y, 2)), 6).alias("brier_p0"))

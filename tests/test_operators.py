@@ -275,3 +275,24 @@ def test_schema_guards(spark):
 def test_plans_push_filters_and_prune(spark):
     plan = readers.read_parquet_where(spark, "/root/testdata/sf0.001/lineitem.parquet", ["l_orderkey"], "l_suppkey", 7)._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(l_suppkey,7)" in plan and "l_comment" not in plan and "ReadSchema: struct<l_orderkey:bigint,l_suppkey:bigint>" in plan
+
+
+def test_feature_tripwire():
+    from littoral.operators import normalize
+
+    assert normalize.feature_columns(["ratio_lag_1", "y", "rain"], ["y"], ["value"]) == ["ratio_lag_1", "rain"]
+    with pytest.raises(ValueError):
+        normalize.feature_columns(["value_lag_1", "rain"], [], ["value"])
+
+
+def test_entry_point_without_the_optional_package(monkeypatch):
+    import importlib
+    import sys
+
+    monkeypatch.setitem(sys.modules, "littoral.llm", None)
+    monkeypatch.setitem(sys.modules, "corpus_pipeline", None)
+    sys.modules.pop("__spark_entry__", None)
+    entry = importlib.import_module("__spark_entry__")
+    assert "a17_shrunk_rate" in entry.queries() and not [n for n in entry.queries() if n.startswith("op") or n == "pipeline"]
+    assert set(entry.oracle_sql()) <= set(entry.queries())
+    sys.modules.pop("__spark_entry__", None)
