@@ -24,7 +24,6 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,6 +39,8 @@ COORDINATES = 128
 #: Nodes that one comparison of a bucket holds per side.
 TILE = 512
 LEVELS = 3
+#: Documents whose sets are in memory at once.
+SLICE = 256
 #: Shingles that one exact comparison holds per side, about.
 EXACT = 1 << 17
 #: Signatures agree on the coordinates with the similarity as probability, or 1/256 by chance;
@@ -122,14 +123,14 @@ def _documents_as_sets(docs: DataFrame, runs: int) -> DataFrame:
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            sets = [shingles(x) for x in _word_lists(batch, 2)]
-            node = [set_hash(x) if len(x) else None for x in sets]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(node, pa.int64()), pa.array([len(x) for x in sets], pa.int64()), pa.array([signature(x) for x in sets], pa.binary()), _list_array([chosen(x, runs) for x in sets])],
-                names=["doc_id", "text_key", "node", "size", "sketch", "paths"],
-            )
+            for at in range(0, batch.num_rows, SLICE):
+                part = batch.slice(at, SLICE)
+                sets = [shingles(x) for x in _word_lists(part, 2)]
+                node = [set_hash(x) if len(x) else None for x in sets]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), part.column(1), pa.array(node, pa.int64()), pa.array([len(x) for x in sets], pa.int64()), pa.array([signature(x) for x in sets], pa.binary()), _list_array([chosen(x, runs) for x in sets])],
+                    names=["doc_id", "text_key", "node", "size", "sketch", "paths"],
+                )
 
     hashed = docs.select("doc_id", F.xxhash64("text").alias("text_key"), _hashed_words())
     return hashed.mapInArrow(read, "doc_id long, text_key long, node long, size long, sketch binary, paths array<long>")
@@ -180,20 +181,20 @@ def _tiles(members: DataFrame, counts: DataFrame) -> DataFrame:
 def _split(level: DataFrame, turn: int, runs: int, threshold: float = THRESHOLD) -> DataFrame:
     """Children (parent, path, node, size, sketch) of each member on its sampled coordinates."""
 
-    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         limit = np.uint64(int((1 << 64) / (threshold * COORDINATES)))
         for batch in batches:
-            if not len(batch):
-                continue
-            path, sketch = batch.path.to_numpy().view(np.uint64), np.frombuffer(b"".join(batch.sketch), np.uint8).reshape(-1, COORDINATES)
-            for r in range(runs):
-                seed = mix64(path + _STEP[r] * np.uint64(turn + 1))
-                row, k = np.nonzero(mix64(seed[:, None] ^ _SEEDS[None, :]) <= limit)
-                child = mix64(seed[row] + _SEEDS[k] * np.uint64(3) + sketch[row, k])
-                out = batch.iloc[row]
-                yield pd.DataFrame({"parent": out.path.to_numpy(), "path": child.view(np.int64), "node": out.node.to_numpy(), "size": out["size"].to_numpy(), "sketch": out.sketch.to_numpy()})
+            for at in range(0, batch.num_rows, 4096):
+                part = batch.slice(at, 4096)
+                path, sketch = part.column(0).to_numpy().view(np.uint64), np.frombuffer(b"".join(part.column(3).to_pylist()), np.uint8).reshape(-1, COORDINATES)
+                for r in range(runs):
+                    seed = mix64(path + _STEP[r] * np.uint64(turn + 1))
+                    row, k = np.nonzero(mix64(seed[:, None] ^ _SEEDS[None, :]) <= limit)
+                    child = mix64(seed[row] + _SEEDS[k] * np.uint64(3) + sketch[row, k])
+                    out = part.take(pa.array(row))
+                    yield pa.RecordBatch.from_arrays([out.column(0), pa.array(child.view(np.int64)), *out.columns[1:]], names=["parent", "path", "node", "size", "sketch"])
 
-    return level.mapInPandas(walk, "parent long, path long, node long, size long, sketch binary")
+    return level.select("path", "node", "size", "sketch").mapInArrow(walk, "parent long, path long, node long, size long, sketch binary")
 
 
 def _candidates(nodes: DataFrame, runs: int, scratch: Scratch) -> DataFrame:
@@ -257,11 +258,8 @@ def _exact(left: _Side, right: _Side, threshold: float = THRESHOLD) -> Iterator[
 
 
 def _verify(sets: DataFrame) -> DataFrame:
-    """sets: (root, node, copies, tokens). Rows (u, v, null) of a forest and (u, null, n) of link counts."""
-    total = sets.groupBy("root").agg(F.sum(F.size("tokens")).alias("all"))
-    dealt = sets.join(total, "root").withColumn("tiles", F.ceil(F.col("all") / EXACT).cast("int"))
-    dealt = dealt.withColumn("tile", F.pmod(F.xxhash64("node", F.lit(1)), F.col("tiles")).cast("int"))
-    tiles = dealt.groupBy("root", "tiles", "tile").agg(F.collect_list(F.struct("node", "copies", "tokens")).alias("left"))
+    """sets: (root, tiles, tile, node, copies, tokens). Rows (u, v, null) of a forest and (u, null, n) of link counts."""
+    tiles = sets.groupBy("root", "tiles", "tile").agg(F.collect_list(F.struct("node", "copies", "tokens")).alias("left"))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -304,9 +302,8 @@ def _tokens_of(docs: DataFrame) -> DataFrame:
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lists = list(_word_lists(batch, 0))
-            for at in range(0, len(lists), 256):
-                sets = [shingles(x) for x in lists[at : at + 256]]
+            for at in range(0, batch.num_rows, SLICE):
+                sets = [shingles(x) for x in _word_lists(batch.slice(at, SLICE), 0)]
                 yield pa.RecordBatch.from_arrays([pa.array([set_hash(x) for x in sets], pa.int64()), _list_array(sets)], names=["node", "tokens"])
 
     return docs.select(_hashed_words()).mapInArrow(read, "node long, tokens array<long>")
@@ -333,8 +330,11 @@ def jaccard_join(docs: DataFrame, recall: float = RECALL) -> DataFrame:
     nodes = rows.where("node is not null").groupBy("node").agg(F.count(F.lit(1)).alias("copies"), one, *(F.any_value(c).alias(c) for c in ("size", "sketch", "paths")))
     nodes = scratch.save(nodes, "nodes")
     maybe = components(_candidates(nodes, runs, scratch), scratch, "maybe")
-    wanted = scratch.save(maybe.join(nodes.select("node", "copies", "one"), "node").select("root", "node", "copies", "one"), "wanted")
-    sets = _tokens_of(_semi(docs, wanted)).join(wanted.select("root", "node", "copies"), "node")
+    found = scratch.save(maybe.join(nodes.select("node", "copies", "one", "size"), "node"), "maybe")
+    tiles = found.groupBy("root").agg(F.ceil(F.sum("size") / EXACT).cast("int").alias("tiles"))
+    wanted = found.join(tiles, "root").withColumn("tile", F.pmod(F.xxhash64("node", F.lit(1)), F.col("tiles")).cast("int"))
+    wanted = scratch.save(wanted.select("root", "tiles", "tile", "node", "copies", "one"), "wanted")
+    sets = _tokens_of(_semi(docs, wanted)).join(wanted.drop("one").hint("merge"), "node")
     found = scratch.save(_verify(sets), "found")
     linked = found.where("n is not null").groupBy(F.col("u").alias("node")).agg(F.sum("n").alias("links"))
     joined = components(found.where("v is not null").select("u", "v"), scratch, "exact")
