@@ -87,8 +87,8 @@ class Codec:
         pieces = [""] * self.size
         for piece, rank in ranks.items():
             pieces[rank] = piece.hex()
-        self.pieces = literal(spark.createDataFrame([(pieces,)], "v array<string>"))
-        self.little = literal(spark.createDataFrame([([i.to_bytes(4, "little").hex() for i in range(self.size)],)], "v array<string>"))
+        spelling = [(i.to_bytes(4, "little").hex(), piece) for i, piece in enumerate(pieces)]
+        self.spelling = literal(spark.createDataFrame([(spelling,)], "v array<struct<id:string,piece:string>>"))
 
     def rank(self, left: Column, right: Column) -> Column:
         """The rank (and id) of the piece that two ids merge to, or NONE."""
@@ -106,17 +106,18 @@ class Codec:
 
             def merge(found: Column) -> Column:
                 best, at = found["best"], found["at"]
-                none = F.array().cast("array<int>")
-                before = F.when(at > 1, F.array(self.rank(F.get(ids, at - 2), best))).otherwise(none)
-                after = F.when(at < F.size(ranks), F.array(self.rank(best, F.get(ids, at + 1)))).otherwise(none)
-                return F.struct(  # flatten copies blocks, where concat would build its list lazily
-                    F.flatten(F.array(F.slice(ids, 1, at - 1), F.array(best), F.slice(ids, at + 2, F.size(ids)))).alias("ids"),
-                    F.flatten(F.array(F.slice(ranks, 1, F.greatest(at - 2, F.lit(0))), before, after, F.slice(ranks, at + 2, F.size(ranks)))).alias("ranks"),
-                )
-
-            best = F.array_min(ranks)
-            found = F.array(F.struct(best.alias("best"), F.array_position(ranks, best).cast("int").alias("at")))
-            return F.when(F.coalesce(best, F.lit(NONE)) == NONE, state).otherwise(F.element_at(F.transform(found, merge), 1))
+                left, right = F.get(ids, at - 1), F.get(ids, at + 2)
+                # the pair's first place takes the merged id, its second goes; so do the ranks, of which two are new
+                new_ids = F.filter(F.transform(ids, lambda x, i: F.when(i == at, best).otherwise(x)), lambda x, i: i != at + 1)
+                new_ranks = F.transform(ranks, lambda r, i: F.when(i == at, self.rank(best, right)).when(i == at - 1, self.rank(left, best)).otherwise(r))
+                merged = F.struct(new_ids.alias("ids"), F.filter(new_ranks, lambda r, i: i != at + 1).alias("ranks"))
+                return F.when(best >= NONE, state).otherwise(merged)
+
+            # rank and place in one number: the least is the leftmost pair of lowest rank
+            codes = F.transform(ranks, lambda r, i: F.shiftleft(r.cast("long"), 20).bitwiseOR(i.cast("long")))
+            least = F.array(F.coalesce(F.array_min(codes), F.lit(NONE << 20)))
+            place = F.transform(least, lambda c: F.struct(F.shiftright(c, 20).cast("int").alias("best"), c.bitwiseAND(F.lit((1 << 20) - 1).cast("long")).cast("int").alias("at")))
+            return F.element_at(F.transform(place, merge), 1)
 
         letters = F.split(F.decode(F.encode(word, "UTF-8"), "ISO-8859-1"), "")
         ids = F.transform(F.filter(letters, lambda c: c != ""), lambda c: F.get(self.bytes, F.ascii(c)))
@@ -218,18 +219,22 @@ def encode(docs: DataFrame, path: str | None = None, pattern: str | None = None,
     return short.unionByName(rest.withColumn("ids", F.flatten(mixed)).drop("_words", "_long", "_map")), codec
 
 
-def ids_bytes(codec: Codec, ids: Column) -> Column:
+def spell(codec: Codec, ids: Column) -> Column:
+    """Each id's little-endian bytes and its piece, in hex; null for an id outside the vocabulary."""
+    return F.transform(ids, lambda i: F.get(codec.spelling, i))
+
+
+def ids_bytes(spelled: Column) -> Column:
     """Ids as little-endian unsigned 32-bit integers."""
-    return F.unhex(F.array_join(F.transform(ids, lambda i: F.get(codec.little, i)), ""))
+    return F.unhex(F.array_join(spelled["id"], ""))
 
 
-def decode(codec: Codec, ids: Column) -> Column:
-    """The bytes of the ids' pieces, joined; an id that is not in the vocabulary gives null, which joining leaves out."""
-    return F.unhex(F.array_join(F.transform(ids, lambda i: F.get(codec.pieces, i)), ""))
+def decode(spelled: Column) -> Column:
+    """The bytes of the ids' pieces, joined; joining leaves nulls out."""
+    return F.unhex(F.array_join(spelled["piece"], ""))
 
 
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded, codec = encode(documents(spark, sf_dir).select("doc_id", "text"))
-    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids").select(
-        "doc_id", "n_tokens", F.sha2(ids_bytes(codec, F.col("ids")), 256).alias("ids_sha256"), F.sha2(decode(codec, F.col("ids")), 256).alias("decoded_sha256")
-    )
+    spelled = coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), spell(codec, F.col("ids")).alias("s"))
+    return spelled.select("doc_id", "n_tokens", F.sha2(ids_bytes(F.col("s")), 256).alias("ids_sha256"), F.sha2(decode(F.col("s")), 256).alias("decoded_sha256"))
