@@ -39,7 +39,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids, and whether they decode to the text."""
     coded, codec = bpe.encode(docs)
-    same = bpe.decode(codec, F.col("ids")) == F.coalesce(F.col("text"), F.lit("")).cast("binary")
+    same = bpe.decode(bpe.spell(codec, F.col("ids"))) == F.coalesce(F.col("text"), F.lit("")).cast("binary")
     return coded.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", same.alias("round_trip"))
 
 
