@@ -23,8 +23,9 @@ PROBES = 512
 #: A splitter is accepted within this share of one shard's bytes.
 TOLERANCE = 0.002
 LOW, HIGH = -(1 << 63), 1 << 63
-#: Rows of a shard are numbered in this many parts (by id hash), so no task holds a whole shard.
-PARTS = 64
+#: Rows of a shard are numbered in parts (by id hash) of about PART_BYTES, PARTS to MOST_PARTS of them, so no task holds
+#: a whole shard; the table of their starts, which is broadcast, has shards * MOST_PARTS rows at most.
+PARTS, MOST_PARTS, PART_BYTES = 64, 1 << 15, 32 << 20
 
 
 def text_bytes(text: Column) -> Column:
@@ -109,7 +110,8 @@ def shard_by_bytes(docs: DataFrame, shards: int = 8, tolerance: float = TOLERANC
     docs = docs.drop("size", "shard", "slot", "_k1", "_k2")
     k1, k2 = F.xxhash64(F.col("text").isNull(), "text"), F.xxhash64(F.lit(5), "doc_id")
     slim = scratch.save(docs.select(k1.alias("k1"), k2.alias("k2"), text_bytes(F.col("text")).alias("size")), "keys")
-    cuts, _ = splitters(slim, shards, tolerance)
+    cuts, total = splitters(slim, shards, tolerance)
+    parts = min(MOST_PARTS, max(PARTS, -(-total // (shards * PART_BYTES))))
 
     def place(a: Column, b: Column) -> Column:
         out = F.lit(0)
@@ -120,7 +122,7 @@ def shard_by_bytes(docs: DataFrame, shards: int = 8, tolerance: float = TOLERANC
             out = out + above.cast("int")
         return out
 
-    part = F.pmod(F.shiftright(F.col("_k2"), 7), F.lit(PARTS)).cast("int")
+    part = F.pmod(F.shiftright(F.col("_k2"), 7), F.lit(parts)).cast("int")
     counts = (
         slim.withColumnsRenamed({"k1": "_k1", "k2": "_k2"})
         .groupBy(place(F.col("_k1"), F.col("_k2")).alias("_s"), part.alias("_p")).agg(F.count(F.lit(1)).alias("n"))
@@ -130,7 +132,7 @@ def shard_by_bytes(docs: DataFrame, shards: int = 8, tolerance: float = TOLERANC
     rows = rows.withColumn("shard", place(F.col("_k1"), F.col("_k2"))).withColumn("_part", part)
     order = Window.partitionBy("shard", "_part").orderBy("_k1", "_k2", "size")
     rows = rows.withColumn("_n", F.row_number().over(order))
-    # shards * PARTS rows at most
+    # shards * MOST_PARTS rows at most
     rows = rows.join(F.broadcast(starts), (F.col("shard") == F.col("_s")) & (F.col("_part") == F.col("_p")))
     return rows.withColumn("slot", (F.col("_start") + F.col("_n") - 1).cast("long")).drop("_k1", "_k2", "_part", "_n", "_s", "_p", "_start")
 
