@@ -16,6 +16,7 @@ or ``score`` are replaced.
 from __future__ import annotations
 
 import base64
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -92,9 +93,9 @@ def by_length(words: list[bytes]):
             places.append(i)
             parts.append(part)
     for size, (places, parts) in groups.items():
-        for at in range(0, len(parts), 1 << 16):
-            some = parts[at : at + (1 << 16)]
-            yield np.array(places[at : at + (1 << 16)]), np.frombuffer(b"".join(some), np.uint8).reshape(len(some), size)
+        for at in range(0, len(parts), 1 << 13):
+            some = parts[at : at + (1 << 13)]
+            yield np.array(places[at : at + (1 << 13)]), np.frombuffer(b"".join(some), np.uint8).reshape(len(some), size)
 
 
 def forward(lattice: list[list[np.ndarray]], p: np.ndarray) -> list[np.ndarray]:
@@ -118,7 +119,9 @@ def fit(words: list[bytes], counts: np.ndarray, pieces: Pieces, rounds: int = RO
     """counts: (words, languages). Piece probabilities by expectation maximisation."""
     languages = counts.shape[1]
     p = np.zeros((pieces.count + 1, languages))
-    groups = [(places, pieces.lattice(matrix)) for places, matrix in by_length(words)]
+
+    def groups() -> Iterator[tuple[np.ndarray, list[list[np.ndarray]]]]:  # made anew each round, so that one is in memory
+        return ((places, pieces.lattice(matrix)) for places, matrix in by_length(words))
 
     def normal(c: np.ndarray) -> np.ndarray:
         c = c[:-1] + 1e-9
@@ -131,14 +134,14 @@ def fit(words: list[bytes], counts: np.ndarray, pieces: Pieces, rounds: int = RO
         for k in range(languages):
             into[:, k] += np.bincount(found, weight[:, k], minlength=pieces.count + 1)
 
-    for places, lattice in groups:  # first: each occurrence of a piece counts
+    for places, lattice in groups():  # first: each occurrence of a piece counts
         for row in lattice[1:]:
             for found in row:
                 gather(p, found, counts[places])
     p = normal(p)
     for _ in range(rounds):
         expected = np.zeros_like(p)
-        for places, lattice in groups:
+        for places, lattice in groups():
             left, length = forward(lattice, p), len(lattice) - 1
             right = [np.zeros_like(left[0]) for _ in range(length)] + [np.ones_like(left[0])]
             for end in range(length, 0, -1):
@@ -172,12 +175,15 @@ class Model:
 
     @classmethod
     def learn(cls, docs: DataFrame, vocabulary: str | None = None, per_language: int = SAMPLE_DOCS) -> Model:
-        rows = sample_words(docs, per_language).toPandas()
-        langs = sorted(rows.lang.unique())
-        words = sorted(rows.word.unique())
+        rows = sample_words(docs, per_language).toArrow()
+        word, lang = (rows.column(c).combine_chunks().dictionary_encode() for c in ("word", "lang"))
+        words, found = word.dictionary.to_pylist(), lang.dictionary.to_pylist()
+        langs = sorted(found)
+        column = np.array([langs.index(x) for x in found], int)
         counts = np.zeros((len(words), len(langs)))
-        at, of = {w: i for i, w in enumerate(words)}, {x: i for i, x in enumerate(langs)}
-        counts[rows.word.map(at).to_numpy(int), rows.lang.map(of).to_numpy(int)] = rows.n.to_numpy()
+        if langs:
+            counts[word.indices.to_numpy(), column[lang.indices.to_numpy()]] = rows.column("n").to_numpy()
+        del rows, word, lang
         pieces = Pieces(vocabulary or default_vocabulary())
         return cls(langs, pieces, fit([b" " + w.encode() for w in words], counts, pieces) if langs else np.zeros((pieces.count + 1, 0)))
 
