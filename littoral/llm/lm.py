@@ -3,8 +3,9 @@
 A small network predicts every word of a text from the two words on either side: their
 embeddings are summed, pass a tanh layer, and a two-step softmax gives first the group and
 then the class within the group. Frequent words are classes of their own; all others share
-HASHED classes, within which a word's probability is even. Word counts are taken over all
-documents. Training starts from a bounded sample on the driver; then every partition goes on
+HASHED classes, within which a word's probability is its share of the class total. Word counts
+are taken over all documents; shares of the CACHED most frequent words travel with the model,
+those of all other words are joined by word. Training starts from a bounded sample on the driver; then every partition goes on
 over all windows of its documents, and the parameters are averaged, weighted by words, with
 sums in fixed point, so their order does not matter. A document's score is the sum of its
 words' conditional log-probabilities.
@@ -29,6 +30,8 @@ from littoral.llm.common import Scratch, bucket, documents, literal, words
 
 KNOWN, HASHED = 768, 256
 CLASSES = KNOWN + HASHED
+#: Words that are numbered by frequency, at most, so that their shares need no join.
+CACHED = 1 << 16
 GROUPS = 32
 MEMBERS = CLASSES // GROUPS
 HIDDEN = 16
@@ -127,25 +130,50 @@ def windows(ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 
 class Vocabulary:
-    """Classes of words: the KNOWN most frequent, and HASHED shared ones with their numbers of words."""
+    """Numbers of words: the rank of the most frequent, CACHED at most, and CACHED plus a hash for all others.
+
+    ``classes`` and ``shares`` give for a number its class and the logarithm of the word's share
+    of the class total, which is 0 for words outside the cache: ``others`` has theirs by word.
+    """
 
     def __init__(self, counts: DataFrame):
         spark = counts.sparkSession
-        top = [r.w for r in counts.orderBy(F.desc("n"), "w").limit(KNOWN).collect()]
-        self.buckets = 4096  # a power of two, as hashes are signed in Spark
+        known = counts.orderBy(F.desc("n"), "w").limit(KNOWN)
+        least, room = 1 << 62, CACHED - KNOWN
+        for r in sorted(counts.groupBy("n").agg(F.count(F.lit(1)).alias("k")).collect(), key=lambda r: -r.n):  # one row per distinct count
+            room -= r.k
+            if room < 0:
+                break
+            least = r.n
+        often, rows = counts.where(F.col("n") >= least), ("w", "n", self.hashed(F.col("w")).alias("c"))
+        top = sorted({*known.select(*rows).collect(), *often.select(*rows).collect()}, key=lambda r: (-r.n, r.w))
+        self.buckets = 16384  # a power of two, as hashes are signed in Spark
         maps: list[dict[str, int]] = [{} for _ in range(self.buckets)]
-        for i, w in enumerate(top):
-            maps[xxhash.xxh64_intdigest(w.encode(), 42) % self.buckets][w] = i
+        self.classes = np.append(np.zeros(CACHED, np.int32), np.arange(KNOWN, CLASSES, dtype=np.int32))
+        for i, r in enumerate(top):
+            maps[xxhash.xxh64_intdigest(r.w.encode(), 42) % self.buckets][r.w] = i
+            self.classes[i] = i if i < KNOWN else r.c
         self.table = literal(spark.createDataFrame([(maps,)], "v array<map<string,int>>"))
-        per = counts.select(self.number(F.col("w")).alias("c"), "n").groupBy("c").agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("n"))
-        self.even, self.totals = np.zeros(CLASSES), np.ones(CLASSES)
-        for r in per.collect():  # CLASSES rows
-            self.even[r.c] = np.log(r.k)
-            self.totals[r.c] += r.n
+        exact = np.zeros(CLASSES, np.int64)
+        for r in counts.groupBy(self.hashed(F.col("w")).alias("c")).agg(F.sum("n").alias("n")).collect():  # HASHED rows
+            exact[r.c] = r.n
+        for i, r in enumerate(top[:KNOWN]):
+            exact[i] = r.n
+            exact[r.c] -= r.n
+        self.totals = exact + 1.0
+        self.shares = np.zeros(CACHED + HASHED)
+        for i, r in enumerate(top):
+            self.shares[i] = np.log(r.n / exact[self.classes[i]])
+        of_class = F.get(F.array(*[F.lit(float(x)) for x in np.log(np.maximum(exact[KNOWN:], 1))]), self.hashed(F.col("w")) - KNOWN)
+        self.others = counts.select("w", F.round((F.log("n") - of_class) * FIXED).cast("long").alias("share"))
+
+    @staticmethod
+    def hashed(word: Column) -> Column:
+        return (F.pmod(F.xxhash64(word, F.lit(1)), F.lit(HASHED)) + KNOWN).cast("int")
 
     def number(self, word: Column) -> Column:
         own = F.element_at(F.get(self.table, bucket(word, self.buckets)), word)
-        return F.coalesce(own, (F.pmod(F.xxhash64(word, F.lit(1)), F.lit(HASHED)) + KNOWN).cast("int"))
+        return F.coalesce(own, self.hashed(word) + (CACHED - KNOWN))
 
 
 def _batches(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -160,8 +188,8 @@ def _train(net: Net, ids: np.ndarray, sizes: np.ndarray, learn: float) -> None:
         net.run(context[some], ids[some], learn)
 
 
-def fit(tokens: DataFrame, totals: np.ndarray, scratch: Scratch) -> Net:
-    """tokens: (ids array<short>) of all documents; totals: how often each class occurs in them."""
+def fit(tokens: DataFrame, classes: np.ndarray, totals: np.ndarray, scratch: Scratch) -> Net:
+    """tokens: (ids array<int>) of all documents; classes: of each id; totals: how often each class occurs in them."""
     net = Net()
     by_group = totals.reshape(GROUPS, MEMBERS)
     net.of["group_bias"][:] = np.log(by_group.sum(1) / totals.sum())
@@ -172,15 +200,16 @@ def fit(tokens: DataFrame, totals: np.ndarray, scratch: Scratch) -> Net:
     if warm.num_rows:
         ids, sizes = _batches(warm.column(0).combine_chunks())
         for learn in (0.1, 0.1, 0.05):
-            _train(net, ids, sizes, learn)
-    start = tokens.sparkSession.sparkContext.broadcast((net.flat, net.sums))  # twice Net.SIZE numbers
+            _train(net, classes[ids], sizes, learn)
+    start = tokens.sparkSession.sparkContext.broadcast((net.flat, net.sums, classes))  # twice Net.SIZE numbers, and CACHED
 
     def go_on(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, seen = Net(*start.value), 0
+        flat, squares, classes = start.value
+        own, seen = Net(flat, squares), 0
         for batch in batches:
             ids, sizes = _batches(batch.column(0))
             if len(ids):
-                _train(own, ids, sizes, 0.05)
+                _train(own, classes[ids], sizes, 0.05)
                 seen += len(ids)
         if seen:
             weight = -(-seen // 1000)
@@ -199,27 +228,32 @@ def score(docs: DataFrame) -> DataFrame:
     """``docs`` without their text, with ``n_words, log_prob, mean_log_prob``."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "lm")
-    docs = docs.drop("n_words", "log_prob", "mean_log_prob", "_ids", "ids")
+    docs = docs.drop("n_words", "log_prob", "mean_log_prob", "_ids", "ids", "_words", "_rest", "_row")
     counts = docs.select(F.explode(words(F.lower("text"))).alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("n"))
     vocabulary = Vocabulary(scratch.save(counts, "counts"))
     keep = [c for c in docs.columns if c != "text"]
-    numbers = F.transform(words(F.lower("text")), lambda w: vocabulary.number(w).cast("short"))
-    tokens = scratch.save(docs.select(*keep, numbers.alias("ids")), "tokens")
-    net = fit(tokens, vocabulary.totals, scratch)
-    model = spark.sparkContext.broadcast((net.flat, vocabulary.even))
+    split = docs.select(*keep, words(F.lower("text")).alias("_words"))
+    coded = split.withColumn("ids", F.transform("_words", vocabulary.number)).withColumn("_row", F.monotonically_increasing_id())
+    rest = F.filter("_words", lambda w, i: F.get(F.col("ids"), i) >= CACHED)
+    tokens = scratch.save(coded.withColumn("_rest", F.when(F.exists("ids", lambda x: x >= CACHED), rest)).drop("_words"), "tokens")
+    net = fit(tokens, vocabulary.classes, vocabulary.totals, scratch)
+    model = spark.sparkContext.broadcast((net.flat, vocabulary.classes, vocabulary.shares))
 
     @F.arrow_udf("double")
     def log_prob(lists: pa.Array) -> pa.Array:
-        flat, even = model.value
+        flat, classes, shares = model.value
         ids, sizes = _batches(lists)
         own, out = Net(flat), np.zeros(len(ids))
-        context = windows(ids, sizes)
+        of, context = classes[ids], windows(classes[ids], sizes)
         for at in range(0, len(ids), BATCH):
             part = slice(at, at + BATCH)
-            out[part] = own.run(context[part], ids[part]) - even[ids[part]]
+            out[part] = own.run(context[part], of[part]) + shares[ids[part]]
         return pa.array(np.bincount(np.repeat(np.arange(len(sizes)), sizes), out, minlength=len(sizes)).round(3))
 
-    scored = tokens.withColumn("log_prob", log_prob(F.col("ids"))).withColumn("n_words", F.size("ids").cast("long")).drop("ids")
+    joined = tokens.select("_row", F.explode("_rest").alias("w")).join(vocabulary.others, "w")
+    rare = joined.groupBy("_row").agg(F.sum("share").alias("_rest"))  # in fixed point, so equal texts get equal sums
+    scored = tokens.drop("_rest").withColumn("log_prob", log_prob(F.col("ids"))).withColumn("n_words", F.size("ids").cast("long")).drop("ids")
+    scored = scored.join(rare, "_row", "left").withColumn("log_prob", F.round(F.col("log_prob") + F.coalesce("_rest", F.lit(0)) / FIXED, 3)).drop("_rest", "_row")
     return scored.withColumn("mean_log_prob", F.when(F.col("n_words") > 0, F.round(F.col("log_prob") / F.col("n_words"), 6)))
 
 

@@ -195,3 +195,27 @@ def test_lm_tells_order_and_odd_rows(spark):
     scored = {r.doc_id: r for r in lm.score(odd).collect()}
     assert scored[3].n_words == 0 and scored[3].log_prob == 0 and scored[3].mean_log_prob is None and scored[4].n_words == 30000 and scored[1]["size"] == "x"
     assert lm.score(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_lm_shared_words_score_by_their_counts(spark):
+    """Of words outside the known ones, one that stands 50 times scores higher than one that stands once."""
+    known, often, once = ([f"{k}{i}" for i in range(n)] for k, n in (("known", lm.KNOWN), ("often", 300), ("once", 300)))
+    rows = [" ".join(known)] * 100 + [" ".join(often)] * 49 + often + once
+    scored = lm.score(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")).toPandas().set_index("doc_id").log_prob.sort_index()
+    gap = scored[149:449].mean() - scored[449:].mean()
+    assert abs(gap - np.log(50)) < 1
+
+
+def test_lm_scores_beat_a_unigram_with_true_counts(spark):
+    docs = pd.read_parquet(f"{MORE}/documents.parquet")
+    counts = Counter(w for t in docs.text for w in t.lower().split())
+    total = sum(counts.values())
+    assert lm.op4_lm(spark, MORE).toPandas().log_prob.sum() > sum(n * np.log(n / total) for n in counts.values())
+
+
+def test_lm_joined_shares_equal_cached_ones(spark, monkeypatch):
+    frame = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text")
+    cached = lm.score(frame).toPandas().set_index("doc_id").log_prob.sort_index()
+    monkeypatch.setattr(lm, "CACHED", 1024)
+    joined = lm.score(frame).toPandas().set_index("doc_id").log_prob.sort_index()
+    assert np.allclose(cached, joined, rtol=0.01)
