@@ -1,8 +1,9 @@
 """HTML extraction from streaming parser events and text-to-tag ratios.
 
 The standard library's parser sends events; a line is the text between two block tags, with
-the number of tags met in it. Text of boilerplate elements (by tag, role or class) is never
-collected. The ratio of text to tags per line is smoothed by a Gaussian and split into two
+the number of tags met in it. Text of boilerplate elements (by tag or role) is never
+collected. Elements with a boilerplate class or id are left out unless they hold an article, a
+main element or most of the content, or little is left without them. The ratio of text to tags per line is smoothed by a Gaussian and split into two
 clusters; the region whose content lines hold most text is the main one, and ``article`` or
 ``main`` elements are preferred as regions where a page has them. All lines of the region are
 returned in page order.
@@ -32,10 +33,14 @@ CONTAINER = frozenset(
 )
 DROPPED = frozenset("aside button canvas audio video dialog footer form head iframe menu nav noscript object script select style svg template textarea title".split())
 ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search toolbar".split())
+#: A class or id is noise if it is made of such words, or of them and FILLER.
 NOISE = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|adv|advert\w*|adsense|banner|breadcrumbs?|comments?|cookies?|consent|disqus|footer|gdpr|header|masthead|menu|modal|nav|navbar|navigation|newsletter|notice|pagination|paywall|popup|promos?|promoted|related|replies|share|sharing|sidebar|signup|social|sponsor\w*|subscribe|subscription|toolbar|widget)(?:$|[\s_-])",
+    r"ad|ads|adv|advert\w*|adsense|banner|breadcrumbs?|comments?|cookies?|consent|disqus|footer|gdpr|header|masthead|menu|modal|nav|navbar|navigation|newsletter|notice|pagination|paywall|popup|promos?|promoted|related|replies|share|sharing|sidebar|signup|social|sponsor\w*|subscribe|subscription|toolbar|widget",
     re.I,
 )
+FILLER = frozenset("area bar block bottom box button buttons container form icons inner item items left link links list posts right section site slot top unit wrap wrapper".split())
+#: A result of fewer characters is held against the content of the whole page.
+SMALL = 200
 SIGMA = 1.5
 
 
@@ -48,7 +53,7 @@ class _Lines(HTMLParser):
         self.texts: list[str] = []
         self.tags: list[int] = []
         self.owner: list[int] = []
-        self.parent, self.kind = [-1], [""]  # of regions
+        self.parent, self.kind, self.noisy = [-1], [""], [False]  # of regions
         self.now: list[str] = []
         self.met = 0
 
@@ -62,35 +67,53 @@ class _Lines(HTMLParser):
                 self.owner.append(self.stack[-1][2] if self.stack else 0)
                 self.met = 0
 
-    def _noise(self, tag: str, attrs: list) -> bool:
-        if tag in DROPPED:
+    def _dropped(self, tag: str, attrs: list) -> bool:
+        if tag in DROPPED or tag == "header" and not self._inside():
             return True
-        inside = any(x[0] in ("article", "main") for x in self.stack)
-        if tag == "header" and not inside:
-            return True
-        if tag in ("article", "main", "body", "html"):
-            values = [v for k, v in attrs if v and k in ("class", "id")] if tag == "article" and inside else []
-        else:
-            values = [v for k, v in attrs if v and k in ("class", "id")]
-            if any(k == "role" and v and v.lower() in ROLES for k, v in attrs):
+        return tag not in ("article", "main", "body", "html") and any(k == "role" and v and v.lower() in ROLES for k, v in attrs)
+
+    def _inside(self) -> bool:
+        return any(x[0] in ("article", "main") for x in self.stack)
+
+    def _named(self, tag: str, attrs: list) -> bool:
+        """Whether class or id speak of noise."""
+        if tag in ("main", "body", "html") or tag == "article" and not self._inside():
+            return False
+        for token in " ".join(v for k, v in attrs if v and k in ("class", "id")).split():
+            parts = [x for x in re.split(r"[_-]+", token) if x and x.lower() not in FILLER]
+            if parts and all(map(NOISE.fullmatch, parts)):
                 return True
-        return any(NOISE.search(v) for v in values)
+        return False
+
+    def _close(self, tag: str) -> None:
+        """A block ends an open p, and a list item the one before."""
+        for i in range(len(self.stack) - 1, -1, -1):
+            name = self.stack[i][0]
+            if name == "p" or name == "li" and tag == "li":
+                del self.stack[i:]
+            elif name != "span":
+                break
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
         if tag in BLOCK:
             self._break()
+            if tag != "br":
+                self._close(tag)
         self.met += 1
-        if tag in CONTAINER or attrs and tag in ("p", "span", "li") and self._noise(tag, attrs):
+        own = tag in ("p", "span", "li") and bool(attrs)
+        if tag in CONTAINER or own and (self._named(tag, attrs) or self._dropped(tag, attrs)):
             if tag in ("article", "main"):  # an open menu or head above was left unclosed
                 while self.stack and self.stack[-1][1] and self.stack[-1][0] in ("head", "title", "nav", "header", "ul"):
                     self.stack.pop()
             above = self.stack[-1] if self.stack else ("", False, 0)
-            region = above[2]
-            if tag in ("article", "main", "section", "div", "body", "td"):
+            region, named, dropped = above[2], self._named(tag, attrs), above[1] or self._dropped(tag, attrs)
+            if named or tag in ("article", "main", "section", "div", "body", "td"):
                 self.parent.append(region)
-                self.kind.append(tag)
+                # inside an article, another one is a comment or a teaser
+                self.kind.append("" if dropped else "inner " + tag if self._inside() else tag)
+                self.noisy.append(named)
                 region = len(self.parent) - 1
-            self.stack.append((tag, above[1] or self._noise(tag, attrs), region))
+            self.stack.append((tag, dropped, region))
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
         if tag in CONTAINER:  # HTML does not close such tags by a slash
@@ -132,6 +155,60 @@ def content_lines(chars: np.ndarray, tags: np.ndarray, sigma: float = SIGMA) ->
     return smooth >= (low + high) / 2
 
 
+def _sums(values: np.ndarray, owner: np.ndarray, parent: list[int]) -> np.ndarray:
+    """What each region holds, with the regions inside it."""
+    out = np.zeros(len(parent))
+    np.add.at(out, owner, values)
+    for i in range(len(out) - 1, 0, -1):
+        out[parent[i]] += out[i]
+    return out
+
+
+def _left_out(parser: _Lines, weight: np.ndarray) -> np.ndarray:
+    """Regions named as noise, with all inside, that hold neither an article nor main nor most of the content."""
+    holds = [k in ("article", "main") and not n for k, n in zip(parser.kind, parser.noisy, strict=True)]
+    for i in range(len(holds) - 1, 0, -1):
+        holds[parser.parent[i]] |= holds[i]
+    out = np.zeros(len(weight), bool)
+    for i in range(1, len(out)):
+        out[i] = out[parser.parent[i]] or parser.noisy[i] and not holds[i] and weight[i] <= weight[0] / 2
+    return out
+
+
+def _region_text(parser: _Lines, out: np.ndarray) -> str:
+    texts, tags, owner, met = [], [], [], 0
+    for text, n, o in zip(parser.texts, parser.tags, parser.owner, strict=True):
+        met += n
+        if not out[o]:
+            texts.append(text)
+            tags.append(met)
+            owner.append(o)
+            met = 0
+    if not texts:
+        return ""
+    chars = np.array([len(t) for t in texts])
+    good, parent = content_lines(chars, np.array(tags)), parser.parent
+    own = np.bincount(owner, chars * good, minlength=len(parent))
+    weight, lines = _sums(chars * good, owner, parent), _sums(chars, owner, parent)
+    under = np.array(parser.noisy)
+    for i in range(1, len(under)):
+        under[i] |= under[parent[i]]
+    # an article inside a sidebar counts where it holds most of the content
+    named = [i for i, k in enumerate(parser.kind) if k.split(" ")[-1] in ("article", "main") and lines[i] > 0 and (not under[i] or weight[i] >= weight[0] / 2)]
+    articles = [i for i in named if parser.kind[i].endswith("article")]
+    if articles or named:
+        best = max(articles or named, key=lambda i: (weight[i], lines[i], -i))
+    else:  # the smallest region that holds four fifths of the content
+        best = int(own.argmax())
+        while best and weight[best] < 0.8 * weight[0]:
+            best = parent[best]
+    inside = np.zeros(len(weight), bool)
+    inside[best] = True
+    for i in range(best + 1, len(weight)):
+        inside[i] = inside[parent[i]]
+    return " ".join(t for t, o in zip(texts, owner, strict=True) if inside[o])
+
+
 def main_text(page: str | None) -> str:
     if not page:
         return ""
@@ -141,29 +218,15 @@ def main_text(page: str | None) -> str:
     parser._break()
     if not parser.texts:
         return ""
+    every = np.zeros(len(parser.parent), bool)
+    if not any(parser.noisy):
+        return _region_text(parser, every)
     chars = np.array([len(t) for t in parser.texts])
-    good = content_lines(chars, np.array(parser.tags))
-    # what each region holds, with the regions inside it
-    weight, lines = np.zeros(len(parser.parent)), np.zeros(len(parser.parent))
-    np.add.at(weight, parser.owner, chars * good)
-    np.add.at(lines, parser.owner, chars)
-    own = weight.copy()
-    for i in range(len(weight) - 1, 0, -1):
-        weight[parser.parent[i]] += weight[i]
-        lines[parser.parent[i]] += lines[i]
-    named = [i for i, k in enumerate(parser.kind) if k in ("article", "main") and lines[i] > 0]
-    articles = [i for i in named if parser.kind[i] == "article"]
-    if articles or named:
-        best = max(articles or named, key=lambda i: (weight[i], lines[i], -i))
-    else:  # the smallest region that holds four fifths of the content
-        best = int(own.argmax())
-        while best and weight[best] < 0.8 * weight[0]:
-            best = parser.parent[best]
-    inside = np.zeros(len(weight), bool)
-    inside[best] = True
-    for i in range(best + 1, len(weight)):
-        inside[i] = inside[parser.parent[i]]
-    return " ".join(t for t, o in zip(parser.texts, parser.owner, strict=True) if inside[o])
+    weight = _sums(chars * content_lines(chars, np.array(parser.tags)), np.array(parser.owner), parser.parent)
+    text = _region_text(parser, _left_out(parser, weight))
+    if len(text) < SMALL and len(text) < weight[0] / 4:  # the names say too much
+        text = max(text, _region_text(parser, every), key=len)
+    return text
 
 
 def extract(pages: DataFrame) -> DataFrame:

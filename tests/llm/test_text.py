@@ -139,6 +139,23 @@ def test_html_regions(wrap):
     assert html.main_text(PAGE % (wrap % BODY)) == WANT
 
 
+NOISY = [
+    "<div class='layout has-sidebar'><article>%s</article></div>", "<div id='page-with-menu'>%s</div>", "<div class='widget'><article>%s</article></div>", "<div class='sidebar'><main>%s</main></div>",
+    "<div class=menu><div class=share>%s</div></div>", "<article>%s<p class=ad>Buy this<p class=ad>and this</article>", "<article><p class=ad>Buy this%s</article>", "<div class=content><ul><li class=ad>Buy<li class=ad>now</ul>%s</div>",
+]
+
+
+@pytest.mark.parametrize("wrap", NOISY)
+def test_html_names_are_evidence_only(wrap):
+    assert html.main_text(PAGE % (wrap % BODY)) == WANT
+
+
+def test_html_names_inside_an_article():
+    head, work = "<div class='entry-header'><h1>Title</h1></div>", "<section id='related-work'><p>Earlier work on this matter</p></section>"
+    assert html.main_text(PAGE % f"<article>{head}{BODY}{work}</article>") == f"Title {WANT} Earlier work on this matter"
+    assert html.main_text("<body><div class='notice'>The only text</div>") == "The only text"
+
+
 def test_html_odd_rows(spark):
     rows = [(1, "u", None, "x"), (2, "u", "", "x"), (3, None, "plain text", "x"), (4, "u", "<p>unclosed <b>bold", "x"), (5, "u", "<article>" + "<p>word &lt;" * 20000, "x"), (6, "u", "<script>only</script>", "x"), (6, "u", "<script>only</script>", "x")]
     out = {r.page_id: r for r in html.extract(spark.createDataFrame(rows, "page_id long, url string, html string, text string")).collect()}
