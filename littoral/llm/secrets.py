@@ -29,6 +29,13 @@ ADDED = {
     "pem": (r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----", 0, 0),
     "jwt": (r"eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}", 0, 0),
 }
+#: A key block from its first line to its END line or, where that is cut off, to the end of the base64 lines; the
+#: group is the body. Possessive throughout, so a scan is linear and needs no stack. Its kind is that of the header in ADDED.
+_END, _GAP = r"-----END [A-Z ]{0,30}PRIVATE KEY-----", r"(?:\s|\\[nr])"
+KEY_BLOCK = (
+    ADDED["pem"][0] + rf"([^-]*+(?:-{{1,4}}+[^-]++)*+(?={_END})"
+    rf"|(?:{_GAP}*+(?:Proc-Type|DEK-Info):[^\r\n\\]*+)*+(?:{_GAP}*+[A-Za-z0-9+/]{{16,}}+={{0,2}}+)*+(?:{_GAP}++[A-Za-z0-9+/]{{1,15}}+={{1,2}}+)?+)(?:{_END})?+"
+)
 #: A candidate held by at least this many owners is a copied example.
 COPIED_OWNERS = 3
 SPAN = "array<struct<kind:string,start:int,end:int,hash:string>>"
@@ -47,7 +54,11 @@ def _kind_spans(text: Column, kind: str, pattern: str, group: int, least: int) -
     def step(acc: Column, x: Column) -> Column:
         start = acc["at"] + F.length(x["gap"])
         end = start + F.coalesce(F.length(x["m"]), F.lit(0))
-        span = F.array(F.struct(F.lit(kind).alias("kind"), start.alias("start"), end.alias("end"), F.sha2(x["v"], 256).alias("hash"))).cast(SPAN)
+        value = x["v"]
+        if kind == "pem":  # the body however its lines are broken; a header alone stands for itself
+            body = F.regexp_replace(value, _GAP, "")
+            value = F.when(F.length(body) > 0, body).otherwise(x["m"])
+        span = F.array(F.struct(F.lit(kind).alias("kind"), start.alias("start"), end.alias("end"), F.sha2(value, 256).alias("hash"))).cast(SPAN)
         keep = x["m"].isNotNull() & (F.length(x["v"]) >= least)
         return F.struct(end.alias("at"), F.when(keep, F.concat(acc["spans"], span)).otherwise(acc["spans"]).alias("spans"))
 
@@ -58,7 +69,7 @@ def _kind_spans(text: Column, kind: str, pattern: str, group: int, least: int) -
 def scan(docs: DataFrame) -> DataFrame:
     """``docs`` with ``secret_spans``: all spans by start, then kind as listed."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    kinds = {**BASE, **ADDED}
+    kinds = {**BASE, **ADDED, "pem": (KEY_BLOCK, 1, 0)}
     every = F.concat(*[_kind_spans(text, k, *v) for k, v in kinds.items()])
     def rank(kind: Column) -> Column:
         out = F.when(kind == F.lit(next(iter(kinds))), 0)

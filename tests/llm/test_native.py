@@ -1,3 +1,4 @@
+import base64
 import hashlib
 import math
 import os
@@ -184,3 +185,23 @@ def test_media_odd_rows_and_decoders(spark):
     assert (whole == big).all() and len(tiles) == 6
     exact = media.area_resize(np.arange(64.0).reshape(8, 8), 4, 2)
     assert np.allclose(exact, np.arange(64.0).reshape(4, 2, 2, 4).mean((1, 3)))
+
+
+def test_key_blocks_are_told_apart_and_masked_whole(spark):
+    def block(seed, end="\n-----END RSA PRIVATE KEY-----", gap="\n", head=""):
+        body = base64.b64encode(hashlib.sha512(seed).digest() * 3).decode()
+        return f"-----BEGIN RSA PRIVATE KEY-----{gap}{head}" + gap.join(body[i : i + 64] for i in range(0, len(body), 64)) + end
+
+    enc = "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-256-CBC,0011\n\n"
+    texts = [(block(b"shared"), f"s{i}") for i in range(3)] + [(block(b"shared", gap="\r\n"), "s3"), (block(b"own0"), "s0"), (block(b"own1", end=""), "s1"), (block(b"own2", gap="\\n"), "s2"), (block(b"own3", head=enc), "s3"), (block(b"own4", gap=" ", end=""), "s4")]
+    rows = [(i, f"before {t}\nand after {block(b'own0') if i == 4 else ''}", "en", s) for i, (t, s) in enumerate(texts)]
+    rows.append((99, "a line -----BEGIN RSA PRIVATE KEY----- starts a key " + "- x" * 50000, "en", "s5"))
+    found = secrets.find_secrets(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string"))
+    live = {r.doc_id: r for r in found.collect()}
+    clean = {r.doc_id: r.text for r in secrets.redact(found).collect()}
+    for i, text, *_ in rows[:9]:
+        assert [s.kind for s in live[i].secret_spans if s.kind == "pem"] == ["pem"] * text.count("BEGIN")
+        assert clean[i] == (text if i < 4 else text.replace(texts[i][0], "[SECRET]")), i
+    assert len({live[i].secret_spans[0].hash for i in range(4)}) == 1  # a copied example, however broken into lines
+    assert len({live[i].secret_spans[0].hash for i in range(9)}) == 6
+    assert [(s.kind, s.end - s.start) for s in live[99].secret_spans] == [("pem", 31)]
