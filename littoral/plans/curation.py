@@ -119,6 +119,14 @@ def j07(spark, d):
     return m.join(shipments(spark, d), "site").select(F.col("place").alias("site"), "day", "rain")
 
 
+@query("j07_nearest_series_whole", f"""WITH {place_sql("customer", "a")}, {place_sql("supplier", "b")}, {SHIP}, p AS (SELECT a.site, b.site AS other, {_PAIR} AS h FROM a, b), m AS (SELECT site, arg_min(other, ROW(ROUND({HAVERSINE}, 9), other)) AS st FROM p GROUP BY 1) SELECT m.site, ship.day, ship.rain FROM m JOIN ship ON ship.site = m.st""")
+def j07_whole(spark, d):
+    """All places; j07 keeps the few that its SQL names."""
+    right = places(spark, d).select(F.col("site").alias("station"), "lat", "lon")
+    m = spatial.nearest(places(spark, d, "customer"), right, "site", "station").select(F.col("site").alias("place"), F.col("nearest_station").alias("site"))
+    return m.join(shipments(spark, d), "site").select(F.col("place").alias("site"), "day", "rain")
+
+
 @query("j30_two_level_lookup", f"""WITH {place_sql("customer", "a")}, {place_sql("supplier", "b")}, cell AS (SELECT CAST(round_even(lat, 0) AS BIGINT) y, CAST(round_even(lon, 0) AS BIGINT) x, AVG(site) AS v FROM b GROUP BY 1, 2), p AS (SELECT a.site, b.site AS other, {_PAIR} AS h FROM a, b), q AS (SELECT site, other, {HAVERSINE} AS km FROM p), m AS (SELECT site, arg_min(other, ROW(km, other)) FILTER (km < 10) AS near FROM q GROUP BY 1)
  SELECT a.site, COALESCE(CAST(m.near AS DOUBLE), ROUND(cell.v, 6)) AS value FROM a LEFT JOIN m USING (site) LEFT JOIN cell ON cell.y = CAST(round_even(a.lat, 0) AS BIGINT) AND cell.x = CAST(round_even(a.lon, 0) AS BIGINT)""")
 def j30(spark, d):

@@ -8,6 +8,7 @@ import pytest
 from littoral import schemas, sinks
 from littoral.functions import core
 from littoral.operators import dedupe, entity, gates, metrics, models, rates, serving, spatial, temporal
+from littoral.plans import catalog, registry
 from littoral.sources import datastore, readers
 from pyspark.sql import functions as F
 
@@ -296,3 +297,17 @@ def test_entry_point_without_the_optional_package(monkeypatch):
     assert "a17_shrunk_rate" in entry.queries() and not [n for n in entry.queries() if n.startswith("op") or n == "pipeline"]
     assert set(entry.oracle_sql()) <= set(entry.queries())
     sys.modules.pop("__spark_entry__", None)
+
+
+def test_nearest_series_answers_every_place(spark):
+    d = "/root/testdata/sf0.001"
+    got = catalog.QUERIES["j07_nearest_series_whole"](spark, d).groupBy("site").agg(F.count(F.lit(1)).alias("n"), F.sum("rain").alias("rain")).collect()
+    stations, sums = registry.places(spark, d).collect(), {r.site: (r.n, r.rain) for r in registry.shipments(spark, d).groupBy("site").agg(F.count(F.lit(1)).alias("n"), F.sum("rain").alias("rain")).collect()}
+
+    def km(a, b):
+        h = math.sin(math.radians(b.lat - a.lat) / 2) ** 2 + math.cos(math.radians(a.lat)) * math.cos(math.radians(b.lat)) * math.sin(math.radians(b.lon - a.lon) / 2) ** 2
+        return 2 * 6371.0 * math.atan2(math.sqrt(h), math.sqrt(1 - h))
+
+    customers = registry.places(spark, d, "customer").collect()
+    want = {a.site: sums[min(stations, key=lambda b: (round(km(a, b), 9), b.site)).site] for a in customers}
+    assert len(want) > 100 and {r.site: (r.n, r.rain) for r in got} == want
