@@ -13,6 +13,10 @@ from pyspark.sql import functions as F
 def _by_score(rows: DataFrame, score: str, label: str, keys: list[str]) -> DataFrame:
     y = F.col(label).cast("int")
     per = rows.where(F.col(score).isNotNull() & F.col(label).isNotNull()).groupBy(*keys, F.col(score).alias("_s")).agg(F.sum(y).alias("_p"), F.sum(1 - y).alias("_n"))
+    return _running(per, keys)
+
+
+def _running(per: DataFrame, keys: list[str]) -> DataFrame:
     up = Window.partitionBy(*keys).orderBy(F.desc("_s")).rowsBetween(Window.unboundedPreceding, 0)
     whole = Window.partitionBy(*keys)
     return per.withColumns({"_tp": F.sum("_p").over(up), "_fp": F.sum("_n").over(up), "_all_p": F.sum("_p").over(whole), "_all_n": F.sum("_n").over(whole)})
@@ -106,15 +110,55 @@ def bootstrap(rows: DataFrame, cluster: str, score: str, label: str, replicates:
     """
     y = F.col(label).cast("double")
     per = rows.groupBy(cluster).agg(F.count(F.lit(1)).alias("_n"), F.sum(F.pow(F.col(score) - y, 2)).alias("_e"))
+    drawn = draws(per, cluster, replicates, seed)
+    scores = drawn.groupBy("replicate").agg((F.sum(F.col("_e") * F.col("_w")) / F.sum(F.col("_n") * F.col("_w"))).alias("brier"))
+    return scores.agg(F.count(F.lit(1)).alias("replicates"), F.percentile("brier", F.lit(0.025)).alias("low"), F.percentile("brier", F.lit(0.5)).alias("mid"), F.percentile("brier", F.lit(0.975)).alias("high"))
+
+
+def draws(per: DataFrame, cluster: str, replicates: int, seed: int) -> DataFrame:
+    """Every row of ``per`` once for each ``replicate``, with its cluster's draw ``_w``."""
     u = F.pmod(F.xxhash64(F.lit(seed), "replicate", cluster), F.lit(1 << 40)) / float(1 << 40)
     weight, total, term = F.lit(0), 0.0, 0.36787944117144233
     for k in range(1, 8):
         total += term
         weight = weight + (u >= total).cast("int")
         term /= k
-    drawn = per.withColumn("replicate", F.explode(F.sequence(F.lit(1), F.lit(replicates)))).withColumn("_w", weight)
-    scores = drawn.groupBy("replicate").agg((F.sum(F.col("_e") * F.col("_w")) / F.sum(F.col("_n") * F.col("_w"))).alias("brier"))
-    return scores.agg(F.count(F.lit(1)).alias("replicates"), F.percentile("brier", F.lit(0.025)).alias("low"), F.percentile("brier", F.lit(0.5)).alias("mid"), F.percentile("brier", F.lit(0.975)).alias("high"))
+    return per.withColumn("replicate", F.explode(F.sequence(F.lit(1), F.lit(replicates)))).withColumn("_w", weight)
+
+
+def bootstrap_pair(rows: DataFrame, cluster: str, a: str, b: str, label: str, replicates: int = 500, seed: int = 11) -> DataFrame:
+    """Intervals of two models' metrics and of their paired gap under the same resampled clusters.
+
+    One row per metric (aucpr, auroc, brier, within_auroc) and ``side`` (a, b, delta = a - b), with quantiles
+    at 0.025, 0.05, 0.5, 0.95 and 0.975. Rows are counted per cluster, model and score; a replicate weighs
+    these counts by its draws. Replicates without both classes are left out; fewer than two clusters give none.
+    """
+    y, name = F.col(label).cast("int"), F.coalesce(F.col(cluster).cast("string"), F.lit("\0"))
+    both = F.explode(F.array(*[F.struct(F.lit(k).alias("side"), F.col(c).cast("double").alias("_s")) for k, c in (("a", a), ("b", b))])).alias("x")
+    valid = rows.where(F.col(a).isNotNull() & F.col(b).isNotNull() & y.isNotNull()).select(name.alias("_c"), y.alias("_y"), both)
+    per = valid.groupBy("_c", "x.side", "x._s").agg(F.sum("_y").alias("_p"), F.sum(1 - F.col("_y")).alias("_n"))
+    enough = per.agg((F.count_distinct("_c") > 1).alias("_enough"))  # one row
+    per = per.join(F.broadcast(enough)).where("_enough").drop("_enough")
+    wins = F.sum(F.col("_p") * (F.col("_all_n") - F.col("_fp") + F.col("_n") / 2))
+    pos, neg = F.max("_all_p"), F.max("_all_n")
+
+    drawn = draws(per, "_c", replicates, seed).where("_w > 0")
+    pooled = drawn.groupBy("replicate", "side", "_s").agg(F.sum(F.col("_p") * F.col("_w")).alias("_p"), F.sum(F.col("_n") * F.col("_w")).alias("_n"))
+    ranked = _running(pooled, ["replicate", "side"]).where("_all_p > 0 and _all_n > 0").groupBy("replicate", "side")
+    whole = ranked.agg(
+        (F.sum(F.col("_p") * F.col("_tp") / (F.col("_tp") + F.col("_fp"))) / pos).alias("aucpr"), (wins / (pos * neg)).alias("auroc"),
+        (F.sum(F.col("_p") * F.pow(1 - F.col("_s"), 2) + F.col("_n") * F.pow("_s", F.lit(2.0))) / (pos + neg)).alias("brier"),
+    )
+    groups = _running(per, ["_c", "side"]).groupBy("_c", "side").agg(wins.alias("_wins"), (pos * neg).alias("_pairs")).where("_pairs > 0")
+    inner = draws(groups, "_c", replicates, seed).where("_w > 0").groupBy("replicate", "side").agg((F.sum(F.col("_wins") * F.col("_w")) / F.sum(F.col("_pairs") * F.col("_w"))).alias("within_auroc"))
+
+    names = ("aucpr", "auroc", "brier", "within_auroc")
+    tall = F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("v")) for m in names])).alias("x")
+    found = whole.join(inner, ["replicate", "side"], "left").select("replicate", "side", tall).where("x.v is not null").groupBy("replicate", "x.metric")
+    sides = found.agg(F.max(F.when(F.col("side") == "a", F.col("x.v"))).alias("a"), F.max(F.when(F.col("side") == "b", F.col("x.v"))).alias("b")).withColumn("delta", F.col("a") - F.col("b"))
+    each = sides.select("metric", F.explode(F.array(*[F.struct(F.lit(k).alias("side"), F.col(k).alias("v")) for k in ("a", "b", "delta")])).alias("x"))
+    at = {"low": 0.025, "low_90": 0.05, "mid": 0.5, "high_90": 0.95, "high": 0.975}
+    return each.groupBy("metric", "x.side").agg(F.count("x.v").alias("replicates"), *[F.percentile("x.v", F.lit(q)).alias(k) for k, q in at.items()])
 
 
 def fingerprint(rows: DataFrame, *columns: Column) -> DataFrame:

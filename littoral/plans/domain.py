@@ -172,7 +172,8 @@ def e05(spark, d):
 
 @query("e06_bootstrap")
 def e06(spark, d):
-    return metrics.bootstrap(scored(spark, d), "source", "p", "y").select("replicates", *[F.round(c, 6).alias(c) for c in ("low", "mid", "high")])
+    found = metrics.bootstrap_pair(scored(spark, d), "source", "p", "p0", "y")
+    return found.select("metric", "side", "replicates", *[F.round(c, 6).alias(c) for c in ("low", "low_90", "mid", "high_90", "high")])
 
 
 @query("a22_brier_diagnostics", f"""WITH {SCORED}, x AS (SELECT *, CAST(y AS INT) z FROM sc) SELECT source, lang, COUNT(*) AS n, CAST(SUM(z) AS BIGINT) AS positives, ROUND(AVG(p) - AVG(z), 6) AS bias, ROUND(AVG((p - z) ^ 2), 6) AS brier, ROUND(AVG((p - z) ^ 2) - AVG((p0 - z) ^ 2), 6) AS delta FROM x GROUP BY 1, 2""")

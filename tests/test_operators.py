@@ -311,3 +311,31 @@ def test_nearest_series_answers_every_place(spark):
     customers = registry.places(spark, d, "customer").collect()
     want = {a.site: sums[min(stations, key=lambda b: (round(km(a, b), 9), b.site)).site] for a in customers}
     assert len(want) > 100 and {r.site: (r.n, r.rain) for r in got} == want
+
+
+def test_paired_bootstrap_against_repeated_rows(spark):
+    rng = np.random.default_rng(5)
+    data = [(f"c{rng.integers(6)}", float(rng.integers(8)) / 8, float(rng.integers(8)) / 8, int(rng.integers(2))) for _ in range(80)] + [("c0", None, 0.5, 1)]
+    rows = spark.createDataFrame(data, "c string, a double, b double, y int")
+    got = {(r.metric, r.side): r for r in metrics.bootstrap_pair(rows, "c", "a", "b", "y", 40).collect()}
+    weights = {(r.c, r.replicate): r._w for r in metrics.draws(rows.select("c").distinct(), "c", 40, 11).collect()}
+
+    def scores(some):
+        p, y = np.array([x[0] for x in some]), np.array([x[1] for x in some])
+        steps = [(y[p >= t].sum(), (p >= t).sum()) for t in sorted(set(p), reverse=True)]
+        aucpr = sum((k - j) / y.sum() * k / n for (k, n), (j, _) in zip(steps, [(0, 0), *steps], strict=False))
+        return aucpr, np.mean([(i > j) + (i == j) / 2 for i in p[y == 1] for j in p[y == 0]]), np.mean((p - y) ** 2)
+
+    want = []
+    for k in range(1, 41):
+        some = [x for x in data if x[1] is not None for _ in range(weights[x[0], k])]
+        if len({x[3] for x in some}) == 2:
+            want.append([scores([(x[i], x[3]) for x in some]) for i in (1, 2)])
+    want = np.array(want)
+    for i, name in enumerate(("aucpr", "auroc", "brier")):
+        for side, values in (("a", want[:, 0, i]), ("b", want[:, 1, i]), ("delta", want[:, 0, i] - want[:, 1, i])):
+            r = got[name, side]
+            assert r.replicates == len(want)
+            assert np.allclose((r.low, r.low_90, r.mid, r.high_90, r.high), np.quantile(values, (0.025, 0.05, 0.5, 0.95, 0.975)))
+    assert got["within_auroc", "delta"].low <= got["within_auroc", "delta"].high
+    assert metrics.bootstrap_pair(rows.where("c = 'c1'"), "c", "a", "b", "y", 5).count() == 0
