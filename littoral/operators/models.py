@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from multiprocessing.pool import ThreadPool
+
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.clustering import KMeans
@@ -126,11 +128,13 @@ def undersampled_ensemble(rows: DataFrame, features: list[str], label: str, draw
     counts = {int(r[label]): r["count"] for r in rows.groupBy(F.col(label).cast("int").alias(label)).count().collect()}
     share = min(1.0, ratio * counts.get(1, 0) / max(1, counts.get(0, 1)))
     ready = VectorAssembler(inputCols=features, outputCol="_x", handleInvalid="skip").transform(rows)
-    out = []
-    for d in range(draws):
+
+    def fit(d: int):
         u = F.pmod(F.xxhash64(F.lit(d), *features), F.lit(1 << 20)) / float(1 << 20)
-        out.append(GBTClassifier(featuresCol="_x", labelCol=label, maxIter=trees, seed=d).fit(ready.where((F.col(label) == 1) | (u < share))))
-    return out
+        return GBTClassifier(featuresCol="_x", labelCol=label, maxIter=trees, seed=d).fit(ready.where((F.col(label) == 1) | (u < share)))
+
+    with ThreadPool(4) as pool:  # draws do not depend on each other
+        return pool.map(fit, range(draws))
 
 
 def ensemble_probability(models: list, rows: DataFrame, features: list[str]) -> DataFrame:

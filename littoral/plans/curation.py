@@ -267,7 +267,7 @@ def m05(spark, d):
 @query("m06_undersampled_ensemble")
 def m06(spark, d):
     rows = scored(spark, d).select("doc_id", "p", "p0", F.col("y").cast("int").alias("label"))
-    fitted = models.undersampled_ensemble(rows, ["p", "p0"], "label", draws=2, trees=3)
+    fitted = models.undersampled_ensemble(rows, ["p", "p0"], "label", draws=12, trees=250)
     return models.ensemble_probability(fitted, rows, ["p", "p0"]).select("doc_id", F.round("probability", 4).alias("probability"))
 
 

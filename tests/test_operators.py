@@ -339,3 +339,15 @@ def test_paired_bootstrap_against_repeated_rows(spark):
             assert np.allclose((r.low, r.low_90, r.mid, r.high_90, r.high), np.quantile(values, (0.025, 0.05, 0.5, 0.95, 0.975)))
     assert got["within_auroc", "delta"].low <= got["within_auroc", "delta"].high
     assert metrics.bootstrap_pair(rows.where("c = 'c1'"), "c", "a", "b", "y", 5).count() == 0
+
+
+def test_ensemble_is_registered_with_all_draws_and_trees(spark, monkeypatch):
+    seen, fit = {}, models.undersampled_ensemble
+
+    def small(*a, draws, trees):
+        seen.update(draws=draws, trees=trees)
+        return fit(*a, draws=2, trees=1)
+
+    monkeypatch.setattr(models, "undersampled_ensemble", small)
+    assert catalog.QUERIES["m06_undersampled_ensemble"](spark, "/root/testdata/sf0.001").count() > 0
+    assert seen == {"draws": 12, "trees": 250}
