@@ -151,6 +151,14 @@ def j29(spark, d):
     return rows.join(p, rows.l_partkey == p.p_partkey, "left").join(s, rows.l_suppkey == s.s_suppkey, "left").join(n, s.s_nationkey == n.n_nationkey, "left").select("l_orderkey", "l_linenumber", "p_brand", "s_name", "n_name")
 
 
+@query("j29_metadata_chain_whole", "SELECT l_orderkey, l_linenumber, p_brand, s_name, n_name FROM lineitem LEFT JOIN part ON l_partkey = p_partkey LEFT JOIN supplier ON l_suppkey = s_suppkey LEFT JOIN nation ON s_nationkey = n_nationkey")
+def j29_whole(spark, d):
+    """All rows; j29 keeps the quantities that its SQL names."""
+    p, s, n = (table(spark, d, t) for t in ("part", "supplier", "nation"))
+    rows = table(spark, d, "lineitem")
+    return rows.join(p, rows.l_partkey == p.p_partkey, "left").join(s, rows.l_suppkey == s.s_suppkey, "left").join(n, s.s_nationkey == n.n_nationkey, "left").select("l_orderkey", "l_linenumber", "p_brand", "s_name", "n_name")
+
+
 @query("j23_reindex", f"WITH {SHIP} SELECT s_suppkey AS site, COALESCE(rain, 0) AS rain FROM supplier LEFT JOIN (SELECT * FROM ship WHERE day = DATE '1998-03-03') x ON x.site = s_suppkey")
 def j23(spark, d):
     day = shipments(spark, d).where(F.col("day") == F.lit("1998-03-03").cast("date"))

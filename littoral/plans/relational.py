@@ -42,6 +42,12 @@ def j05(spark, d):
     return line.join(table(spark, d, "orders"), F.col("l_orderkey") == F.col("o_orderkey")).select("l_orderkey", "l_linenumber", "o_orderdate")
 
 
+@query("j05_inner_whole", "SELECT l_orderkey, l_linenumber, o_orderdate FROM lineitem JOIN orders ON l_orderkey = o_orderkey")
+def j05_whole(spark, d):
+    """All rows; j05 keeps the quantities that its SQL names."""
+    return table(spark, d, "lineitem").join(table(spark, d, "orders"), F.col("l_orderkey") == F.col("o_orderkey")).select("l_orderkey", "l_linenumber", "o_orderdate")
+
+
 @query("j06_all_days", "SELECT s_suppkey, day FROM supplier CROSS JOIN (SELECT DISTINCT CAST(ts AS DATE) AS day FROM events)")
 def j06(spark, d):
     days = table(spark, d, "events").select(F.to_date("ts").alias("day")).distinct().agg(F.collect_list("day").alias("days"))  # a calendar: bounded

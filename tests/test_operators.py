@@ -351,3 +351,9 @@ def test_ensemble_is_registered_with_all_draws_and_trees(spark, monkeypatch):
     monkeypatch.setattr(models, "undersampled_ensemble", small)
     assert catalog.QUERIES["m06_undersampled_ensemble"](spark, "/root/testdata/sf0.001").count() > 0
     assert seen == {"draws": 12, "trees": 250}
+
+
+@pytest.mark.parametrize("name", ["j29_metadata_chain_whole", "j05_inner_whole"])
+def test_joins_keep_every_row(spark, name):
+    d = "/root/testdata/sf0.001"
+    assert catalog.QUERIES[name](spark, d).count() == registry.table(spark, d, "lineitem").count()
