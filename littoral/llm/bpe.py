@@ -2,17 +2,21 @@
 
 A word (one match of the splitting pattern) is an array of bytes. A fold over it merges the
 leftmost pair of lowest rank, step by step; ranks come from a literal map in hash buckets, so
-a look-up costs the same at any size. Distinct words are counted over the
-whole corpus; those above a count, at most ``cache_words``, are folded once and stand in a
-second literal, and any other word is folded where it occurs. Texts never move between tasks.
+a look-up costs the same at any size. Distinct words are counted over the whole corpus; those
+above a count, at most ``cache_words``, are folded once, and their ids travel to the tasks as
+arrays of a bounded size. A text's other words are folded once for each text that holds them, so
+texts never move between tasks and nothing that grows with the vocabulary is sent. An Arrow
+function only strings the ids of the known words together and leaves a gap for each other one.
 Decoding joins the byte pieces of the ids.
 
-Words of more than LONG characters would cost the square of their length in the fold; they are
-merged by the same ranks with a heap, in an Arrow function that only such texts pass.
+A long word has many places where the same pair can be merged; there a step of the fold merges
+all of them from the left, as long as none of them makes a pair of lower rank. That is the order
+in which single merges would come, so the ids are the same.
 
 Defined cases: a null text is encoded as an empty one, which gives no ids; equal texts give
-equal ids; an empty table gives no rows; input columns named ``ids`` are replaced; ids outside
-the vocabulary decode to nothing.
+equal ids; an empty table gives no rows; very long texts are one row, and very long words cost
+time with their length and the number of their distinct merges; an input column named ``ids`` is
+replaced, all others are kept; ids outside the vocabulary decode to nothing.
 """
 
 from __future__ import annotations
@@ -21,17 +25,23 @@ import base64
 import heapq
 from functools import lru_cache
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from littoral.llm.common import Scratch, bucket, documents, literal
+from littoral.llm.common import Kept, Scratch, bucket, documents, let, literal
 
 CACHE_WORDS = 1 << 19
-LONG = 200
+#: Words of more characters take the steps that merge a pair everywhere; the result is the same.
+EVERYWHERE = 64
+#: A token of the fold in one long: the rank of its pair with the next token, its place, its id.
+ID_BITS, PLACE_BITS = 20, 23
 #: No such pair; above all ranks.
-NONE = (1 << 31) - 1
+NONE = (1 << ID_BITS) - 1
+RANK_AT = ID_BITS + PLACE_BITS
 #: White space as the tokenizer's own regular expressions define it (Unicode's property).
 SPACE = r"\t-\r \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
 
@@ -65,20 +75,94 @@ class Vocabulary:
 
     def __init__(self, path: str):
         self.ranks = load_ranks(path)
+        if max(self.ranks.values()) >= NONE:
+            raise ValueError(f"ids must lie below {NONE}: a pair of ids is packed into one number")
         self.pairs: dict[int, int] = {}
         for piece, rank in self.ranks.items():
             for at in range(1, len(piece)):
                 left, right = self.ranks.get(piece[:at]), self.ranks.get(piece[at:])
                 if left is not None and right is not None:
-                    self.pairs[left << 20 | right] = rank
-        self.apart = {piece: rank for piece, rank in self.ranks.items() if len(_merge_long(piece, self.ranks, False)) > 1}
+                    self.pairs[left << ID_BITS | right] = rank
+        self.apart = {piece: rank for piece, rank in self.ranks.items() if len(_merged(piece, self.ranks)) > 1}
 
     @staticmethod
-    @lru_cache(2)
+    @lru_cache(1)
     def of(path: str) -> Vocabulary:
         return Vocabulary(path)
 
 
+def _merged(raw: bytes, ranks: dict[bytes, int]) -> list[bytes]:
+    """The pieces that merging leaves of one piece of the vocabulary."""
+    start, after, before = list(range(len(raw))), list(range(1, len(raw) + 1)), list(range(-1, len(raw) - 1))
+    end, alive = [i + 1 for i in start], [True] * len(raw)
+    heap: list[tuple[int, int, int]] = []
+
+    def offer(i: int) -> None:
+        j = after[i]
+        if j < len(raw) and (rank := ranks.get(raw[i : end[j]])) is not None:
+            heapq.heappush(heap, (rank, i, end[j]))
+
+    for i in range(len(raw) - 1):
+        offer(i)
+    while heap:
+        _, i, stop = heapq.heappop(heap)
+        if not alive[i] or (j := after[i]) >= len(raw) or end[j] != stop:
+            continue
+        alive[j], end[i], after[i] = False, end[j], after[j]
+        if after[i] < len(raw):
+            before[after[i]] = i
+        offer(i)
+        if before[i] >= 0:
+            offer(before[i])
+    return [raw[i : end[i]] for i in range(len(raw)) if alive[i]]
+
+
+class Cache:
+    """Ids of the most frequent words as flat arrays."""
+
+    def __init__(self, words: pa.Array, ids: np.ndarray, ends: np.ndarray):
+        self.words, self.ids, self.ends = words, ids, ends
+
+    def look_up(self, texts: pa.ListArray) -> pa.StructArray:
+        """texts: the words of each text. ``runs``: ids of known words between the other ones; ``rare``: the
+        distinct other words of a text; ``at``: for each gap between runs the place of its word in ``rare``."""
+        flat = texts.flatten().dictionary_encode()
+        index, bounds = flat.indices.to_numpy(zero_copy_only=False), texts.offsets.to_numpy()
+        bounds = bounds - bounds[0]
+        found = pc.index_in(flat.dictionary, self.words).fill_null(-1).to_numpy(zero_copy_only=False)
+        starts, sizes = np.append(self.ends[:-1], 0), np.append(np.diff(self.ends), 0)  # the last is for no such word
+        parts, at = [], 0
+        while at < len(texts):  # so many texts at a time that their words are bounded, one at least
+            to = max(at + 1, int(np.searchsorted(bounds, bounds[at] + (1 << 18))) - 1)
+            to = min(to, len(texts))
+            parts.append(self._part(flat.dictionary, index[bounds[at] : bounds[to]], bounds[at : to + 1] - bounds[at], found, starts, sizes))
+            at = to
+        return pa.concat_arrays(parts) if parts else pa.array([], LOOKED)
+
+    def _part(self, words: pa.Array, index: np.ndarray, bounds: np.ndarray, found: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> pa.StructArray:
+        known = found[index]
+        size = sizes[known]
+        ends = np.cumsum(size)
+        ids = self.ids[np.repeat(starts[known] - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)]
+        ends = np.append(0, ends)
+        gap = np.flatnonzero(known < 0)
+        text = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))[gap]
+        # runs end at gaps and at the ends of texts
+        order = np.argsort(np.append(2 * gap + 1, 2 * bounds[1:]), kind="stable")
+        stops = np.append(ends[gap], ends[bounds[1:]])[order]
+        runs = pa.ListArray.from_arrays(pa.array(np.append(0, stops), pa.int32()), pa.array(ids, pa.int32()))
+        gaps = np.bincount(text, minlength=len(bounds) - 1)
+        runs = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(gaps + 1)), pa.int32()), runs)
+        own, place = np.unique(text * np.int64(len(words) + 1) + index[gap], return_inverse=True)
+        first = np.searchsorted(own, np.arange(len(bounds)) * np.int64(len(words) + 1))
+        rare = pa.ListArray.from_arrays(pa.array(first, pa.int32()), words.take(pa.array(own % (len(words) + 1))))
+        at = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(gaps)), pa.int32()), pa.array(place - first[text], pa.int32()))
+        return pa.StructArray.from_arrays([runs, at, rare], fields=list(LOOKED))
+
+
+LOOKED = pa.struct([("runs", pa.list_(pa.list_(pa.int32()))), ("at", pa.list_(pa.int32())), ("rare", pa.list_(pa.string()))])
+
+
 class Codec:
     """Column expressions over the literals of one vocabulary."""
 
@@ -89,9 +173,13 @@ class Codec:
         maps: list[dict[int, int]] = [{} for _ in range(self.buckets)]
         for key, rank in pairs.items():
             maps[xxhash.xxh64_intdigest(key.to_bytes(8, "little"), 42) % self.buckets][key] = rank
-        self.merges = literal(spark.createDataFrame([(maps,)], "v array<map<bigint,int>>"))
+        self.merges = literal(spark.createDataFrame([(maps,)], "v array<map<bigint,bigint>>"))
         del maps
-        self.bytes = literal(spark.createDataFrame([([ranks.get(bytes([i]), 0) for i in range(256)],)], "v array<int>"))
+        single = [ranks.get(bytes([i]), 0) for i in range(256)]
+        self.bytes = literal(spark.createDataFrame([(single,)], "v array<bigint>"))
+        #: ranks of all pairs of bytes, by 256 times the first plus the second
+        first = [ranks.get(bytes([i, j]), NONE) for i in range(256) for j in range(256)]
+        self.first = literal(spark.createDataFrame([(first,)], "v array<bigint>"))
         self.size = max(ranks.values()) + 1
         pieces = [""] * self.size
         for piece, rank in ranks.items():
@@ -100,94 +188,112 @@ class Codec:
         self.spelling = literal(spark.createDataFrame([(spelling,)], "v array<struct<id:string,piece:string>>"))
 
     def rank(self, left: Column, right: Column) -> Column:
-        """The rank (and id) of the piece that two ids merge to, or NONE."""
-        key = F.shiftleft(left.cast("long"), 20).bitwiseOR(right.cast("long"))
-        return F.coalesce(F.element_at(F.get(self.merges, bucket(key, self.buckets)), key), F.lit(NONE))
+        """The rank (and id) of the piece that two ids merge to, or NONE; null ids merge with nothing."""
+        key = F.shiftleft(left, ID_BITS).bitwiseOR(right)
+        return F.coalesce(F.element_at(F.get(self.merges, bucket(key, self.buckets)), key), F.lit(NONE).cast("long"))
 
     def words(self, text: Column) -> Column:
         return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(self.pattern), F.lit(0))
 
     def fold(self, word: Column) -> Column:
-        """The ids of one word: a fold that keeps the ids and the ranks of neighbours, and merges the leftmost pair of lowest rank."""
-
-        def step(state: Column, _: Column) -> Column:
-            ids, ranks = state["ids"], state["ranks"]
-
-            def merge(found: Column) -> Column:
-                best, at = found["best"], found["at"]
-                left, right = F.get(ids, at - 1), F.get(ids, at + 2)
-                # the pair's first place takes the merged id, its second goes; so do the ranks, of which two are new
-                new_ids = F.filter(F.transform(ids, lambda x, i: F.when(i == at, best).otherwise(x)), lambda x, i: i != at + 1)
-                new_ranks = F.transform(ranks, lambda r, i: F.when(i == at, self.rank(best, right)).when(i == at - 1, self.rank(left, best)).otherwise(r))
-                merged = F.struct(new_ids.alias("ids"), F.filter(new_ranks, lambda r, i: i != at + 1).alias("ranks"))
-                return F.when(best >= NONE, state).otherwise(merged)
-
-            # rank and place in one number: the least is the leftmost pair of lowest rank
-            codes = F.transform(ranks, lambda r, i: F.shiftleft(r.cast("long"), 20).bitwiseOR(i.cast("long")))
-            least = F.array(F.coalesce(F.array_min(codes), F.lit(NONE << 20)))
-            place = F.transform(least, lambda c: F.struct(F.shiftright(c, 20).cast("int").alias("best"), c.bitwiseAND(F.lit((1 << 20) - 1).cast("long")).cast("int").alias("at")))
-            return F.element_at(F.transform(place, merge), 1)
-
-        letters = F.split(F.decode(F.encode(word, "UTF-8"), "ISO-8859-1"), "")
-        ids = F.transform(letters, lambda c: F.get(self.bytes, F.ascii(c)))
-
-        def start(ids: Column) -> Column:
-            ranks = F.when(F.size(ids) > 1, F.transform(F.sequence(F.lit(1), F.size(ids) - 1), lambda i: self.rank(F.get(ids, i - 1), F.get(ids, i)))).otherwise(F.array().cast("array<int>"))
-            first = F.struct(ids.alias("ids"), ranks.alias("ranks"))
-            return F.aggregate(ranks, first, step, lambda state: state["ids"])
-
-        folded = F.element_at(F.transform(F.array(ids), start), 1)
+        """The ids of one word.
+
+        The state holds a token in one long, its pair's rank in the high bits and its place in the
+        word below, so the least number is the leftmost pair of lowest rank.
+        """
+        id_mask, place_mask, below = F.lit(NONE).cast("long"), F.lit(((1 << PLACE_BITS) - 1) << ID_BITS).cast("long"), F.lit((1 << RANK_AT) - 1).cast("long")
+        none = F.lit(NONE << RANK_AT).cast("long")
+
+        def id_of(x: Column) -> Column:
+            return x.bitwiseAND(id_mask)
+
+        def ranked(left: Column, right: Column) -> Column:
+            return F.shiftleft(self.rank(left, right), RANK_AT)
+
+        def once(state: Column, best: Column) -> Column:
+            """The leftmost pair of lowest rank merged."""
+            rank = F.shiftright(best, RANK_AT)
+
+            def changed(x: Column, i: Column) -> Column:
+                merged = ranked(rank, id_of(F.get(state, i + 2))).bitwiseOR(best.bitwiseAND(place_mask)).bitwiseOR(rank)
+                before = ranked(id_of(x), rank).bitwiseOR(x.bitwiseAND(below))
+                return F.when(x == best, merged).when(F.get(state, i + 1) == best, before).otherwise(x)
+
+            return F.filter(F.transform(state, changed), lambda _, i: (i == 0) | (F.get(state, i - 1) != best))
+
+        def everywhere(state: Column, best: Column) -> Column:
+            """All pairs of lowest rank merged, from the left; only the first where one of them makes a pair of lower rank."""
+            rank = F.shiftright(best, RANK_AT)
+            flags = F.array_join(F.transform(state, lambda x: F.when(F.shiftright(x, RANK_AT) == rank, "1").otherwise("0")), "")
+
+            def merge(taken: Column) -> Column:
+                def changed(x: Column, i: Column) -> Column:
+                    after = F.when(F.get(taken, i + 2) == "1", rank).otherwise(id_of(F.get(state, i + 2)))
+                    merged = ranked(rank, after).bitwiseOR(x.bitwiseAND(place_mask)).bitwiseOR(rank)
+                    before = ranked(id_of(x), rank).bitwiseOR(x.bitwiseAND(below))
+                    return F.when(F.get(taken, i) == "1", merged).when(F.get(taken, i + 1) == "1", before).otherwise(x)
+
+                return F.filter(F.transform(state, changed), lambda _, i: (i == 0) | (F.get(taken, i - 1) != "1"))
+
+            def checked(new: Column) -> Column:
+                return F.when(F.shiftright(F.array_min(new), RANK_AT) < rank, once(state, best)).otherwise(new)
+
+            # of neighbouring pairs the left one goes first, which takes a token of the next
+            return let(let(F.split(F.replace(flags, F.lit("11"), F.lit("10")), ""), merge), checked)
+
+        def start(raw: Column) -> Column:
+            """raw: the word's bytes."""
+
+            def token(b: Column, i: Column) -> Column:
+                pair = F.coalesce(F.get(self.first, b * 256 + F.get(raw, i + 1)), F.lit(NONE).cast("long"))
+                return F.shiftleft(pair, RANK_AT).bitwiseOR(F.shiftleft(i.cast("long"), ID_BITS)).bitwiseOR(F.get(self.bytes, b))
+
+            return F.transform(raw, token)
+
+        def fold_once(raw: Column) -> Column:
+            def turn(state: Column, _: Column) -> Column:
+                return let(F.array_min(state), lambda best: F.when(best >= none, state).otherwise(once(state, best)))
+
+            return F.aggregate(turns(raw), start(raw), turn, ids_of)
+
+        def fold_everywhere(raw: Column) -> Column:
+            def with_best(state: Column) -> Column:  # the turns after the last merge need not look for it
+                return F.struct(state.alias("tokens"), F.array_min(state).alias("best"))
+
+            def turn(state: Column, _: Column) -> Column:
+                return F.when(state["best"] >= none, state).otherwise(let(everywhere(state["tokens"], state["best"]), with_best))
+
+            # turns in blocks, so that those after the last merge, each of which copies the state, are few
+            block = F.sequence(F.lit(1), F.ceil(F.sqrt(F.size(raw))).cast("int"))
+
+            def some(state: Column, _: Column) -> Column:
+                return F.when(state["best"] >= none, state).otherwise(F.aggregate(block, state, turn))
+
+            return F.aggregate(block, let(start(raw), with_best), some, lambda state: ids_of(state["tokens"]))
+
+        def turns(raw: Column) -> Column:
+            return F.sequence(F.lit(2), F.greatest(F.size(raw), F.lit(2)))
+
+        def ids_of(state: Column) -> Column:
+            return F.transform(state, lambda x: id_of(x).cast("int"))
+
+        raw = F.transform(F.split(F.decode(F.encode(word, "UTF-8"), "ISO-8859-1"), ""), lambda c: F.ascii(c))
+        out = F.when(F.length(word) <= EVERYWHERE, let(raw, fold_once)).otherwise(let(raw, fold_everywhere))
         for piece, rank in self.vocabulary.apart.items():
-            folded = F.when(word.cast("binary") == F.lit(bytearray(piece)), F.array(F.lit(rank))).otherwise(folded)
-        return folded
+            out = F.when(word.cast("binary") == F.lit(bytearray(piece)), F.array(F.lit(rank))).otherwise(out)
+        return out
 
-    def cache(self, counts: DataFrame, words: int, scratch: Scratch) -> Column | None:
-        """A literal of the ids of the most frequent words: all above one count, ``words`` at most."""
+    def cache(self, counts: DataFrame, words: int) -> Cache:
+        """The ids of the most frequent words: all above one count, ``words`` at most."""
         grade = F.floor(F.log2("n") * 16).cast("int")
         left, least = words, None
         for r in counts.groupBy(grade.alias("g")).agg(F.count(F.lit(1)).alias("k")).orderBy(F.desc("g")).collect():
             if r.k > left:
                 break
             left, least = left - r.k, r.g
-        if least is None:
-            return None
-        buckets = 1 << max(4, (words - left).bit_length())
-        own = counts.where(grade >= least).select("w", self.fold(F.col("w")).alias("ids"))
-        filled = own.groupBy(bucket(F.col("w"), buckets).alias("b")).agg(F.collect_list(F.struct("w", "ids")).alias("e"))
-        every = self.spark.range(0, buckets, 1, 1).select(F.col("id").cast("int").alias("b"))
-        filled = scratch.save(every.join(filled, "b", "left"), "cache")
-        one = filled.groupBy().agg(F.array_sort(F.collect_list(F.struct("b", F.coalesce("e", F.expr("cast(array() as array<struct<w:string,ids:array<int>>>)")).alias("e")))).alias("v"))
-        self.cache_buckets = buckets
-        return literal(one.select(F.transform("v", lambda x: F.map_from_entries(x["e"])).alias("v")))
-
-
-def _merge_long(raw: bytes, ranks: dict[bytes, int], whole: bool = True) -> list[int]:
-    """Merges by rank, leftmost first, with a heap over a linked list of pieces."""
-    if whole and raw in ranks:
-        return [ranks[raw]]
-    start, after, before = list(range(len(raw))), list(range(1, len(raw) + 1)), list(range(-1, len(raw) - 1))
-    end = [i + 1 for i in start]
-    alive = [True] * len(raw)
-    heap: list[tuple[int, int, int]] = []
-
-    def offer(i: int) -> None:
-        j = after[i]
-        if j < len(raw) and (rank := ranks.get(raw[i : end[j]])) is not None:
-            heapq.heappush(heap, (rank, i, end[j]))
-
-    for i in range(len(raw) - 1):
-        offer(i)
-    while heap:
-        _, i, stop = heapq.heappop(heap)
-        if not alive[i] or (j := after[i]) >= len(raw) or end[j] != stop:
-            continue
-        alive[j], end[i], after[i] = False, end[j], after[j]
-        if after[i] < len(raw):
-            before[after[i]] = i
-        offer(i)
-        if before[i] >= 0:
-            offer(before[i])
-    return [ranks[raw[i : end[i]]] for i in range(len(raw)) if alive[i]]
+        own = counts.where(grade >= least if least is not None else F.lit(False)).select("w", self.fold(F.col("w")).alias("ids")).toArrow()
+        found, ids = own.column("w").combine_chunks(), own.column("ids").combine_chunks()
+        return Cache(found, ids.flatten().to_numpy(zero_copy_only=False).astype(np.int32), ids.offsets.to_numpy().astype(np.int64) - (ids.offsets[0].as_py() if len(ids) else 0))
 
 
 def encode(docs: DataFrame, path: str | None = None, pattern: str | None = None, cache_words: int = CACHE_WORDS, text: str = "text") -> tuple[DataFrame, Codec]:
@@ -195,37 +301,26 @@ def encode(docs: DataFrame, path: str | None = None, pattern: str | None = None,
     spark = docs.sparkSession
     own = default_tokenizer()
     codec = Codec(spark, path or own[0], pattern or own[1])
-    scratch = Scratch(spark, "bpe")
-    column = F.col(text)
-    has_long = F.coalesce(column.rlike(rf"[^{SPACE}]{{{LONG},}}|[{SPACE}]{{{LONG},}}"), F.lit(False))
-    # long words are counted together, under null
-    occurring = docs.select(F.explode(codec.words(column)).alias("w")).select(F.when(F.length("w") <= LONG, F.col("w")).alias("w"))
-    counts = scratch.save(occurring.groupBy("w").agg(F.count(F.lit(1)).alias("n")).where("n > 1 or w is null"), "counts")
-    any_long = not counts.where("w is null").isEmpty()
-    counts = counts.where("w is not null")
-    cached = codec.cache(counts, cache_words, scratch)
-
-    def ids(word: Column) -> Column:
-        if cached is None:
-            return codec.fold(word)
-        return F.coalesce(F.element_at(F.get(cached, bucket(word, codec.cache_buckets)), word), codec.fold(word))
-
-    docs = docs.drop("ids")
-    folded = F.flatten(F.transform(codec.words(column), ids))
-    if not any_long:
-        return docs.withColumn("ids", folded), codec
-    ranks = spark.sparkContext.broadcast(codec.vocabulary.ranks)  # bounded by the vocabulary
-
-    @F.pandas_udf("array<array<int>>")
-    def merge_long(found: pd.Series) -> pd.Series:
-        return found.map(lambda ws: [_merge_long(w.encode(), ranks.value) for w in ws])
-
-    short = docs.where(~has_long).withColumn("ids", folded)
-    long_words = F.array_distinct(F.filter("_words", lambda w: F.length(w) > LONG))
-    rest = docs.where(has_long).withColumn("_words", codec.words(column)).withColumn("_long", long_words)
-    rest = rest.withColumn("_map", F.map_from_arrays("_long", merge_long("_long")))
-    mixed = F.transform("_words", lambda w: F.when(F.length(w) > LONG, F.element_at(F.col("_map"), w)).otherwise(ids(w)))
-    return short.unionByName(rest.withColumn("ids", F.flatten(mixed)).drop("_words", "_long", "_map")), codec
+    kept = Kept(docs, text)
+    scratch, split = Scratch(spark, "bpe"), codec.words(F.col(text))
+    counts = kept.frame.select(F.explode(split).alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    cache = codec.cache(scratch.save(counts, "counts"), cache_words)
+    scratch.drop("counts")
+    sent = spark.sparkContext.broadcast(cache)  # cache_words at most
+
+    @F.arrow_udf("runs array<array<int>>, at array<int>, rare array<string>")
+    def look_up(words: pa.Array) -> pa.Array:
+        return sent.value.look_up(words)
+
+    none = F.array().cast("array<int>")
+
+    def filled(x: Column) -> Column:
+        """The runs with the ids of the other words between them."""
+        fill = lambda rare: F.flatten(F.zip_with(x["runs"], x["at"], lambda run, k: F.concat(run, F.coalesce(F.get(rare, k), none))))
+        return F.when(F.size(x["rare"]) > 0, let(F.transform(x["rare"], codec.fold), fill)).otherwise(F.flatten(x["runs"]))
+
+    looked = kept.frame.withColumn("looked", look_up(split))
+    return kept.back(looked.withColumn("ids", filled(F.col("looked"))), "ids"), codec
 
 
 def spell(codec: Codec, ids: Column) -> Column:

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from collections.abc import Callable
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,9 +16,11 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder; a local one is made only where the cluster names none."""
+    """The cluster's shared folder; a local one is made only for a session without a cluster that names none."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not re.fullmatch(r"local(\[.*])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="littoral-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
@@ -42,6 +46,36 @@ class Scratch:
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+#: Columns that an operator does not use bear names with this prefix inside it.
+_KEPT = "littoral_kept_"
+
+
+class Kept:
+    """The columns that an operator carries through without using them.
+
+    ``Kept(docs, "text").frame`` has the named columns as they are and all others under reserved
+    names, by position, so no name of the input can clash with one that the operator gives.
+    ``back`` restores the names; input columns that bear the name of an output column (in either
+    case) are replaced.
+    """
+
+    def __init__(self, docs: DataFrame, *used: str):
+        self.names, lower = docs.columns, {u.lower(): u for u in used}
+        self.inside = [lower.get(c.lower(), f"{_KEPT}{i}") for i, c in enumerate(self.names)]
+        self.frame = docs.toDF(*self.inside)
+
+    def back(self, out: DataFrame, *made: str) -> DataFrame:
+        """The input's columns of ``out``, in order, and those that were made."""
+        new = {m.lower() for m in made}
+        own = [F.col(i).alias(n) for n, i in zip(self.names, self.inside, strict=True) if n.lower() not in new]
+        return out.select(*own, *made)
+
+
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once, inside interpreted expressions too."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def words(text: Column) -> Column:
     """All words of a text; null gives an empty array."""
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(WORD), F.lit(0))
