@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from littoral.llm.common import Kept, Scratch, bucket, documents, let, literal
+from littoral.llm.common import Kept, Scratch, bucket, documents, let, literal, some_texts
 
 CACHE_WORDS = 1 << 19
 #: Words of more characters take the steps that merge a pair everywhere; the result is the same.
@@ -126,20 +126,15 @@ class Cache:
     def look_up(self, texts: pa.ListArray) -> pa.StructArray:
         """texts: the words of each text. ``runs``: ids of known words between the other ones; ``rare``: the
         distinct other words of a text; ``at``: for each gap between runs the place of its word in ``rare``."""
+        parts = [self._part(part) for part in some_texts(texts)]
+        return pa.concat_arrays(parts) if parts else pa.array([], LOOKED)
+
+    def _part(self, texts: pa.ListArray) -> pa.StructArray:
         flat = texts.flatten().dictionary_encode()
-        index, bounds = flat.indices.to_numpy(zero_copy_only=False), texts.offsets.to_numpy()
+        words, index, bounds = flat.dictionary, flat.indices.to_numpy(zero_copy_only=False), texts.offsets.to_numpy()
         bounds = bounds - bounds[0]
-        found = pc.index_in(flat.dictionary, self.words).fill_null(-1).to_numpy(zero_copy_only=False)
+        found = pc.index_in(words, self.words).fill_null(-1).to_numpy(zero_copy_only=False)
         starts, sizes = np.append(self.ends[:-1], 0), np.append(np.diff(self.ends), 0)  # the last is for no such word
-        parts, at = [], 0
-        while at < len(texts):  # so many texts at a time that their words are bounded, one at least
-            to = max(at + 1, int(np.searchsorted(bounds, bounds[at] + (1 << 18))) - 1)
-            to = min(to, len(texts))
-            parts.append(self._part(flat.dictionary, index[bounds[at] : bounds[to]], bounds[at : to + 1] - bounds[at], found, starts, sizes))
-            at = to
-        return pa.concat_arrays(parts) if parts else pa.array([], LOOKED)
-
-    def _part(self, words: pa.Array, index: np.ndarray, bounds: np.ndarray, found: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> pa.StructArray:
         known = found[index]
         size = sizes[known]
         ends = np.cumsum(size)
@@ -306,11 +301,11 @@ def encode(docs: DataFrame, path: str | None = None, pattern: str | None = None,
     counts = kept.frame.select(F.explode(split).alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     cache = codec.cache(scratch.save(counts, "counts"), cache_words)
     scratch.drop("counts")
-    sent = spark.sparkContext.broadcast(cache)  # cache_words at most
+    sent = spark.sparkContext.broadcast((cache.words, cache.ids, cache.ends))  # cache_words at most
 
     @F.arrow_udf("runs array<array<int>>, at array<int>, rare array<string>")
     def look_up(words: pa.Array) -> pa.Array:
-        return sent.value.look_up(words)
+        return Cache(*sent.value).look_up(words)
 
     none = F.array().cast("array<int>")
 

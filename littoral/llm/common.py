@@ -5,9 +5,10 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -81,6 +82,19 @@ def words(text: Column) -> Column:
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(WORD), F.lit(0))
 
 
+#: Words that a task has in hand at once, about.
+WORDS_AT_ONCE = 1 << 19
+
+
+def some_texts(texts: pa.ListArray) -> Iterator[pa.ListArray]:
+    """Slices of lists that hold a bounded number of items; a longer list is a slice of its own."""
+    bounds, at = texts.offsets.to_numpy(), 0
+    while at < len(texts):
+        to = max(at + 1, int(np.searchsorted(bounds, bounds[at] + WORDS_AT_ONCE, "right")) - 1)
+        yield texts.slice(at, to - at)
+        at = to
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

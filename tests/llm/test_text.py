@@ -1,5 +1,6 @@
 import base64
 import hashlib
+import math
 import os
 import struct
 import sys
@@ -11,6 +12,7 @@ import numpy as np
 import pandas as pd
 import public_tokenizers
 import pytest
+import regex
 import tiktoken
 
 sys.path.insert(0, os.path.dirname(__file__))
@@ -68,22 +70,80 @@ def test_language_on_held_out_documents(spark):
     assert len(right) > 100 and np.mean(right) > 0.97
 
 
+VOCABULARY = {base64.b64decode(line.split()[0]) for line in open(PATH, "rb")} | {bytes([i]) for i in range(256)}
+
+
+def plain_sums(word, p, number):
+    """The logarithm of the sum over all segmentations, piece by piece, and the expected number of each piece."""
+    n, languages = len(word), p.shape[1]
+    longest = max(map(len, VOCABULARY))
+    spans = [(i, j, number[word[i:j]]) for i in range(n) for j in range(i + 1, min(n, i + longest) + 1) if word[i:j] in number]
+    left, right = [[-math.inf] * languages for _ in range(n + 1)], [[-math.inf] * languages for _ in range(n + 1)]
+    left[0], right[n] = [0.0] * languages, [0.0] * languages
+    for i, j, x in spans:
+        left[j] = [float(np.logaddexp(left[j][k], left[i][k] + math.log(p[x, k]))) for k in range(languages)]
+    for i, j, x in reversed(spans):
+        right[i] = [float(np.logaddexp(right[i][k], right[j][k] + math.log(p[x, k]))) for k in range(languages)]
+    expected = Counter()
+    for i, j, x in spans:
+        for k in range(languages):
+            expected[x, k] += math.exp(left[i][k] + math.log(p[x, k]) + right[j][k] - left[n][k])
+    return left[n], expected
+
+
 def test_forward_sums_all_segmentations():
-    pieces = language.Pieces(PATH)
-    p = np.zeros((pieces.count + 1, 2))
-    p[:-1] = np.random.default_rng(1).random((pieces.count, 2)) / 100
-
-    def slow(word: bytes) -> np.ndarray:
-        if not word:
-            return np.ones(2)
-        total = np.zeros(2)
-        for size in range(1, min(8, len(word)) + 1):
-            found = pieces.find(np.array([int.from_bytes(word[:size], "big")], np.uint64), size)[0]
-            total = total + p[found] * slow(word[size:])
-        return total
-
-    some = [b" the", b" tion", "été".encode(), b"a"]
-    assert np.allclose(language.word_scores(some, pieces, p), np.log([slow(w) for w in some]))
+    pieces = language.Pieces.load(PATH)
+    number = {piece: k for k, piece in enumerate(sorted(VOCABULARY))}
+    p = np.random.default_rng(1).random((pieces.count, 2)) / 100
+    some = [" the", " tion", "été", "a", " internationalization", "donaudampfschifffahrtselektrizitätenhauptbetriebswerk", " " + "日本語の漢字テキスト" * 4, " " + "x" * 500]
+    some = [w.encode() for w in some] + [max(VOCABULARY, key=len)]
+    weights = language.Weights(pieces, p)
+    assert any(len(w) > 60 for w in some)
+    assert np.allclose(weights.scores(some), [plain_sums(w, p, number)[0] for w in some])
+    counts = np.arange(1.0, 2 * len(some) + 1).reshape(-1, 2)
+    want = np.zeros_like(p)
+    for w, n in zip(some, counts, strict=True):
+        for (x, k), e in plain_sums(w, p, number)[1].items():
+            want[x, k] += e * n[k]
+    assert np.allclose(weights.expected(some, counts), want)
+
+
+def test_language_query_against_plain_sums(spark, tmp_path):
+    """All of op9: the same sample, rounds and sums in plain loops, over short texts and some odd ones."""
+    docs = pd.read_parquet(f"{SMALL}/documents.parquet")[["doc_id", "text", "lang"]]
+    docs["text"] = [t[:90] for t in docs.text]
+    odd = [(9001, "donaudampfschifffahrtselektrizitätenhauptbetriebswerkbauunterbeamter", None), (9002, "日本語の漢字テキスト" * 5, None), (9003, "12 34", "en"), (9004, "", None)]
+    docs = pd.concat([docs, pd.DataFrame(odd, columns=docs.columns)], ignore_index=True)
+    docs.to_parquet(tmp_path / "documents.parquet")
+    pattern = regex.compile(r"\p{L}+")
+    words = {i: [b" " + w.encode() for w in pattern.findall(t.lower())] for i, t in zip(docs.doc_id, docs.text, strict=True)}
+    own = docs[docs.lang.notna() & np.array([zlib.crc32(str(i).encode()) % 5 != 0 for i in docs.doc_id])]
+    langs, sizes = sorted(set(own.lang)), Counter(own.lang)
+    assert max(sizes.values()) <= language.SAMPLE_DOCS  # so all are taken
+    counts = [Counter(w for i in own.doc_id[own.lang == x] for w in words[i]) for x in langs]
+    number = {piece: k for k, piece in enumerate(sorted(VOCABULARY))}
+    longest = max(map(len, VOCABULARY))
+    first = np.zeros((len(number), len(langs)))
+    for k, c in enumerate(counts):
+        for w, n in c.items():
+            for i in range(len(w)):
+                for j in range(i + 1, min(len(w), i + longest) + 1):
+                    if w[i:j] in number:
+                        first[number[w[i:j]], k] += n
+    p = language.normal(first)
+    for _ in range(language.ROUNDS):
+        found = np.zeros_like(p)
+        for w in set().union(*counts):
+            for (x, k), e in plain_sums(w, p, number)[1].items():
+                found[x, k] += e * counts[k][w]
+        p = language.normal(found)
+    of_word = {w: np.array(plain_sums(w, p, number)[0]) for ws in words.values() for w in ws}
+    for r in language.op9_language(spark, str(tmp_path)).collect():
+        ws = words[r.doc_id]
+        total = sum((of_word[w] for w in ws), np.zeros(len(langs)))
+        odds = np.exp(total - total.max())
+        assert r.lang_pred == (langs[int(total.argmax())] if ws else "und")
+        assert np.isclose(r.score, odds.max() / odds.sum() if ws else 0, atol=1e-3)
 
 
 def test_language_odd_rows(spark):
