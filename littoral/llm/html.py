@@ -1,17 +1,21 @@
 """HTML extraction from streaming parser events and text-to-tag ratios.
 
-The standard library's parser sends events; a line is the text between two block tags, with
-the number of tags met in it. Text of boilerplate elements (by tag or role) is never
-collected. Elements with a boilerplate class or id are left out unless they hold an article, a
-main element or most of the content, or little is left without them. The ratio of text to tags per line is smoothed by a Gaussian and split into two
-clusters; the region whose content lines hold most text is the main one, and ``article`` or
-``main`` elements are preferred as regions where a page has them. All lines of the region are
-returned in page order.
+The standard library's parser sends events; a line is the text between two block tags, with the
+tags met in it and the container it lies in. The logarithm of its text (outside links) per tag is
+its ratio. Boilerplate elements and roles give the ratio no weight, class and id names of
+boilerplate little, as does a place outside of ``article`` and ``main`` where these hold most of
+the page's other text. Ratios are smoothed by a Gaussian over neighbouring lines and split into
+two clusters by a threshold: the upper one is content.
+
+Containers of one kind (boilerplate or not, inside an article or not) form a region. A region
+whose text is content for the most part is taken whole, short lines included; one with hardly any
+is left out; in between, its inner containers are judged the same way and its own lines one by one. Where only
+regions with names of noise are left, the one with most content stands.
 
 Defined cases: null or empty pages and pages without text give an empty text; unclosed tags
 end with their parent or the page; very long pages are parsed as a stream; equal pages give
 equal results; an empty table gives no rows; input columns named like an output column are
-replaced.
+replaced, all others are kept.
 """
 
 from __future__ import annotations
@@ -24,38 +28,50 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from littoral.llm.common import Kept
+
 # HTML element names by their role on a page.
 BLOCK = frozenset(
     "address article aside blockquote body br caption center dd details dialog dir div dl dt fieldset figcaption figure footer form frame h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol option p pre section summary table tbody td tfoot th thead title tr ul".split()
 )
 CONTAINER = frozenset(
-    "article aside blockquote body button details dialog div dl fieldset figure footer form head header html iframe main menu nav noscript object ol section select svg table template textarea title ul canvas audio video".split()
+    "article aside blockquote body button details dialog div dl fieldset figure footer form head header html iframe main menu nav noscript object ol section select svg table template td textarea title ul canvas audio video".split()
 )
-DROPPED = frozenset("aside button canvas audio video dialog footer form head iframe menu nav noscript object script select style svg template textarea title".split())
+#: Elements whose text is no text of the page.
+HIDDEN = frozenset("button canvas audio video head iframe noscript object script select style svg template textarea title".split())
+#: Boilerplate; so is a header outside of an article.
+FURNITURE = frozenset("aside dialog footer form menu nav".split())
 ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search toolbar".split())
 #: A class or id is noise if it is made of such words, or of them and FILLER.
 NOISE = re.compile(
     r"ad|ads|adv|advert\w*|adsense|banner|breadcrumbs?|comments?|cookies?|consent|disqus|footer|gdpr|header|masthead|menu|modal|nav|navbar|navigation|newsletter|notice|pagination|paywall|popup|promos?|promoted|related|replies|share|sharing|sidebar|signup|social|sponsor\w*|subscribe|subscription|toolbar|widget",
     re.I,
 )
-FILLER = frozenset("area bar block bottom box button buttons container form icons inner item items left link links list posts right section site slot top unit wrap wrapper".split())
-#: A result of fewer characters is held against the content of the whole page.
-SMALL = 200
+#: Noise outside of an article only, inside one its title.
+TITLES = frozenset("header masthead".split())
+FILLER = frozenset("area bar block body bottom box button buttons container form icons inner item items left link links list posts right section site slot top unit wrap wrapper".split())
+#: Weights of the ratio of lines in containers with a name of noise, and of lines outside of the article.
+NAMED, OUTSIDE = 0.15, 0.2
 SIGMA = 1.5
+#: The threshold lies between the clusters, but no higher than three characters a tag.
+CEILING = float(np.log1p(3))
+#: Shares of content from which a region is taken whole, and up to which it is left out.
+WHOLE, NOTHING = 0.8, 0.2
 
 
 class _Lines(HTMLParser):
-    """Collects lines: text, tags met, and the region they lie in."""
+    """Collects lines (text, tags met, characters of links, container) and containers."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.stack: list[tuple[str, bool, int]] = []  # name, dropped, region
+        self.stack: list[tuple[str, bool, int]] = []  # name, hidden, container
         self.texts: list[str] = []
         self.tags: list[int] = []
+        self.linked: list[int] = []
         self.owner: list[int] = []
-        self.parent, self.kind, self.noisy = [-1], [""], [False]  # of regions
+        self.parent, self.kind, self.furniture, self.noisy = [-1], [""], [False], [False]  # of containers
         self.now: list[str] = []
-        self.met = 0
+        self.met = self.links = self.in_link = 0
 
     def _break(self) -> None:
         if self.now:
@@ -64,24 +80,29 @@ class _Lines(HTMLParser):
             if text:
                 self.texts.append(text)
                 self.tags.append(self.met)
+                self.linked.append(min(self.links, len(text)))
                 self.owner.append(self.stack[-1][2] if self.stack else 0)
                 self.met = 0
-
-    def _dropped(self, tag: str, attrs: list) -> bool:
-        if tag in DROPPED or tag == "header" and not self._inside():
-            return True
-        return tag not in ("article", "main", "body", "html") and any(k == "role" and v and v.lower() in ROLES for k, v in attrs)
+            self.links = 0
 
     def _inside(self) -> bool:
         return any(x[0] in ("article", "main") for x in self.stack)
 
+    def _furniture(self, tag: str, attrs: list) -> bool:
+        if tag in FURNITURE or tag == "header" and not self._inside():
+            return True
+        return tag not in ("article", "main", "body", "html") and any(k == "role" and v and v.lower() in ROLES for k, v in attrs)
+
     def _named(self, tag: str, attrs: list) -> bool:
-        """Whether class or id speak of noise."""
-        if tag in ("main", "body", "html") or tag == "article" and not self._inside():
+        """Whether class or id speak of noise; so does an article in an article, a comment or a teaser."""
+        inside = self._inside()
+        if tag in ("main", "body", "html"):
             return False
+        if tag == "article" and any(x[0] == "article" for x in self.stack):
+            return True
         for token in " ".join(v for k, v in attrs if v and k in ("class", "id")).split():
-            parts = [x for x in re.split(r"[_-]+", token) if x and x.lower() not in FILLER]
-            if parts and all(map(NOISE.fullmatch, parts)):
+            parts = [x for x in re.split(r"[_-]+", token.lower()) if x and x not in FILLER]
+            if parts and all(map(NOISE.fullmatch, parts)) and not (inside and TITLES.issuperset(parts)):
                 return True
         return False
 
@@ -100,20 +121,23 @@ class _Lines(HTMLParser):
             if tag != "br":
                 self._close(tag)
         self.met += 1
+        self.in_link += tag == "a"
         own = tag in ("p", "span", "li") and bool(attrs)
-        if tag in CONTAINER or own and (self._named(tag, attrs) or self._dropped(tag, attrs)):
+        if tag in CONTAINER or own and (self._named(tag, attrs) or self._furniture(tag, attrs)):
             if tag in ("article", "main"):  # an open menu or head above was left unclosed
-                while self.stack and self.stack[-1][1] and self.stack[-1][0] in ("head", "title", "nav", "header", "ul"):
+                while self.stack and self.stack[-1][0] in ("head", "title", "nav", "header", "ul"):
                     self.stack.pop()
+                self.in_link = 0
             above = self.stack[-1] if self.stack else ("", False, 0)
-            region, named, dropped = above[2], self._named(tag, attrs), above[1] or self._dropped(tag, attrs)
-            if named or tag in ("article", "main", "section", "div", "body", "td"):
-                self.parent.append(region)
-                # inside an article, another one is a comment or a teaser
-                self.kind.append("" if dropped else "inner " + tag if self._inside() else tag)
+            furniture, named = self._furniture(tag, attrs), self._named(tag, attrs)
+            container = above[2]
+            if furniture or named or tag in ("article", "main", "section", "div", "body", "td"):
+                self.parent.append(container)
+                self.kind.append(tag)
+                self.furniture.append(furniture or self.furniture[container])
                 self.noisy.append(named)
-                region = len(self.parent) - 1
-            self.stack.append((tag, dropped, region))
+                container = len(self.parent) - 1
+            self.stack.append((tag, above[1] or tag in HIDDEN, container))
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
         if tag in CONTAINER:  # HTML does not close such tags by a slash
@@ -127,6 +151,7 @@ class _Lines(HTMLParser):
         if tag in BLOCK:
             self._break()
         self.met += 1
+        self.in_link = max(0, self.in_link - (tag == "a"))
         for i in range(len(self.stack) - 1, -1, -1):
             if self.stack[i][0] == tag:
                 self._break()
@@ -136,77 +161,66 @@ class _Lines(HTMLParser):
     def handle_data(self, data: str) -> None:
         if self.cdata_elem is None and not (self.stack and self.stack[-1][1]):
             self.now.append(data)
+            if self.in_link:
+                self.links += len(data)
 
 
-def content_lines(chars: np.ndarray, tags: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
-    """Which lines belong to the cluster of higher smoothed text-to-tag ratio."""
-    ratio = np.log1p(chars / np.maximum(tags, 1))
+def smoothed(ratio: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
+    """Gaussian means over neighbouring lines."""
     reach = int(np.ceil(3 * sigma))
     kernel = np.exp(-0.5 * (np.arange(-reach, reach + 1) / sigma) ** 2)
     weight = np.convolve(np.ones(len(ratio)), kernel)[reach : reach + len(ratio)]
-    smooth = np.convolve(ratio, kernel)[reach : reach + len(ratio)] / weight
-    low, high = smooth.min(), smooth.max()
+    return np.convolve(ratio, kernel)[reach : reach + len(ratio)] / weight
+
+
+def threshold(values: np.ndarray) -> float:
+    """Between the means of the two clusters of values, CEILING at most."""
+    low, high = values.min(), values.max()
     for _ in range(20):  # two means on a line
-        cut = (low + high) / 2
-        above = smooth >= cut
+        above = values >= (low + high) / 2
         if above.all():
             break
-        low, high = smooth[~above].mean(), smooth[above].mean()
-    return smooth >= (low + high) / 2
-
-
-def _sums(values: np.ndarray, owner: np.ndarray, parent: list[int]) -> np.ndarray:
-    """What each region holds, with the regions inside it."""
-    out = np.zeros(len(parent))
-    np.add.at(out, owner, values)
-    for i in range(len(out) - 1, 0, -1):
-        out[parent[i]] += out[i]
-    return out
-
-
-def _left_out(parser: _Lines, weight: np.ndarray) -> np.ndarray:
-    """Regions named as noise, with all inside, that hold neither an article nor main nor most of the content."""
-    holds = [k in ("article", "main") and not n for k, n in zip(parser.kind, parser.noisy, strict=True)]
-    for i in range(len(holds) - 1, 0, -1):
-        holds[parser.parent[i]] |= holds[i]
-    out = np.zeros(len(weight), bool)
-    for i in range(1, len(out)):
-        out[i] = out[parser.parent[i]] or parser.noisy[i] and not holds[i] and weight[i] <= weight[0] / 2
-    return out
-
-
-def _region_text(parser: _Lines, out: np.ndarray) -> str:
-    texts, tags, owner, met = [], [], [], 0
-    for text, n, o in zip(parser.texts, parser.tags, parser.owner, strict=True):
-        met += n
-        if not out[o]:
-            texts.append(text)
-            tags.append(met)
-            owner.append(o)
-            met = 0
-    if not texts:
-        return ""
-    chars = np.array([len(t) for t in texts])
-    good, parent = content_lines(chars, np.array(tags)), parser.parent
-    own = np.bincount(owner, chars * good, minlength=len(parent))
-    weight, lines = _sums(chars * good, owner, parent), _sums(chars, owner, parent)
-    under = np.array(parser.noisy)
-    for i in range(1, len(under)):
-        under[i] |= under[parent[i]]
-    # an article inside a sidebar counts where it holds most of the content
-    named = [i for i, k in enumerate(parser.kind) if k.split(" ")[-1] in ("article", "main") and lines[i] > 0 and (not under[i] or weight[i] >= weight[0] / 2)]
-    articles = [i for i in named if parser.kind[i].endswith("article")]
-    if articles or named:
-        best = max(articles or named, key=lambda i: (weight[i], lines[i], -i))
-    else:  # the smallest region that holds four fifths of the content
-        best = int(own.argmax())
-        while best and weight[best] < 0.8 * weight[0]:
-            best = parent[best]
-    inside = np.zeros(len(weight), bool)
-    inside[best] = True
-    for i in range(best + 1, len(weight)):
-        inside[i] = inside[parent[i]]
-    return " ".join(t for t, o in zip(texts, owner, strict=True) if inside[o])
+        low, high = values[~above].mean(), values[above].mean()
+    return min((low + high) / 2, CEILING)
+
+
+def content_lines(chars: np.ndarray, tags: np.ndarray, weight: np.ndarray, region: np.ndarray) -> np.ndarray:
+    """Which lines belong to the cluster of higher ratio of text to tags, smoothed within their region."""
+    ratio = weight * np.log1p(chars / np.maximum(tags, 1))
+    smooth = np.zeros(len(ratio))
+    order = np.argsort(region, kind="stable")
+    for own in np.split(order, np.flatnonzero(np.diff(region[order])) + 1):
+        smooth[own] = smoothed(ratio[own])
+    return (smooth > 0) & (smooth >= threshold(smooth))
+
+
+def _regions(parser: _Lines, chars: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each container the first one of its region, and the weight of its lines."""
+    parent, n, owner = parser.parent, len(parser.parent), np.array(parser.owner)
+    main = [k in ("article", "main") for k in parser.kind]
+
+    def noise(free: bool) -> list[bool]:
+        """Containers under a name of noise; ``free``: an article or main element under one is none."""
+        out = [False] * n
+        for i in range(1, n):
+            out[i] = parser.noisy[i] or out[parent[i]] and not (free and main[i])
+        return out
+
+    noisy = noise(False)
+    if not any(m and not x for m, x in zip(main, noisy, strict=True)):
+        noisy = noise(True)
+    inside = [False] * n
+    for i in range(1, n):
+        inside[i] = (main[i] or inside[parent[i]]) and not noisy[i]
+    mark = [(f, x, y) for f, x, y in zip(parser.furniture, noisy, inside, strict=True)]
+    first = np.arange(n)
+    for i in range(1, n):
+        if mark[i] == mark[parent[i]]:
+            first[i] = first[parent[i]]
+    held = np.array([(not f and not x, y) for f, x, y in mark]).reshape(n, 2)[owner]
+    apart = chars[held[:, 1]].sum() * 2 >= chars[held[:, 0]].sum() and held[:, 1].any()
+    weight = np.array([0.0 if f else (NAMED if x else 1.0) * (OUTSIDE if apart and not y else 1.0) for f, x, y in mark])
+    return first, weight
 
 
 def main_text(page: str | None) -> str:
@@ -218,15 +232,27 @@ def main_text(page: str | None) -> str:
     parser._break()
     if not parser.texts:
         return ""
-    every = np.zeros(len(parser.parent), bool)
-    if not any(parser.noisy):
-        return _region_text(parser, every)
+    owner, parent = np.array(parser.owner), parser.parent
     chars = np.array([len(t) for t in parser.texts])
-    weight = _sums(chars * content_lines(chars, np.array(parser.tags)), np.array(parser.owner), parser.parent)
-    text = _region_text(parser, _left_out(parser, weight))
-    if len(text) < SMALL and len(text) < weight[0] / 4:  # the names say too much
-        text = max(text, _region_text(parser, every), key=len)
-    return text
+    first, weight = _regions(parser, chars)
+    good = content_lines(chars - np.array(parser.linked), np.array(parser.tags), weight[owner], first[owner])
+    whole = np.bincount(owner, chars, minlength=len(parent))
+    content = np.bincount(owner, chars * good, minlength=len(parent))
+    for i in range(len(parent) - 1, 0, -1):
+        if first[i] != i:
+            whole[parent[i]] += whole[i]
+            content[parent[i]] += content[i]
+    state = np.full(len(parent), 2)  # 0: left out, 1: taken whole, 2: line by line
+    for i in range(len(parent)):
+        if first[i] != i and state[parent[i]] < 2:
+            state[i] = state[parent[i]]
+        elif whole[i]:
+            share = content[i] / whole[i]
+            state[i] = 1 if share >= WHOLE else 0 if share <= NOTHING else 2
+    taken = np.where(state[owner] == 2, good, state[owner] == 1)
+    if taken.any() and weight[owner][taken].max() < OUTSIDE:  # nothing but names of noise: the region with most content
+        taken &= first[owner] == np.bincount(first[owner], chars * taken).argmax()
+    return " ".join(t for t, x in zip(parser.texts, taken, strict=True) if x)
 
 
 def extract(pages: DataFrame) -> DataFrame:
@@ -236,7 +262,8 @@ def extract(pages: DataFrame) -> DataFrame:
     def text_of(html: pa.Array) -> pa.Array:
         return pa.array([main_text(x.as_py()) for x in html], pa.string())
 
-    return pages.drop("text", "n_chars").withColumn("text", text_of(F.col("html"))).withColumn("n_chars", F.length("text").cast("long"))
+    kept = Kept(pages, "html")
+    return kept.back(kept.frame.withColumn("text", text_of(F.col("html"))).withColumn("n_chars", F.length("text").cast("long")), "text", "n_chars")
 
 
 def op8_html(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,12 +15,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from littoral.llm.common import WORD, Scratch, documents
+from littoral.llm.common import WORD, Kept, Scratch, documents
 
 #: The per-source table is broadcast up to this many rows and joined by shuffle beyond it.
 BROADCAST_SOURCES = 20_000
 WEIGHTS = (1.0, 2.0, 3.0)
 CAP = 3.0
+PLAN = ("size", "source_size", "target", "rate", "copies")
 
 
 def text_size(text: Column) -> Column:
@@ -56,26 +57,27 @@ def targets(sizes: DataFrame, weights=WEIGHTS, cap: float = CAP) -> DataFrame:
 
 def plan_mix(docs: DataFrame, weights=WEIGHTS, cap: float = CAP, seed: int = 17) -> DataFrame:
     """Every document once, with ``size, source_size, target, rate, copies``."""
-    spark = docs.sparkSession
-    docs = docs.drop("size", "source_size", "target", "rate", "copies")
+    kept = Kept(docs, "doc_id", "source", "text")
+    return kept.back(_planned(kept.frame, weights, cap, seed), *PLAN)
+
+
+def _planned(docs: DataFrame, weights, cap: float, seed: int) -> DataFrame:
     sized = docs.withColumn("size", text_size(F.col("text")))
     totals = sized.groupBy("source").agg(F.sum("size").cast("long").alias("source_size"))
-    table = Scratch(spark, "mix").save(targets(totals, weights, cap), "targets")
-    table = table.withColumnRenamed("source", "_source")
+    table = Scratch(docs.sparkSession, "mix").save(targets(totals, weights, cap), "targets").withColumnRenamed("source", "of")
     if table.count() <= BROADCAST_SOURCES:
         table = F.broadcast(table)
-    out = sized.join(table, F.col("source").eqNullSafe(F.col("_source")), "left").drop("_source")
+    out = sized.join(table, F.col("source").eqNullSafe(F.col("of")), "left").drop("of")
     coin = F.pmod(F.xxhash64(F.lit(seed), "doc_id", "source", "text"), F.lit(1 << 40)) / F.lit(float(1 << 40))
     whole = F.floor("rate")
     return out.withColumn("copies", (whole + (coin < F.col("rate") - whole).cast("int")).cast("long"))
 
 
 def mix(docs: DataFrame, weights=WEIGHTS, cap: float = CAP, seed: int = 17) -> DataFrame:
-    """The mixed corpus: each document as often as its plan says, with the columns of ``docs``."""
-    planned = plan_mix(docs, weights, cap, seed).where(F.col("copies") > 0)
-    copies = F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int"))).alias("_copy")
-    keep = [c for c in docs.columns if c in planned.columns]
-    return planned.select(*keep, copies).drop("_copy")
+    """The mixed corpus: each document as often as its plan says, with the columns of ``docs`` and no others."""
+    kept = Kept(docs, "doc_id", "source", "text")
+    planned = _planned(kept.frame, weights, cap, seed).where(F.col("copies") > 0)
+    return kept.back(planned.withColumn("copy", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int")))))
 
 
 def op1_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -210,6 +210,54 @@ def test_html_names_are_evidence_only(wrap):
     assert html.main_text(PAGE % (wrap % BODY)) == WANT
 
 
+def plain_content(chars, tags, weight, region):
+    """The clusters in plain loops."""
+    n = len(chars)
+    ratio = [weight[i] * math.log1p(chars[i] / max(tags[i], 1)) for i in range(n)]
+    smooth = []
+    for i in range(n):
+        own = [j for j in range(n) if region[j] == region[i]]
+        at = own.index(i)
+        near = [(math.exp(-0.5 * ((at - k) / html.SIGMA) ** 2), ratio[j]) for k, j in enumerate(own) if abs(at - k) <= math.ceil(3 * html.SIGMA)]
+        smooth.append(sum(w * x for w, x in near) / sum(w for w, _ in near))
+    low, high = min(smooth), max(smooth)
+    for _ in range(20):
+        below, above = [x for x in smooth if x < (low + high) / 2], [x for x in smooth if x >= (low + high) / 2]
+        if not below:
+            break
+        low, high = sum(below) / len(below), sum(above) / len(above)
+    return [x > 0 and x >= min((low + high) / 2, math.log1p(3)) - 1e-12 for x in smooth]
+
+
+def test_html_clusters_against_plain_loops():
+    rng = np.random.default_rng(5)
+    for n in (1, 2, 7, 60):
+        chars, tags = rng.integers(0, 400, n), rng.integers(0, 9, n)
+        weight, region = rng.choice([0.0, html.NAMED, 1.0], n), rng.integers(0, 4, n)
+        assert html.content_lines(chars, tags, weight, region).tolist() == plain_content(chars, tags, weight, region)
+
+
+@pytest.mark.parametrize("other", [lambda c, *_: np.ones(len(c), bool), lambda c, *_: np.arange(len(c)) % 2 == 0])
+def test_html_text_depends_on_the_clusters(monkeypatch, other):
+    pages = pd.read_parquet(f"{SMALL}/pages.parquet").html
+    before = [html.main_text(x) for x in pages]
+    monkeypatch.setattr(html, "content_lines", other)
+    assert all(html.main_text(x) != y for x, y in zip(pages, before, strict=True))
+
+
+def test_html_without_article_elements():
+    """Regions told by ratio alone: no element or name speaks of menus."""
+    links = "".join(f"<div><a href=/{i}>Entry {i}</a></div>" for i in range(12))
+    list_ = "<ul>" + "".join(f"<li>step {i} of it</li>" for i in range(9)) + "</ul>"
+    page = f"<body><div class=x1>{links}</div><div class=x2><div class=x3>{BODY}</div><div class=x4>{list_}</div></div><div class=x5>{links}</div></body>"
+    assert html.main_text(page) == f"{WANT} " + " ".join(f"step {i} of it" for i in range(9))
+
+
+@pytest.mark.parametrize("head", ["<header class='entry-header'><h1>Title</h1></header>", "<div class='post-header'><h1>Title</h1></div>", "<header><h1>Title</h1></header>", "<div class=header><h1>Title</h1></div>"])
+def test_html_titles_stay(head):
+    assert html.main_text(PAGE % f"<article>{head}{BODY}</article>") == f"Title {WANT}"
+
+
 def test_html_names_inside_an_article():
     head, work = "<div class='entry-header'><h1>Title</h1></div>", "<section id='related-work'><p>Earlier work on this matter</p></section>"
     assert html.main_text(PAGE % f"<article>{head}{BODY}{work}</article>") == f"Title {WANT} Earlier work on this matter"
