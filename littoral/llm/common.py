@@ -65,13 +65,26 @@ class Kept:
         self.inside = [lower.get(c.lower(), f"{_KEPT}{i}") for i, c in enumerate(self.names)]
         self.frame = docs.toDF(*self.inside)
 
-    def back(self, out: DataFrame, *made: str) -> DataFrame:
-        """The input's columns of ``out``, in order, and those that were made."""
-        new = {m.lower() for m in made}
+    def back(self, out: DataFrame, *made: str, without: tuple[str, ...] = ()) -> DataFrame:
+        """The input's columns of ``out``, in order, but for some, and those that were made."""
+        new = {m.lower() for m in made + without}
         own = [F.col(i).alias(n) for n, i in zip(self.names, self.inside, strict=True) if n.lower() not in new]
         return out.select(*own, *made)
 
 
+#: Keys of more rows are hot: there are at most one in HOT_ROWS of them, so what belongs to them can be sent to every task.
+HOT_ROWS = 100_000
+
+
+def join_spread(rows: DataFrame, table: DataFrame, key: str, scratch: Scratch) -> DataFrame:
+    """Inner join with a table of one row per key. Rows of hot keys stay where they are, so no task gets a hot key's rows."""
+    hot = scratch.save(rows.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > HOT_ROWS).select(key), f"hot-{uuid.uuid4().hex}")
+    if hot.isEmpty():
+        return rows.join(table, key)
+    of_hot = table.join(F.broadcast(hot), key, "left_semi")
+    return rows.join(F.broadcast(of_hot), key).unionByName(rows.join(F.broadcast(hot), key, "left_anti").join(table, key))
+
+
 def let(value: Column, use: Callable[[Column], Column]) -> Column:
     """``use(value)`` with ``value`` computed once, inside interpreted expressions too."""
     return F.element_at(F.transform(F.array(value), use), 1)

@@ -6,8 +6,10 @@ costs one row per task), targets are water-filled under a cap, and every documen
 
 Defined cases: a null or empty text has size 0 and is emitted by the same law as its source;
 a null source is a source of its own that sorts last; repeated rows (same id, text and source)
-share one coin; an empty table gives an empty mix; columns of the input that bear the name of
-an output column are replaced, all others are kept.
+share one coin; a very long text is one document, so a source of few documents can miss its target
+by up to one copy of each; sources with equal ratios keep their order; an empty table gives an
+empty mix. ``plan_mix`` replaces columns that bear the name of an output column and keeps all
+others; ``mix`` gives back the input's columns, whatever their names.
 """
 
 from __future__ import annotations
@@ -19,6 +21,7 @@ from littoral.llm.common import WORD, Kept, Scratch, documents
 
 #: The per-source table is broadcast up to this many rows and joined by shuffle beyond it.
 BROADCAST_SOURCES = 20_000
+SALTS = 32
 WEIGHTS = (1.0, 2.0, 3.0)
 CAP = 3.0
 PLAN = ("size", "source_size", "target", "rate", "copies")
@@ -31,28 +34,35 @@ def text_size(text: Column) -> Column:
 def targets(sizes: DataFrame, weights=WEIGHTS, cap: float = CAP) -> DataFrame:
     """(source, source_size) -> + target, rate.
 
-    Resharing the excess of capped sources by weight ends at ``min(cap * size, level * weight)``
-    with one common level. Sources ordered by ``cap * size / weight`` are capped up to a point,
-    so running sums give the level without iterating.
+    The rank of a source, which gives its weight, is its rank within a part of the sorted sources
+    plus the rows of the parts before. Resharing the excess of capped sources by weight means one
+    level: a target is ``min(cap * size, level * weight)``. Each round raises the level by what the
+    sources over their cap leave, until none is added; sums are decimal, so reruns agree.
     """
-    ranked = sizes.withColumn("_k", F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())))
-    w = F.element_at(F.array(*[F.lit(float(x)) for x in weights]), F.pmod(F.col("_k") - 1, F.lit(len(weights))).cast("int") + 1)
-    ranked = ranked.withColumn("_w", w).withColumn("_cap", F.lit(float(cap)) * F.col("source_size"))
-    by_ratio = Window.orderBy(F.col("_cap") / F.col("_w"), F.col("_k"))
-    whole = Window.partitionBy()
-    before = by_ratio.rowsBetween(Window.unboundedPreceding, -1)
-    ranked = (
-        ranked.withColumn("_total", F.sum("source_size").over(whole).cast("double"))
-        .withColumn("_left_mass", F.col("_total") - F.coalesce(F.sum("_cap").over(before), F.lit(0.0)))
-        .withColumn("_left_w", F.sum("_w").over(whole) - F.coalesce(F.sum("_w").over(before), F.lit(0.0)))
-        .withColumn("_level", F.col("_left_mass") / F.col("_left_w"))
-        # the first source, in order of ratio, that its level does not push over its cap fixes the level of all after it
-        .withColumn("_free", F.col("_level") * F.col("_w") <= F.col("_cap"))
-        .withColumn("_final", F.min_by("_level", F.when(F.col("_free"), F.struct(F.col("_cap") / F.col("_w"), F.col("_k")))).over(whole))
-    )
-    target = F.coalesce(F.least(F.col("_cap"), F.col("_final") * F.col("_w")), F.col("_cap"))
+    scratch = Scratch(sizes.sparkSession, "targets")
+    order = F.col("source").asc_nulls_last()
+    dealt = scratch.save(sizes.select("source", "source_size").repartitionByRange(order).withColumn("part", F.spark_partition_id()), "dealt")
+    before, at = {}, 0
+    for r in sorted(dealt.groupBy("part").agg(F.count(F.lit(1)).alias("n")).collect()):  # a row per partition
+        before[r.part], at = at, at + r.n
+    if not before:
+        return sizes.select("source", "source_size", F.lit(0.0).alias("target"), F.lit(1.0).alias("rate"))
+    start = F.element_at(F.create_map(*[F.lit(x) for item in before.items() for x in item]), F.col("part"))
+    rank = start + F.row_number().over(Window.partitionBy("part").orderBy(order)) - 1
+    w = F.element_at(F.array(*[F.lit(float(x)) for x in weights]), F.pmod(rank, F.lit(len(weights))).cast("int") + 1)
+    table = scratch.save(dealt.withColumn("w", w).withColumn("most", F.lit(float(cap)) * F.col("source_size")), "weighed")
+    exact = "decimal(38,6)"
+    total = float(table.agg(F.sum("source_size")).first()[0] or 0)
+    level, over = 0.0, -1
+    while True:
+        free = F.lit(level) * F.col("w") <= F.col("most")
+        capped, weight, n = table.agg(F.sum(F.when(~free, F.col("most").cast(exact))), F.sum(F.when(free, F.col("w").cast(exact))), F.count(F.when(~free, 1))).first()
+        if n == over or not weight:
+            break
+        level, over = (total - float(capped or 0)) / float(weight), n
+    target = F.least(F.col("most"), F.lit(level) * F.col("w"))
     rate = F.when(F.col("source_size") > 0, F.least(F.lit(float(cap)), target / F.col("source_size"))).otherwise(F.lit(1.0))
-    return ranked.select("source", "source_size", target.alias("target"), rate.alias("rate"))
+    return table.select("source", "source_size", target.alias("target"), rate.alias("rate"))
 
 
 def plan_mix(docs: DataFrame, weights=WEIGHTS, cap: float = CAP, seed: int = 17) -> DataFrame:
@@ -65,9 +75,13 @@ def _planned(docs: DataFrame, weights, cap: float, seed: int) -> DataFrame:
     sized = docs.withColumn("size", text_size(F.col("text")))
     totals = sized.groupBy("source").agg(F.sum("size").cast("long").alias("source_size"))
     table = Scratch(docs.sparkSession, "mix").save(targets(totals, weights, cap), "targets").withColumnRenamed("source", "of")
+    same = F.col("source").eqNullSafe(F.col("of"))
     if table.count() <= BROADCAST_SOURCES:
-        table = F.broadcast(table)
-    out = sized.join(table, F.col("source").eqNullSafe(F.col("of")), "left").drop("of")
+        out = sized.join(F.broadcast(table), same, "left").drop("of")
+    else:  # every source in SALTS parts, as one may hold a third of all rows
+        sized = sized.withColumn("salt", F.pmod(F.xxhash64("doc_id", "text"), F.lit(SALTS)).cast("int"))
+        spread = table.withColumn("of_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        out = sized.join(spread, same & (F.col("salt") == F.col("of_salt"))).drop("of", "salt", "of_salt")
     coin = F.pmod(F.xxhash64(F.lit(seed), "doc_id", "source", "text"), F.lit(1 << 40)) / F.lit(float(1 << 40))
     whole = F.floor("rate")
     return out.withColumn("copies", (whole + (coin < F.col("rate") - whole).cast("int")).cast("long"))

@@ -1,14 +1,18 @@
 """Secret scans [native] with corpus-wide ownership frequency.
 
-Candidates are found by patterns in every whole text. Their hashes are then counted over
-distinct repositories and owners: a candidate that many owners hold is a copied example, one
-that belongs to few is live-looking. Counting runs over distinct (hash, owner, repository)
-rows, so a candidate that stands in a third of all texts is summed map-side.
+Candidates are found by patterns in every whole text, in one pass. Their hashes are then counted
+over distinct owners and distinct repositories: a candidate that many owners hold in many
+repositories is a copied example, one that belongs to few is live-looking. Equal (hash, owner)
+and (hash, repository) rows are combined before they move, so a candidate that stands in a third
+of all texts is summed map-side, and rows of a hash or set of hashes that very many share are
+judged where they are.
 
 Defined cases: a null text is scanned as an empty one; a text without candidates has empty
-arrays; equal rows get equal results; an empty table gives no rows; owners or repositories
-that are null count as one owner or repository; columns that bear the name of an output
-column are replaced, all others are kept.
+arrays; very long texts are scanned whole, in time linear in their length; of spans that start
+together the kind listed first comes first, and spans of different kinds may overlap; equal rows
+get equal results; an empty table gives no rows; owners or repositories that are null count as
+one owner or repository, as an empty one does; columns that bear the name of an output column
+are replaced, all others are kept.
 """
 
 from __future__ import annotations
@@ -16,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from littoral.llm.common import Scratch, documents
+from littoral.llm.common import Kept, Scratch, documents, join_spread
 
 #: Base kinds in their fixed order: pattern, group with the value, least length of the group.
 BASE = {
@@ -38,6 +42,9 @@ KEY_BLOCK = (
 )
 #: A candidate held by at least this many owners is a copied example.
 COPIED_OWNERS = 3
+#: Provided that these stand in at least so many repositories: copies of one repository are one leak.
+COPIED_REPOSITORIES = 3
+MADE = ("secret_spans", "live_hashes", "max_owners", "max_repositories")
 SPAN = "array<struct<kind:string,start:int,end:int,hash:string>>"
 
 
@@ -89,30 +96,41 @@ def _hashes(spans: Column) -> Column:
 
 
 def ownership(scanned: DataFrame, owner: Column, repository: Column) -> DataFrame:
-    """One row per candidate hash: ``hash, n_owners, n_repositories``."""
-    rows = scanned.select(F.explode(_hashes(F.col("secret_spans"))).alias("hash"), owner.alias("owner"), repository.alias("repository"))
-    per_owner = rows.distinct().groupBy("hash", "owner").agg(F.count(F.lit(1)).alias("n"))
-    return per_owner.groupBy("hash").agg(F.count(F.lit(1)).alias("n_owners"), F.sum("n").alias("n_repositories"))
+    """One row per candidate hash: ``hash, n_owners, n_repositories``, both distinct."""
+    def both(h: Column) -> Column:
+        return F.array(F.struct(h.alias("hash"), F.lit(True).alias("owner"), owner.alias("name")), F.struct(h.alias("hash"), F.lit(False).alias("owner"), repository.alias("name")))
 
+    rows = scanned.select(F.explode(F.flatten(F.transform(_hashes(F.col("secret_spans")), both))).alias("of"))
+    each = rows.select("of.hash", "of.owner", "of.name").distinct()
+    return each.groupBy("hash").agg(F.sum(F.col("owner").cast("int")).alias("n_owners"), F.sum((~F.col("owner")).cast("int")).alias("n_repositories"))
 
-def find_secrets(docs: DataFrame, owner: Column | None = None, repository: Column | None = None, copied_owners: int = COPIED_OWNERS) -> DataFrame:
-    """``docs`` with ``secret_spans`` and ``live_hashes`` (hashes of owner-specific candidates).
 
-    By default the owner is the source, and a repository is the part of a source in one language.
+def find_secrets(docs: DataFrame, owner: Column | None = None, repository: Column | None = None, copied_owners: int = COPIED_OWNERS, copied_repositories: int = COPIED_REPOSITORIES, with_text: bool = True) -> DataFrame:
+    """``docs`` with ``secret_spans``, ``live_hashes`` (hashes of owner-specific candidates) and the most owners and
+    repositories of a candidate, ``max_owners, max_repositories`` (0 without any).
+
+    By default the owner is the source, and a repository is the part of a source in one language. Without ``with_text``
+    the text is left out, so that what is written between scan and verdict is small.
     """
-    owner = F.col("source") if owner is None else owner
+    owner = F.coalesce("source", F.lit("")) if owner is None else owner
     repository = F.concat_ws("/", F.coalesce("source", F.lit("")), F.coalesce("lang", F.lit(""))) if repository is None else repository
-    scanned = scan(docs.drop("secret_spans", "live_hashes", "_sig"))
+    names = ("littoral_owner", "littoral_repository")
+    kept, scratch = Kept(docs.select("*", owner.alias(names[0]), repository.alias(names[1])), "text", *names), Scratch(docs.sparkSession, "secrets")
     signature = F.sha2(F.array_join(_hashes(F.col("secret_spans")), ","), 256)
-    hits = Scratch(docs.sparkSession, "secrets").save(scanned.where(F.size("secret_spans") > 0).withColumn("_sig", signature), "hits")
-    owned = ownership(hits, owner, repository)
+    scanned = scan(kept.frame)
+    # every text is scanned once: what was found is written down with the rows
+    scanned = scratch.save((scanned if with_text else scanned.drop("text")).withColumn("signature", signature), "scanned")
+    hits = scanned.where(F.size("secret_spans") > 0)
+    owned = scratch.save(ownership(hits, *map(F.col, names)), "owned")
     # one row per distinct set of candidates, so equal sets are judged once
-    sets = hits.select("_sig", _hashes(F.col("secret_spans")).alias("h")).distinct()
-    live = F.when(F.col("n_owners") < copied_owners, F.col("hash"))
-    judged = sets.select("_sig", F.explode("h").alias("hash")).join(owned, "hash").groupBy("_sig").agg(F.array_sort(F.collect_set(live)).alias("live_hashes"))
-    none = F.expr("cast(array() as array<string>)")
-    kept = scanned.where(F.size("secret_spans") == 0).withColumn("live_hashes", none)
-    return hits.join(judged, "_sig").drop("_sig").unionByName(kept)
+    sets = scratch.save(hits.select("signature", _hashes(F.col("secret_spans")).alias("h")).distinct().select("signature", F.explode("h").alias("hash")), "sets")
+    live = F.when((F.col("n_owners") < copied_owners) | (F.col("n_repositories") < copied_repositories), F.col("hash"))
+    judged = join_spread(sets, owned, "hash", scratch).groupBy("signature").agg(
+        F.array_sort(F.collect_set(live)).alias("live_hashes"), F.max("n_owners").alias("max_owners"), F.max("n_repositories").alias("max_repositories")
+    )
+    none = scanned.where(F.size("secret_spans") == 0).withColumns({"live_hashes": F.expr("cast(array() as array<string>)"), "max_owners": F.lit(0).cast("long"), "max_repositories": F.lit(0).cast("long")})
+    every = join_spread(hits, scratch.save(judged, "judged"), "signature", scratch).unionByName(none)
+    return kept.back(every, *MADE, without=names if with_text else (*names, "text"))
 
 
 def redact(found: DataFrame, mask: str = "[SECRET]") -> DataFrame:
@@ -137,7 +155,7 @@ def _joined(spans: Column) -> Column:
 
 
 def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = find_secrets(documents(spark, sf_dir))
+    found = find_secrets(documents(spark, sf_dir).select("doc_id", "text", "source", "lang"), with_text=False)
     spans = F.col("secret_spans")
 
     def count(kind: str) -> Column:
@@ -145,4 +163,4 @@ def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     base = F.filter(spans, lambda s: s["kind"].isin(*BASE))
     live = F.filter(spans, lambda s: F.array_contains(F.col("live_hashes"), s["hash"]))
-    return found.select("doc_id", *map(count, BASE), F.sha2(_joined(base), 256).alias("base_sha256"), _joined(spans).alias("spans"), F.size(live).cast("long").alias("n_live"))
+    return found.select("doc_id", *map(count, BASE), F.sha2(_joined(base), 256).alias("base_sha256"), _joined(spans).alias("spans"), F.size(live).cast("long").alias("n_live"), "max_owners", "max_repositories")

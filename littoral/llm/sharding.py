@@ -7,8 +7,10 @@ interval that holds a wanted splitter, until a boundary lies within the toleranc
 then move in one exchange. The law is ``bytes``: shard sizes are near equal.
 
 Defined cases: a null text has size 1 and forms a group with the other null texts; an empty
-table gives no rows; repeated rows have equal keys and stay in one shard; columns named
-``size``, ``shard`` or ``slot`` are replaced, all others are kept.
+table gives no rows; repeated rows have equal keys and stay in one shard; ties of the key are
+numbered in any order; a text of more bytes than a shard fills one, or lies across none; rows
+with a null id are told apart by their text; columns named ``size``, ``shard`` or ``slot`` are
+replaced, all others are kept.
 """
 
 from __future__ import annotations
@@ -16,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from littoral.llm.common import Scratch, documents
+from littoral.llm.common import Kept, Scratch, documents
 
 #: Candidate boundaries counted per wanted splitter and round.
 PROBES = 512
@@ -105,10 +107,11 @@ def splitters(keys: DataFrame, shards: int, tolerance: float = TOLERANCE) -> tup
 
 def shard_by_bytes(docs: DataFrame, shards: int = 8, tolerance: float = TOLERANCE) -> DataFrame:
     """``docs`` with ``size, shard, slot``; slots number the rows of a shard without gaps."""
-    spark = docs.sparkSession
-    scratch = Scratch(spark, "shard")
-    docs = docs.drop("size", "shard", "slot", "_k1", "_k2")
-    k1, k2 = F.xxhash64(F.col("text").isNull(), "text"), F.xxhash64(F.lit(5), "doc_id")
+    kept = Kept(docs, "doc_id", "text")
+    docs, scratch = kept.frame, Scratch(kept.frame.sparkSession, "shard")
+    k1 = F.xxhash64(F.col("text").isNull(), "text")
+    # a null id leaves the seed of the hash as it is, so the text must tell such rows apart
+    k2 = F.xxhash64(F.lit(5), "doc_id", F.when(F.col("doc_id").isNull(), F.xxhash64(F.lit(6), "text")))
     slim = scratch.save(docs.select(k1.alias("k1"), k2.alias("k2"), text_bytes(F.col("text")).alias("size")), "keys")
     cuts, total = splitters(slim, shards, tolerance)
     parts = min(MOST_PARTS, max(PARTS, -(-total // (shards * PART_BYTES))))
@@ -122,19 +125,14 @@ def shard_by_bytes(docs: DataFrame, shards: int = 8, tolerance: float = TOLERANC
             out = out + above.cast("int")
         return out
 
-    part = F.pmod(F.shiftright(F.col("_k2"), 7), F.lit(parts)).cast("int")
-    counts = (
-        slim.withColumnsRenamed({"k1": "_k1", "k2": "_k2"})
-        .groupBy(place(F.col("_k1"), F.col("_k2")).alias("_s"), part.alias("_p")).agg(F.count(F.lit(1)).alias("n"))
-    )
-    starts = counts.select("_s", "_p", (F.sum("n").over(Window.partitionBy("_s").orderBy("_p")) - F.col("n")).alias("_start"))
-    rows = docs.withColumn("size", text_bytes(F.col("text"))).withColumn("_k1", k1).withColumn("_k2", k2)
-    rows = rows.withColumn("shard", place(F.col("_k1"), F.col("_k2"))).withColumn("_part", part)
-    order = Window.partitionBy("shard", "_part").orderBy("_k1", "_k2", "size")
-    rows = rows.withColumn("_n", F.row_number().over(order))
-    # shards * MOST_PARTS rows at most
-    rows = rows.join(F.broadcast(starts), (F.col("shard") == F.col("_s")) & (F.col("_part") == F.col("_p")))
-    return rows.withColumn("slot", (F.col("_start") + F.col("_n") - 1).cast("long")).drop("_k1", "_k2", "_part", "_n", "_s", "_p", "_start")
+    part = F.pmod(F.shiftright(F.col("k2"), 7), F.lit(parts)).cast("int")
+    counts = slim.groupBy(place(F.col("k1"), F.col("k2")).alias("shard"), part.alias("part")).agg(F.count(F.lit(1)).alias("n"))
+    starts = counts.select("shard", "part", (F.sum("n").over(Window.partitionBy("shard").orderBy("part")) - F.col("n")).alias("start"))
+    rows = docs.withColumns({"size": text_bytes(F.col("text")), "k1": k1, "k2": k2})
+    rows = rows.withColumns({"shard": place(F.col("k1"), F.col("k2")), "part": part})
+    rows = rows.withColumn("n", F.row_number().over(Window.partitionBy("shard", "part").orderBy("k1", "k2", "size")))
+    rows = rows.join(F.broadcast(starts), ["shard", "part"])  # shards * MOST_PARTS rows at most
+    return kept.back(rows.withColumn("slot", (F.col("start") + F.col("n") - 1).cast("long")), "size", "shard", "slot")
 
 
 def op2_shard(spark: SparkSession, sf_dir: str) -> DataFrame:

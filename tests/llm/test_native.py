@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(__file__))
 from fixtures import SCHEMA, odd_documents  # noqa: E402
@@ -63,6 +64,29 @@ def test_mix_against_brute_force(spark):
     assert sorted(rows) == sorted(mixing.op1_mix(spark, SMALL).collect())
 
 
+def test_many_sources_are_joined_in_parts(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"s{i % 7}" if i % 3 else None, "word " * (i % 50)) for i in range(600)], "doc_id long, source string, text string")
+    few = sorted(mixing.plan_mix(docs).collect(), key=str)
+    monkeypatch.setattr(mixing, "BROADCAST_SOURCES", 2)
+    assert sorted(mixing.plan_mix(docs).collect(), key=str) == few
+
+
+def test_each_source_comes_near_its_target(spark):
+    rows = mixing.op1_mix(spark, "/root/testdata/sf0.1").toPandas()
+    for (target, _), own in rows.groupby(["target", "source_size"]):
+        # coins of documents are independent: five standard deviations of their sum
+        assert abs(own.taken.sum() - target) <= 5 * math.sqrt((own["size"].astype(float) ** 2).sum() / 4)
+
+
+def test_hot_keys_are_judged_in_place(spark, monkeypatch):
+    from littoral.llm import common
+
+    docs = spark.createDataFrame([(i, f"password = hunter{i % 3}{i % 3}{i % 3}{i % 3}{i % 3} and token: {'own' + str(i) * 4 if i % 5 else 'samesame1'}", "en", f"s{i % 4}") for i in range(300)], "doc_id long, text string, lang string, source string")
+    plain = sorted(secrets.find_secrets(docs).collect())
+    monkeypatch.setattr(common, "HOT_ROWS", 20)
+    assert sorted(secrets.find_secrets(docs).collect()) == plain
+
+
 def test_mix_odd_rows(spark):
     docs = odd_documents(spark)
     planned = mixing.plan_mix(docs)
@@ -140,8 +164,10 @@ def test_secrets_odd_rows_ownership_and_redaction(spark):
         assert [f"{s.kind}:{s.start}:{s.end}" for s in r.secret_spans if s.kind in BASE] == base_spans(texts[d])
     shared = hashlib.sha256(b"0123456789abcdef01234567").hexdigest()
     assert shared in rows[7].live_hashes  # two owners only
-    few = {r.doc_id: r for r in secrets.find_secrets(docs, copied_owners=2).collect()}
+    few = {r.doc_id: r for r in secrets.find_secrets(docs, copied_owners=2, copied_repositories=2).collect()}
     assert shared not in few[7].live_hashes and few[5].live_hashes
+    forks = secrets.find_secrets(docs, copied_owners=2, copied_repositories=2, repository=F.lit("one")).collect()
+    assert all(shared in r.live_hashes and (r.max_owners, r.max_repositories) == (2, 1) for r in forks if r.doc_id in (7, 8))
     clean = {r.doc_id: r.text for r in secrets.redact(found).collect()}
     assert "hunter2222" not in clean[5] and "AKIA" not in clean[5] and clean[1] == "one two three" and clean[3] is None
     assert secrets.find_secrets(spark.createDataFrame([], SCHEMA)).count() == 0
