@@ -27,10 +27,23 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+#: Rows and bytes of an Arrow batch, at most, so that the memory of Python workers does not depend on long texts.
+ARROW_ROWS, ARROW_BYTES = 2048, 16 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lower the session's Arrow batches to these sizes unless they are lower. The setting stays, as results are computed later."""
+    for name, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS), ("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)):
+        now = spark.conf.get(name, None)
+        if now is None or not now.isdigit() or not 0 < int(now) <= most:
+            spark.conf.set(name, str(most))
+
+
 class Scratch:
     """Tables written to the shared folder, which cut lineage and survive lost executors."""
 
     def __init__(self, spark: SparkSession, name: str):
+        small_batches(spark)
         self.spark = spark
         self.root = f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
@@ -60,10 +73,11 @@ class Kept:
     case) are replaced.
     """
 
-    def __init__(self, docs: DataFrame, *used: str):
+    def __init__(self, docs: DataFrame, *used: str, **more: Column):
+        """more: columns over ``docs`` that the frame has besides."""
         self.names, lower = docs.columns, {u.lower(): u for u in used}
         self.inside = [lower.get(c.lower(), f"{_KEPT}{i}") for i, c in enumerate(self.names)]
-        self.frame = docs.toDF(*self.inside)
+        self.frame = docs.select("*", *more.values()).toDF(*self.inside, *more)
 
     def back(self, out: DataFrame, *made: str, without: tuple[str, ...] = ()) -> DataFrame:
         """The input's columns of ``out``, in order, but for some, and those that were made."""

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from littoral.llm.common import Kept
+from littoral.llm.common import Kept, small_batches
 
 # HTML element names by their role on a page.
 BLOCK = frozenset(
@@ -262,6 +262,7 @@ def extract(pages: DataFrame) -> DataFrame:
     def text_of(html: pa.Array) -> pa.Array:
         return pa.array([main_text(x.as_py()) for x in html], pa.string())
 
+    small_batches(pages.sparkSession)
     kept = Kept(pages, "html")
     return kept.back(kept.frame.withColumn("text", text_of(F.col("html"))).withColumn("n_chars", F.length("text").cast("long")), "text", "n_chars")
 

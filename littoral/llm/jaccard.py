@@ -14,8 +14,10 @@ missed. Copies share a node, whose multiplicity weighs in the counts.
 
 Defined cases: a null text, an empty one and one without words have no shingles and link with
 nothing (their class is their own id); texts of one to four words have one shingle, of all
-their words; equal rows are links of each other; a null id carries its class; an empty table
-gives no rows; the input's other columns are ignored.
+their words; very long texts are one set, compared in parts of a bounded size; equal rows are
+links of each other; ids may be of any type that can be ordered, and the least is the class of a
+group; a null id carries its class; an empty table gives no rows; the join ignores the input's
+other columns, ``drop_near_copies`` keeps them, whatever their names.
 """
 
 from __future__ import annotations
@@ -28,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from littoral.llm.common import Scratch, documents, mix64, words
+from littoral.llm.common import Kept, Scratch, documents, mix64, words
 from littoral.llm.components import components, forest
 
 SHINGLE = 5
@@ -133,7 +135,7 @@ def _documents_as_sets(docs: DataFrame, runs: int) -> DataFrame:
                 )
 
     hashed = docs.select("doc_id", F.xxhash64("text").alias("text_key"), _hashed_words())
-    return hashed.mapInArrow(read, "doc_id long, text_key long, node long, size long, sketch binary, paths array<long>")
+    return hashed.mapInArrow(read, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, text_key long, node long, size long, sketch binary, paths array<long>")
 
 
 def _compare_sketches(a: pa.StructArray, b: pa.StructArray, same: bool) -> list[tuple[int, int]]:
@@ -350,17 +352,19 @@ def jaccard_join(docs: DataFrame, recall: float = RECALL) -> DataFrame:
 
 def drop_near_copies(docs: DataFrame, recall: float = RECALL) -> DataFrame:
     """``docs`` with one row of each class, that of the least id. Rows without words all stay."""
+    kept = Kept(docs, "doc_id", "text")
+    docs = kept.frame
     found = jaccard_join(docs, recall).where(F.col("node").isNotNull() & (F.col("n_links") > 0))
     stays = F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("text_key") == F.col("class_key"))
-    keys = found.groupBy(F.col("doc_id").alias("_d"), F.col("text_key").alias("_k")).agg(F.bool_or(stays).alias("_stays"), F.count(F.lit(1)).alias("_n"))
+    keys = found.groupBy(F.col("doc_id").alias("id"), "text_key").agg(F.bool_or(stays).alias("stays"), F.count(F.lit(1)).alias("n"))
     keys = Scratch(docs.sparkSession, "kept").save(keys, "keys")
-    keyed = docs.withColumn("_key", F.xxhash64("text"))
-    match = F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_key") == F.col("_k"))
-    out = keyed.join(keys.where("not _stays or _n > 1").hint("merge"), match, "left_anti")
-    again = keys.where("_stays and _n > 1")  # equal rows of one id: one of them stays
+    keyed = docs.withColumn("own_key", F.xxhash64("text"))
+    match = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("own_key") == F.col("text_key"))
+    out = keyed.join(keys.where("not stays or n > 1").hint("merge"), match, "left_anti")
+    again = keys.where("stays and n > 1")  # equal rows of one id: one of them stays
     if not again.isEmpty():
-        out = out.unionByName(keyed.join(again.hint("merge"), match, "left_semi").dropDuplicates(["doc_id", "_key"]))
-    return out.drop("_key")
+        out = out.unionByName(keyed.join(again.hint("merge"), match, "left_semi").dropDuplicates(["doc_id", "own_key"]))
+    return kept.back(out)
 
 
 def op7_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:

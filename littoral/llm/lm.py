@@ -12,8 +12,9 @@ words' conditional log-probabilities.
 
 Defined cases: a null, empty or blank text has no words, ``log_prob`` 0 and a null mean; places
 before the first and after the last word are a class of their own as context; equal texts get
-equal scores; an empty table gives no rows; input columns that bear the name of an output
-column are replaced.
+equal scores; texts of any length are scored whole; repeated rows count as often as they stand; an
+empty table gives no rows; input columns that bear the name of an output column are replaced, all
+others but the text are kept.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from littoral.llm.common import Scratch, bucket, documents, literal, words
+from littoral.llm.common import Kept, Scratch, bucket, documents, literal, words
 
 KNOWN, HASHED = 768, 256
 CLASSES = KNOWN + HASHED
@@ -228,7 +229,8 @@ def score(docs: DataFrame) -> DataFrame:
     """``docs`` without their text, with ``n_words, log_prob, mean_log_prob``."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "lm")
-    docs = docs.drop("n_words", "log_prob", "mean_log_prob", "_ids", "ids", "_words", "_rest", "_row")
+    kept = Kept(docs, "text")
+    docs = kept.frame
     counts = docs.select(F.explode(words(F.lower("text"))).alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("n"))
     vocabulary = Vocabulary(scratch.save(counts, "counts"))
     keep = [c for c in docs.columns if c != "text"]
@@ -254,7 +256,8 @@ def score(docs: DataFrame) -> DataFrame:
     rare = joined.groupBy("_row").agg(F.sum("share").alias("_rest"))  # in fixed point, so equal texts get equal sums
     scored = tokens.drop("_rest").withColumn("log_prob", log_prob(F.col("ids"))).withColumn("n_words", F.size("ids").cast("long")).drop("ids")
     scored = scored.join(rare, "_row", "left").withColumn("log_prob", F.round(F.col("log_prob") + F.coalesce("_rest", F.lit(0)) / FIXED, 3)).drop("_rest", "_row")
-    return scored.withColumn("mean_log_prob", F.when(F.col("n_words") > 0, F.round(F.col("log_prob") / F.col("n_words"), 6)))
+    scored = scored.withColumn("mean_log_prob", F.when(F.col("n_words") > 0, F.round(F.col("log_prob") / F.col("n_words"), 6)))
+    return kept.back(scored, "n_words", "log_prob", "mean_log_prob", without=("text",))
 
 
 def op4_lm(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -23,49 +23,61 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from littoral.llm.common import documents
+from littoral.llm.common import Kept, documents, small_batches
 
 WIDTH = 64
 UNIT = WIDTH * 3
 TILE = 64
-_PNM = re.compile(rb"(P[1-6])((?:\s+|#[^\n]*\n)+)")
 
 
-def decode_netpbm(data: bytes) -> np.ndarray | None:
-    """PBM, PGM and PPM in text or binary form, as (height, width, channels) of uint8."""
-    kind, at, fields = data[:2], 2, []
-    if kind not in (b"P1", b"P2", b"P3", b"P4", b"P5", b"P6"):
-        return None
-    wanted = 2 if kind in (b"P1", b"P4") else 3
-    while len(fields) < wanted:
-        found = re.compile(rb"(?:\s|#[^\n]*\n)*(\d+)").match(data, at)
+def _fields(data: bytes, at: int, wanted: int) -> tuple[list[int], int] | None:
+    """The numbers of a Netpbm header and the place after them."""
+    out = []
+    while len(out) < wanted:
+        found = re.compile(rb"(?:\s|#[^\n]*\n)*(\d{1,9})(?!\d)").match(data, at)
         if not found:
             return None
-        fields.append(int(found[1]))
+        out.append(int(found[1]))
         at = found.end()
-    width, height = fields[:2]
-    top = fields[2] if wanted == 3 else 1
-    channels = 3 if kind in (b"P3", b"P6") else 1
+    return out, at
+
+
+def decode_netpbm(data: bytes) -> np.ndarray | None:
+    """PBM, PGM and PPM in text or binary form, as (height, width, channels) of uint8; None for anything else."""
+    kind = data[:2]
+    if kind not in (b"P1", b"P2", b"P3", b"P4", b"P5", b"P6"):
+        return None
+    bits = kind in (b"P1", b"P4")
+    head = _fields(data, 2, 2 if bits else 3)
+    if head is None:
+        return None
+    (width, height, *rest), at = head
+    top, channels = (rest or [1])[0], 3 if kind in (b"P3", b"P6") else 1
     if not width or not height or not 0 < top < 65536:
         return None
-    count = width * height * channels
+    count, samples = width * height * channels, max(0, len(data) - at - 1)
     if kind in (b"P1", b"P2", b"P3"):
+        if count > len(data):  # a sample takes a character at least
+            return None
         body = re.sub(rb"#[^\n]*", b"", data[at:])
-        tokens = list(body.translate(None, b" \t\r\n")) if kind == b"P1" else body.split()
-        values = np.array([x - 48 for x in tokens[:count]] if kind == b"P1" else [int(x) for x in tokens[:count]], dtype=np.int64)
-    elif kind == b"P4":
+        tokens = [bytes([x]) for x in body.translate(None, b" \t\r\n\v\f")[:count]] if bits else body.split()[:count]
+        if not all(x.isdigit() and len(x) < 6 for x in tokens):
+            return None
+        values = np.array([int(x) for x in tokens], np.int64)
+    elif bits:
         stride = (width + 7) // 8
-        raw = np.frombuffer(data, np.uint8, offset=at + 1)[: stride * height]
-        if raw.size < stride * height:
+        if samples < stride * height:
             return None
+        raw = np.frombuffer(data, np.uint8, offset=at + 1, count=stride * height)
         values = np.unpackbits(raw.reshape(height, stride), axis=1)[:, :width].reshape(-1).astype(np.int64)
-    elif top < 256:
-        values = np.frombuffer(data, np.uint8, offset=at + 1)[:count]
     else:
-        values = np.frombuffer(data[at + 1 : at + 1 + 2 * count], ">u2")
-    if values.size < count:
+        wide = 1 if top < 256 else 2
+        if samples < count * wide:
+            return None
+        values = np.frombuffer(data, np.uint8 if wide == 1 else ">u2", offset=at + 1, count=count)
+    if values.size < count or values.max() > top:
         return None
-    if kind in (b"P1", b"P4"):
+    if bits:
         values = (1 - values) * 255
     elif top != 255:
         values = values.astype(np.int64) * 255 // top
@@ -73,20 +85,22 @@ def decode_netpbm(data: bytes) -> np.ndarray | None:
 
 
 def decode_bmp(data: bytes) -> np.ndarray | None:
-    """Uncompressed BMP of 8 (palette), 24 or 32 bits, as (height, width, 3) of uint8."""
+    """Uncompressed BMP of 8 (palette), 24 or 32 bits, as (height, width, 3) of uint8; None for anything else."""
     if data[:2] != b"BM" or len(data) < 54:
         return None
     start, head, width, height, _, bits, packed = struct.unpack_from("<I4xI", data, 10)[:1] + struct.unpack_from("<IiiHHI", data, 14)
-    if packed or bits not in (8, 24, 32) or width <= 0 or not height:
+    if packed or head < 40 or bits not in (8, 24, 32) or width <= 0 or not height:
         return None
     rows, stride = abs(height), (width * bits // 8 + 3) // 4 * 4
-    raw = np.frombuffer(data, np.uint8, offset=min(start, len(data)))
-    if raw.size < rows * stride:
+    if start < 14 + head or len(data) - start < rows * stride:
         return None
-    raw = raw[: rows * stride].reshape(rows, stride)[:, : width * bits // 8]
+    raw = np.frombuffer(data, np.uint8, offset=start, count=rows * stride).reshape(rows, stride)[:, : width * bits // 8]
     if bits == 8:
-        table = np.frombuffer(data, np.uint8, offset=14 + head, count=min(256, (start - 14 - head) // 4) * 4).reshape(-1, 4)
-        picture = table[np.minimum(raw, len(table) - 1)][:, :, 2::-1]
+        colours = min(256, (start - 14 - head) // 4)
+        if raw.max() >= colours:
+            return None
+        table = np.frombuffer(data, np.uint8, offset=14 + head, count=colours * 4).reshape(-1, 4)
+        picture = table[raw][:, :, 2::-1]
     else:
         picture = raw.reshape(rows, width, bits // 8)[:, :, 2::-1]
     return np.ascontiguousarray(picture[::-1] if height > 0 else picture)
@@ -141,8 +155,10 @@ def npy_tiles(picture: np.ndarray, side: int = TILE) -> list[tuple[int, int, byt
 
 def media_tiles(media: DataFrame, column: str = "media", side: int = TILE) -> DataFrame:
     """One row per tile: the other columns of ``media`` and tile_row, tile_col, npy, dhash."""
-    keep = [c for c in media.columns if c not in (column, "tile_row", "tile_col", "npy", "dhash")]
-    schema = ", ".join([f"`{c}` {media.schema[c].dataType.simpleString()}" for c in keep] + ["tile_row int", "tile_col int", "npy binary", "dhash string"])
+    small_batches(media.sparkSession)
+    kept = Kept(media, column)
+    keep = [c for c in kept.inside if c != column]
+    schema = ", ".join([f"`{c}` {kept.frame.schema[c].dataType.simpleString()}" for c in keep] + ["tile_row int", "tile_col int", "npy binary", "dhash string"])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -156,11 +172,12 @@ def media_tiles(media: DataFrame, column: str = "media", side: int = TILE) -> Da
                 rest = [batch.column(k).take(index) for k in range(len(keep))]
                 yield pa.RecordBatch.from_arrays([*rest, pa.array(row, pa.int32()), pa.array(col, pa.int32()), pa.array(data, pa.binary()), pa.array(mark)], names=[*keep, "tile_row", "tile_col", "npy", "dhash"])
 
-    return media.select(*keep, column).mapInArrow(cut, schema)
+    return kept.back(kept.frame.select(*keep, column).mapInArrow(cut, schema), "tile_row", "tile_col", "npy", "dhash", without=(column,))
 
 
 def store_texts(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """(key, n_bytes, media): each text as a binary Netpbm file, padded with spaces."""
+    small_batches(docs.sparkSession)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -177,7 +194,10 @@ _FEATURES = "n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32
 
 
 def read_back(stored: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Decode the stored pictures and describe the samples read: digests and a feature of size, hash and tile hashes."""
+    """Decode the stored pictures and describe the samples read: digests, and a feature of the size, the difference
+    hash and the first 16 digits of a digest over all NPY tiles and their difference hashes. All null but the media's own
+    size and digest where media do not decode."""
+    small_batches(stored.sparkSession)
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -185,6 +205,9 @@ def read_back(stored: DataFrame, key: str = "doc_id") -> DataFrame:
             for size, blob in zip(batch.column(1).to_pylist(), batch.column(2), strict=True):
                 data = blob.as_py()
                 picture = decode(data)
+                if picture is None:
+                    rows.append((size, *[None] * 3, None if data is None else len(data), None if data is None else hashlib.sha256(data).hexdigest(), None))
+                    continue
                 payload = picture.tobytes()
                 tiles = hashlib.sha256()
                 for y, x, tile, mark in npy_tiles(picture):

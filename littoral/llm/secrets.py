@@ -114,14 +114,13 @@ def find_secrets(docs: DataFrame, owner: Column | None = None, repository: Colum
     """
     owner = F.coalesce("source", F.lit("")) if owner is None else owner
     repository = F.concat_ws("/", F.coalesce("source", F.lit("")), F.coalesce("lang", F.lit(""))) if repository is None else repository
-    names = ("littoral_owner", "littoral_repository")
-    kept, scratch = Kept(docs.select("*", owner.alias(names[0]), repository.alias(names[1])), "text", *names), Scratch(docs.sparkSession, "secrets")
+    kept, scratch = Kept(docs, "text", owner=owner, repository=repository), Scratch(docs.sparkSession, "secrets")
     signature = F.sha2(F.array_join(_hashes(F.col("secret_spans")), ","), 256)
     scanned = scan(kept.frame)
     # every text is scanned once: what was found is written down with the rows
     scanned = scratch.save((scanned if with_text else scanned.drop("text")).withColumn("signature", signature), "scanned")
     hits = scanned.where(F.size("secret_spans") > 0)
-    owned = scratch.save(ownership(hits, *map(F.col, names)), "owned")
+    owned = scratch.save(ownership(hits, F.col("owner"), F.col("repository")), "owned")
     # one row per distinct set of candidates, so equal sets are judged once
     sets = scratch.save(hits.select("signature", _hashes(F.col("secret_spans")).alias("h")).distinct().select("signature", F.explode("h").alias("hash")), "sets")
     live = F.when((F.col("n_owners") < copied_owners) | (F.col("n_repositories") < copied_repositories), F.col("hash"))
@@ -130,7 +129,7 @@ def find_secrets(docs: DataFrame, owner: Column | None = None, repository: Colum
     )
     none = scanned.where(F.size("secret_spans") == 0).withColumns({"live_hashes": F.expr("cast(array() as array<string>)"), "max_owners": F.lit(0).cast("long"), "max_repositories": F.lit(0).cast("long")})
     every = join_spread(hits, scratch.save(judged, "judged"), "signature", scratch).unionByName(none)
-    return kept.back(every, *MADE, without=names if with_text else (*names, "text"))
+    return kept.back(every, *MADE, without=() if with_text else ("text",))
 
 
 def redact(found: DataFrame, mask: str = "[SECRET]") -> DataFrame:
