@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from littoral.llm.common import Kept, Scratch, bucket, documents, let, literal, some_texts
+from littoral.llm.common import Kept, Scratch, bucket, documents, give_back, let, literal, some_texts
 
 CACHE_WORDS = 1 << 19
 #: Words of more characters take the steps that merge a pair everywhere; the result is the same.
@@ -305,7 +305,10 @@ def encode(docs: DataFrame, path: str | None = None, pattern: str | None = None,
 
     @F.arrow_udf("runs array<array<int>>, at array<int>, rare array<string>")
     def look_up(words: pa.Array) -> pa.Array:
-        return Cache(*sent.value).look_up(words)
+        try:
+            return Cache(*sent.value).look_up(words)
+        finally:
+            give_back()
 
     none = F.array().cast("array<int>")
 

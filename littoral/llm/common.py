@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
 import tempfile
 import uuid
@@ -109,6 +110,26 @@ def words(text: Column) -> Column:
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(WORD), F.lit(0))
 
 
+def give_back() -> None:
+    """Return what this process has freed to the system, as a worker waits for its next task with all it ever held."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def giving_back(batches: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable:
+    """A function over batches that gives memory back when it is done."""
+
+    def run(given: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from batches(given)
+        finally:
+            give_back()
+
+    return run
+
+
 #: Words that a task has in hand at once, about.
 WORDS_AT_ONCE = 1 << 19
 

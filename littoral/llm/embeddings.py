@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from littoral.llm.common import Scratch
+from littoral.llm.common import Scratch, giving_back
 from littoral.llm.components import components, forest
 
 THRESHOLD = 0.95
@@ -149,7 +149,7 @@ def _leaves(nodes: DataFrame, plan: Plan) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(plan.place(turned)), box], names=["node", "copies", "embedding", "leaf", "box"])
 
     kind = nodes.schema["embedding"].dataType.simpleString()
-    return nodes.select("node", "copies", "embedding").mapInArrow(place, f"node long, copies long, embedding {kind}, leaf int, box array<double>")
+    return nodes.select("node", "copies", "embedding").mapInArrow(giving_back(place), f"node long, copies long, embedding {kind}, leaf int, box array<double>")
 
 
 def _compare(tiles: DataFrame, plan: Plan, threshold: float) -> DataFrame:
@@ -181,7 +181,7 @@ def _compare(tiles: DataFrame, plan: Plan, threshold: float) -> DataFrame:
                     ns.append(None)
             yield pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64()), pa.array(ns, pa.int64())], names=["u", "v", "n"])
 
-    return tiles.mapInArrow(compare, "u long, v long, n long")
+    return tiles.mapInArrow(giving_back(compare), "u long, v long, n long")
 
 
 def embedding_links(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

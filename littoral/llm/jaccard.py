@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from littoral.llm.common import Kept, Scratch, documents, mix64, words
+from littoral.llm.common import Kept, Scratch, documents, giving_back, mix64, words
 from littoral.llm.components import components, forest
 
 SHINGLE = 5
@@ -135,7 +135,7 @@ def _documents_as_sets(docs: DataFrame, runs: int) -> DataFrame:
                 )
 
     hashed = docs.select("doc_id", F.xxhash64("text").alias("text_key"), _hashed_words())
-    return hashed.mapInArrow(read, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, text_key long, node long, size long, sketch binary, paths array<long>")
+    return hashed.mapInArrow(giving_back(read), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, text_key long, node long, size long, sketch binary, paths array<long>")
 
 
 def _compare_sketches(a: pa.StructArray, b: pa.StructArray, same: bool) -> list[tuple[int, int]]:
@@ -177,7 +177,7 @@ def _tiles(members: DataFrame, counts: DataFrame) -> DataFrame:
             u, v = zip(*edges, strict=True) if edges else ((), ())
             yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
 
-    return _pairs(tiles, "path").mapInArrow(compare, "u long, v long")
+    return _pairs(tiles, "path").mapInArrow(giving_back(compare), "u long, v long")
 
 
 def _split(level: DataFrame, turn: int, runs: int, threshold: float = THRESHOLD) -> DataFrame:
@@ -196,7 +196,7 @@ def _split(level: DataFrame, turn: int, runs: int, threshold: float = THRESHOLD)
                     out = part.take(pa.array(row))
                     yield pa.RecordBatch.from_arrays([out.column(0), pa.array(child.view(np.int64)), *out.columns[1:]], names=["parent", "path", "node", "size", "sketch"])
 
-    return level.select("path", "node", "size", "sketch").mapInArrow(walk, "parent long, path long, node long, size long, sketch binary")
+    return level.select("path", "node", "size", "sketch").mapInArrow(giving_back(walk), "parent long, path long, node long, size long, sketch binary")
 
 
 def _candidates(nodes: DataFrame, runs: int, scratch: Scratch) -> DataFrame:
@@ -296,7 +296,7 @@ def _verify(sets: DataFrame) -> DataFrame:
                     ns.append(None)
             yield pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64()), pa.array(ns, pa.int64())], names=["u", "v", "n"])
 
-    return _pairs(tiles, "root").mapInArrow(compare, "u long, v long, n long")
+    return _pairs(tiles, "root").mapInArrow(giving_back(compare), "u long, v long, n long")
 
 
 def _tokens_of(docs: DataFrame) -> DataFrame:
@@ -308,7 +308,7 @@ def _tokens_of(docs: DataFrame) -> DataFrame:
                 sets = [shingles(x) for x in _word_lists(batch.slice(at, SLICE), 0)]
                 yield pa.RecordBatch.from_arrays([pa.array([set_hash(x) for x in sets], pa.int64()), _list_array(sets)], names=["node", "tokens"])
 
-    return docs.select(_hashed_words()).mapInArrow(read, "node long, tokens array<long>")
+    return docs.select(_hashed_words()).mapInArrow(giving_back(read), "node long, tokens array<long>")
 
 
 def _semi(docs: DataFrame, wanted: DataFrame) -> DataFrame:

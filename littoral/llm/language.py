@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from littoral.llm.common import Kept, Scratch, documents, some_texts
+from littoral.llm.common import Kept, Scratch, documents, give_back, giving_back, some_texts
 
 #: Labelled documents per language that the model is fitted on, about; all where a language has fewer.
 SAMPLE_DOCS = 300
@@ -240,7 +240,7 @@ class Model:
                 value = np.round(found[piece, lang] * FIXED).astype(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(piece * len(langs) + lang, pa.int64()), pa.array(value)], names=["at", "x"])
 
-            parts = words.select("lang", "word", "n").mapInArrow(some, "at long, x long")
+            parts = words.select("lang", "word", "n").mapInArrow(giving_back(some), "at long, x long")
             sums = parts.groupBy("at").agg(F.sum("x").alias("x")).toArrow()  # a row per piece and language at most
             out = np.zeros(pieces.count * len(langs))
             out[sums.column("at").to_numpy()] = sums.column("x").to_numpy() / FIXED
@@ -282,6 +282,7 @@ def identify(docs: DataFrame, vocabulary: str | None = None, per_language: int =
     def predict(words: pa.Array) -> pa.Array:
         langs, parts, p = sent.value
         langs, score = Model(langs, Pieces(*parts), p).predict(words)
+        give_back()
         return pa.StructArray.from_arrays([pa.array(langs, pa.string()), pa.array(score, pa.float64())], names=["lang_pred", "score"])
 
     found = kept.frame.withColumn("found", predict(letter_words(F.col("text"))))

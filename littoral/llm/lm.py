@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from littoral.llm.common import Kept, Scratch, bucket, documents, literal, words
+from littoral.llm.common import Kept, Scratch, bucket, documents, giving_back, literal, words
 
 KNOWN, HASHED = 768, 256
 CLASSES = KNOWN + HASHED
@@ -218,7 +218,7 @@ def fit(tokens: DataFrame, classes: np.ndarray, totals: np.ndarray, scratch: Scr
             row = pa.array(np.append(fixed, weight)).cast(pa.int64())
             yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array([0, len(row)], pa.int32()), row)], names=["sums"])
 
-    parts = tokens.select("ids").mapInArrow(go_on, "sums array<long>").select(F.posexplode("sums").alias("at", "x"))
+    parts = tokens.select("ids").mapInArrow(giving_back(go_on), "sums array<long>").select(F.posexplode("sums").alias("at", "x"))
     sums = scratch.save(parts.groupBy("at").agg(F.sum("x").alias("x")), "sums").orderBy("at").toPandas()  # Net.SIZE + 1 rows
     if len(sums):
         net = Net(sums.x.to_numpy()[:-1] / (FIXED * float(sums.x.iloc[-1])))

@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from littoral.llm.common import Kept, documents, small_batches
+from littoral.llm.common import Kept, documents, giving_back, small_batches
 
 WIDTH = 64
 UNIT = WIDTH * 3
@@ -172,7 +172,7 @@ def media_tiles(media: DataFrame, column: str = "media", side: int = TILE) -> Da
                 rest = [batch.column(k).take(index) for k in range(len(keep))]
                 yield pa.RecordBatch.from_arrays([*rest, pa.array(row, pa.int32()), pa.array(col, pa.int32()), pa.array(data, pa.binary()), pa.array(mark)], names=[*keep, "tile_row", "tile_col", "npy", "dhash"])
 
-    return kept.back(kept.frame.select(*keep, column).mapInArrow(cut, schema), "tile_row", "tile_col", "npy", "dhash", without=(column,))
+    return kept.back(kept.frame.select(*keep, column).mapInArrow(giving_back(cut), schema), "tile_row", "tile_col", "npy", "dhash", without=(column,))
 
 
 def store_texts(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -187,7 +187,7 @@ def store_texts(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Dat
                 files = [encode_ppm(x + b" " * (-len(x) % UNIT or (UNIT if not x else 0))) for x in raw]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array([len(x) for x in raw], pa.int64()), pa.array(files, pa.binary())], names=[key, "n_bytes", "media"])
 
-    return docs.select(key, text).mapInArrow(encode, f"`{key}` {docs.schema[key].dataType.simpleString()}, n_bytes long, media binary")
+    return docs.select(key, text).mapInArrow(giving_back(encode), f"`{key}` {docs.schema[key].dataType.simpleString()}, n_bytes long, media binary")
 
 
 _FEATURES = "n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
@@ -219,7 +219,7 @@ def read_back(stored: DataFrame, key: str = "doc_id") -> DataFrame:
                 kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
                 yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(v, k) for v, k in zip(zip(*rows, strict=True), kinds, strict=True))], names=[key, *names])
 
-    return stored.select(key, "n_bytes", "media").mapInArrow(describe, f"`{key}` {stored.schema[key].dataType.simpleString()}, {_FEATURES}")
+    return stored.select(key, "n_bytes", "media").mapInArrow(giving_back(describe), f"`{key}` {stored.schema[key].dataType.simpleString()}, {_FEATURES}")
 
 
 def op6_media(spark: SparkSession, sf_dir: str) -> DataFrame:
