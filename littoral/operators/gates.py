@@ -68,6 +68,17 @@ def carry_health(previous: dict, current: dict, keys: tuple[str, ...] = ("traini
     return {**{k: previous[k] for k in keys if k in previous and k not in current}, **current}
 
 
+def release_problems(tables: dict[str, DataFrame], wanted: list[str], private: list[str], forecasts: str, day: str, today, hours: int = 48) -> list[str]:
+    """Q9: what speaks against a release: absent or empty tables, private columns, forecasts that are too old."""
+    found = [f"{n} is absent" for n in wanted if n not in tables]
+    for name, df in tables.items():
+        found += [f"{name} has {c}" for c in df.columns if c.lower() in private] + [f"{name} is empty"] * df.isEmpty()
+    newest = tables[forecasts].agg(F.max(day).alias("day")).first().day if forecasts in tables else None
+    if newest is None or (today - newest).days * 24 > hours:
+        found.append(f"{forecasts} is old")
+    return found
+
+
 def frame_difference(a: DataFrame, b: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
     """Keys on one side only, and keys whose columns differ; nulls equal nulls."""
     x = a.select(*keys, *[F.col(c).alias(f"a_{c}") for c in columns], F.lit(True).alias("_a"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from multiprocessing.pool import ThreadPool
 
-from pyspark.ml import Pipeline
+from pyspark.ml import Estimator, Model, Pipeline
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import Imputer, StandardScaler, VectorAssembler
@@ -146,6 +146,30 @@ def ensemble_probability(models: list, rows: DataFrame, features: list[str]) ->
     return out.withColumn("probability", mean).drop("_x", *[f"_m{i}" for i in range(len(models))])
 
 
+class SiteRate(Estimator):
+    """The estimator protocol with site keys: each site's rate, shrunk to the whole; unknown sites have the whole's."""
+
+    def __init__(self, key: str, label: str, strength: float = 4.0):
+        super().__init__()
+        self.key, self.label, self.strength = key, label, strength
+
+    def _fit(self, dataset: DataFrame) -> SiteRateModel:
+        per = dataset.groupBy(self.key).agg(F.count(F.lit(1)).alias("_n"), F.sum(self.label).alias("_k"))
+        whole = per.agg((F.sum("_k") / F.sum("_n")).alias("_g"))  # one row
+        rate = (F.col("_k") + self.strength * F.col("_g")) / (F.col("_n") + self.strength)
+        return SiteRateModel(self.key, per.join(F.broadcast(whole)).select(self.key, rate.alias("_rate")), whole)
+
+
+class SiteRateModel(Model):
+    def __init__(self, key: str, rates: DataFrame, whole: DataFrame):
+        super().__init__()
+        self.key, self.rates, self.whole = key, rates, whole
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        out = dataset.join(self.rates, self.key, "left").join(F.broadcast(self.whole))
+        return out.withColumn("probability", F.coalesce("_rate", "_g")).drop("_rate", "_g")
+
+
 def residual_correction(rows: DataFrame, key: str, score: str, label: str, least: int = 30, cap: float = 0.30) -> DataFrame:
     """M9: per site the mean miss, for sites with enough rows, within a cap; the result stays in 0.001 to 0.999."""
     miss = F.avg(F.col(label).cast("double") - F.col(score))

@@ -112,16 +112,8 @@ def p26(spark, d):
 _PAIR = "sin(radians((b.lat - a.lat) / 2)) ^ 2 + cos(radians(a.lat)) * cos(radians(b.lat)) * sin(radians((b.lon - a.lon) / 2)) ^ 2"
 
 
-@query("j07_nearest_series", f"""WITH {place_sql("customer", "a")}, {place_sql("supplier", "b")}, {SHIP}, p AS (SELECT a.site, b.site AS other, {_PAIR} AS h FROM a, b WHERE a.site < 40), m AS (SELECT site, arg_min(other, ROW(ROUND({HAVERSINE}, 9), other)) AS st FROM p GROUP BY 1) SELECT m.site, ship.day, ship.rain FROM m JOIN ship ON ship.site = m.st""")
+@query("j07_nearest_series", f"""WITH {place_sql("customer", "a")}, {place_sql("supplier", "b")}, {SHIP}, p AS (SELECT a.site, b.site AS other, {_PAIR} AS h FROM a, b), m AS (SELECT site, arg_min(other, ROW(ROUND({HAVERSINE}, 9), other)) AS st FROM p GROUP BY 1) SELECT m.site, ship.day, ship.rain FROM m JOIN ship ON ship.site = m.st""")
 def j07(spark, d):
-    right = places(spark, d).select(F.col("site").alias("station"), "lat", "lon")
-    m = spatial.nearest(places(spark, d, "customer").where("site < 40"), right, "site", "station").select(F.col("site").alias("place"), F.col("nearest_station").alias("site"))
-    return m.join(shipments(spark, d), "site").select(F.col("place").alias("site"), "day", "rain")
-
-
-@query("j07_nearest_series_whole", f"""WITH {place_sql("customer", "a")}, {place_sql("supplier", "b")}, {SHIP}, p AS (SELECT a.site, b.site AS other, {_PAIR} AS h FROM a, b), m AS (SELECT site, arg_min(other, ROW(ROUND({HAVERSINE}, 9), other)) AS st FROM p GROUP BY 1) SELECT m.site, ship.day, ship.rain FROM m JOIN ship ON ship.site = m.st""")
-def j07_whole(spark, d):
-    """All places; j07 keeps the few that its SQL names."""
     right = places(spark, d).select(F.col("site").alias("station"), "lat", "lon")
     m = spatial.nearest(places(spark, d, "customer"), right, "site", "station").select(F.col("site").alias("place"), F.col("nearest_station").alias("site"))
     return m.join(shipments(spark, d), "site").select(F.col("place").alias("site"), "day", "rain")
@@ -144,25 +136,20 @@ def j28(spark, d):
     return o.drop("uv").join(fresh, ["site", "ts"], "left").select("event_id", "uv")
 
 
-@query("j29_metadata_chain", "SELECT l_orderkey, l_linenumber, p_brand, s_name, n_name FROM lineitem LEFT JOIN part ON l_partkey = p_partkey LEFT JOIN supplier ON l_suppkey = s_suppkey LEFT JOIN nation ON s_nationkey = n_nationkey WHERE l_quantity >= 49")
+@query("j29_metadata_chain", "SELECT l_orderkey, l_linenumber, p_brand, s_name, n_name FROM lineitem LEFT JOIN part ON l_partkey = p_partkey LEFT JOIN supplier ON l_suppkey = s_suppkey LEFT JOIN nation ON s_nationkey = n_nationkey")
 def j29(spark, d):
-    p, s, n = (table(spark, d, t) for t in ("part", "supplier", "nation"))
-    rows = table(spark, d, "lineitem").where("l_quantity >= 49")
-    return rows.join(p, rows.l_partkey == p.p_partkey, "left").join(s, rows.l_suppkey == s.s_suppkey, "left").join(n, s.s_nationkey == n.n_nationkey, "left").select("l_orderkey", "l_linenumber", "p_brand", "s_name", "n_name")
-
-
-@query("j29_metadata_chain_whole", "SELECT l_orderkey, l_linenumber, p_brand, s_name, n_name FROM lineitem LEFT JOIN part ON l_partkey = p_partkey LEFT JOIN supplier ON l_suppkey = s_suppkey LEFT JOIN nation ON s_nationkey = n_nationkey")
-def j29_whole(spark, d):
-    """All rows; j29 keeps the quantities that its SQL names."""
     p, s, n = (table(spark, d, t) for t in ("part", "supplier", "nation"))
     rows = table(spark, d, "lineitem")
     return rows.join(p, rows.l_partkey == p.p_partkey, "left").join(s, rows.l_suppkey == s.s_suppkey, "left").join(n, s.s_nationkey == n.n_nationkey, "left").select("l_orderkey", "l_linenumber", "p_brand", "s_name", "n_name")
 
 
-@query("j23_reindex", f"WITH {SHIP} SELECT s_suppkey AS site, COALESCE(rain, 0) AS rain FROM supplier LEFT JOIN (SELECT * FROM ship WHERE day = DATE '1998-03-03') x ON x.site = s_suppkey")
+@query("j23_reindex", f"WITH {SHIP}, n AS (SELECT DISTINCT day FROM ship) SELECT s_suppkey AS site, n.day, COALESCE(rain, 0) AS rain FROM supplier CROSS JOIN n LEFT JOIN ship ON ship.site = s_suppkey AND ship.day = n.day")
 def j23(spark, d):
-    day = shipments(spark, d).where(F.col("day") == F.lit("1998-03-03").cast("date"))
-    return table(spark, d, "supplier").select(F.col("s_suppkey").alias("site")).join(day, "site", "left").select("site", F.coalesce("rain", F.lit(0.0)).alias("rain"))
+    """Every station on every day, in the order of the stations; the calendar is bounded."""
+    series = shipments(spark, d)
+    calendar = series.select("day").distinct().agg(F.collect_list("day").alias("days"))
+    dense = table(spark, d, "supplier").select(F.col("s_suppkey").alias("site")).join(F.broadcast(calendar)).select("site", F.explode("days").alias("day"))
+    return dense.join(series, ["site", "day"], "left").select("site", "day", F.coalesce("rain", F.lit(0.0)).alias("rain"))
 
 
 @query("a07_rising_flow", """WITH c AS (SELECT DISTINCT CAST(ts AS DATE) AS day, CAST(ts AS DATE) + INTERVAL 13 HOURS AS cut FROM events) SELECT user_id AS site, c.day, ROUND(AVG(value), 6) AS mean_72h, ROUND(AVG(value) FILTER (ts >= cut - INTERVAL 6 HOURS), 6) AS mean_6h, COALESCE(AVG(value) FILTER (ts >= cut - INTERVAL 6 HOURS) > AVG(value), FALSE) AS rising FROM events JOIN c ON ts < cut AND ts >= cut - INTERVAL 72 HOURS GROUP BY 1, 2""")

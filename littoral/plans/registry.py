@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -30,9 +31,11 @@ def table(spark: SparkSession, d: str, name: str) -> DataFrame:
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A new path in the cluster's shared folder; a local one where none is named."""
+    """A new path in the cluster's shared folder; a local one only for a session without a cluster that names none."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not re.fullmatch(r"local(\[.*])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         root = "file://" + tempfile.mkdtemp(prefix="littoral-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -27,6 +27,19 @@ def missing_columns(df: DataFrame, required: list[str], expected: list[str] = ()
     return [c for c in required if c not in df.columns], [c for c in expected if c not in df.columns]
 
 
+def guard(df: DataFrame, keys: list[str], labels: list[str], features: list[str]) -> list[tuple[str, str]]:
+    """Q1: (name, level) of each finding: an empty frame and absent keys and labels are errors, and end the check;
+    absent features and such as are null throughout are warnings. One pass over the rows."""
+    present = [c for c in features if c in df.columns]
+    errors, warnings = missing_columns(df, [*keys, *labels], features)
+    counts = df.agg(F.count(F.lit(1)).alias("_rows"), *[F.count(c).alias(c) for c in present]).first()
+    if not counts["_rows"]:
+        return [("no table", "error")]
+    if errors:
+        return [(c, "error") for c in errors]
+    return [(c, "warning") for c in [*warnings, *(c for c in present if not counts[c])]]
+
+
 def null_profile(df: DataFrame, columns: list[str]) -> DataFrame:
     """Q2 and Q3: one row per column: rows, non-null values, share, whether it is null throughout."""
     counts = df.agg(F.count(F.lit(1)).alias("rows"), *[F.count(c).alias(c) for c in columns])

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -23,6 +26,23 @@ def replace_atomically(df: DataFrame, path: str) -> None:
     fs.rename(fresh, old)
 
 
+def write_snapshot(parts: dict[str, tuple[DataFrame, str]], root: str, health: dict) -> None:
+    """K4: the tables of a serving snapshot, each sorted by its key inside its files, and a health table of strict JSON.
+
+    All are written beside the place of the snapshot, which one rename then fills, so readers see all tables or none.
+    """
+    spark = next(iter(parts.values()))[0].sparkSession
+    for name, (df, key) in parts.items():
+        finite_columns(df).sortWithinPartitions(key).write.mode("overwrite").parquet(f"{root}.new/{name}")
+    rows = [(k, json.dumps(None if isinstance(v, float) and not math.isfinite(v) else v, allow_nan=False)) for k, v in health.items()]
+    spark.createDataFrame(rows, "key string, payload string").write.mode("overwrite").parquet(f"{root}.new/system_health")
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    fresh, old = hadoop(f"{root}.new"), hadoop(root)
+    fs = old.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.delete(old, True)
+    fs.rename(fresh, old)
+
+
 def append_log(df: DataFrame, path: str) -> None:
     """K3: appended as it is; readers keep the last of each key."""
     df.write.mode("append").parquet(path)

@@ -14,7 +14,7 @@ def text_schema(names: list[str]) -> T.StructType:
 
 def read_csv(spark: SparkSession, path, names: list[str] | None = None, limit: int | None = None, **options) -> DataFrame:
     """All columns as text, byte order mark dropped, malformed lines skipped."""
-    reader = spark.read.option("header", True).option("mode", "DROPMALFORMED").option("encoding", "UTF-8").option("enforceSchema", False).options(**options)
+    reader = spark.read.option("mode", "DROPMALFORMED").option("encoding", "UTF-8").options(**{"header": True, "enforceSchema": False, **options})
     out = reader.schema(text_schema(names)).csv(path) if names else reader.option("inferSchema", False).csv(path)
     return out if limit is None else out.limit(limit)
 
@@ -35,6 +35,39 @@ def read_static(spark: SparkSession, path) -> DataFrame:
     return read_csv(spark, path, comment="#")
 
 
+def read_csv_parts(spark: SparkSession, paths: dict[str, str], name: str, names: list[str]) -> DataFrame:
+    """One folder or file per part, the part's name as a column; absent ones are skipped."""
+    hadoop, conf = spark._jvm.org.apache.hadoop.fs.Path, spark._jsc.hadoopConfiguration()
+    there = {k: v for k, v in paths.items() if hadoop(v).getFileSystem(conf).exists(hadoop(v))}
+    out = spark.createDataFrame([], text_schema([name, *names]))
+    for part, path in there.items():
+        out = out.unionByName(read_csv(spark, path, names).withColumn(name, F.lit(part)))
+    return out
+
+
+def read_json_map(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A file that is one object of named records: (key, the record's columns)."""
+    raw = spark.read.text(path, wholetext=True)
+    return raw.select(F.explode(F.from_json("value", f"map<string,{schema}>"))).select("key", "value.*")
+
+
+def package_resources(raw: DataFrame, column: str, kind: str) -> DataFrame:
+    """The resources of a package's metadata that are of one format; answers without success give none."""
+    schema = "struct<success:boolean,result:struct<title:string,resources:array<struct<name:string,format:string,url:string>>>>"
+    rows = raw.select(F.from_json(column, schema).alias("j")).where("j.success").select(F.col("j.result.title").alias("package"), F.explode("j.result.resources").alias("r"))
+    return rows.where(F.upper("r.format") == kind.upper()).select("package", F.col("r.name").alias("resource"), "r.format", "r.url")
+
+
+def to_millimetres(value: Column, units: Column) -> Column:
+    """Metres and inches become millimetres; other units are taken as millimetres."""
+    return F.when(F.lower(units) == "m", value * 1000.0).when(F.lower(units).isin("in", "inch", "inches"), value * 25.4).otherwise(value)
+
+
+def clamped_start(wanted, archive_start):
+    """A request starts no earlier than the archive."""
+    return max(wanted, archive_start)
+
+
 def read_parquet_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """An absent file is an empty frame of the declared schema."""
     try:

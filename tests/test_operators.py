@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from littoral import schemas, sinks
 from littoral.functions import core
-from littoral.operators import dedupe, entity, gates, metrics, models, rates, serving, spatial, temporal
+from littoral.operators import dedupe, entity, fits, gates, metrics, models, rates, serving, spatial, temporal
 from littoral.plans import catalog, registry
 from littoral.sources import datastore, readers
 from pyspark.sql import functions as F
@@ -146,7 +146,52 @@ def test_near_joins_against_brute_force(spark):
     near = {r.id: r.nearest_other for r in spatial.nearest(df.limit(20), df.where("id >= 40").withColumnRenamed("id", "other"), "id", "other").collect()}
     assert near == {p[0]: min(pts[40:], key=lambda q: (km(p, q), q[0]))[0] for p in pts[:20]}
     line = spark.createDataFrame([(i, 33 + i * 0.01, -118 + i * 0.01 / math.cos(math.radians(33))) for i in range(7)], "id int, lat double, lon double")
-    assert all(abs(r.azimuth - 45) < 0.1 for r in spatial.shore_tangent(line, "id").collect())
+    # the shore runs to the northeast, and inland lies to its northwest
+    assert all(abs(r.azimuth - 315) < 0.5 for r in spatial.shore_azimuth(line, "id").collect())
+    alone = spatial.shore_azimuth(line.limit(2), "id").collect()
+    assert [(r.neighbours, r.azimuth) for r in alone] == [(1, 270.0)] * 2
+
+
+def globe_km(p, q):
+    a = math.sin(math.radians(q[1] - p[1]) / 2) ** 2 + math.cos(math.radians(p[1])) * math.cos(math.radians(q[1])) * math.sin(math.radians(q[2] - p[2]) / 2) ** 2
+    return 2 * 6371 * math.atan2(math.sqrt(a), math.sqrt(max(0.0, 1 - a)))
+
+
+def test_near_joins_all_over_the_globe(spark):
+    """High latitudes, the poles, the date line, and places far from all others."""
+    rng = np.random.default_rng(4)
+    spots = [(75.0, 10.0, 1.5), (89.9, 0.0, 0.2), (-89.95, 100.0, 0.1), (0.0, 179.99, 0.3), (52.0, -179.9, 0.4), (33.0, -118.0, 0.3)]
+    pts = [(i, float(min(90, max(-90, la + rng.normal() * s))), float((lo + rng.normal() * s * 3 + 180) % 360 - 180)) for i, (la, lo, s) in enumerate(spots[k % 6] for k in range(90))]
+    pts += [(90, 90.0, 5.0), (91, -90.0, 0.0), (92, 75.0, 10.0), (93, 75.0, 10.645), (94, 0.0, 180.0), (95, 0.0, -179.98)]
+    df = spark.createDataFrame(pts, "id int, lat double, lon double")
+    for km in (20.0, 400.0, 12000.0):
+        got = sorted((r.id, r.r_id) for r in spatial.within_km(df, df, km).collect())
+        assert got == sorted((p[0], q[0]) for p in pts for q in pts if globe_km(p, q) <= km)
+    right = [p for p in pts if p[0] % 3 == 0 and p[0] < 60 and p[1] > 60]
+    other = spark.createDataFrame(right, "other int, lat double, lon double")
+    near = {r.id: (r.nearest_other, r.nearest_km) for r in spatial.nearest(df, other, "id", "other").collect()}
+    limited = {r.id: r.nearest_other for r in spatial.nearest(df, other, "id", "other", 500.0).collect()}
+    for p in pts:
+        best = min(globe_km(p, q) for q in right)
+        assert math.isclose(near[p[0]][1], best, rel_tol=1e-6, abs_tol=1e-6) and (limited[p[0]] is not None) == (best <= 500)
+    assert {r.nearest_other for r in spatial.nearest(df, other.limit(0), "id", "other").collect()} == {None}
+
+
+def test_neighbours_against_brute_force(spark):
+    rng = np.random.default_rng(9)
+    pts = [(i, float(a), float(b)) for i, (a, b) in enumerate(rng.normal(size=(60, 2)) ** 3)] + [(99, 60.0, 100.0)]
+    got = {}
+    for r in spatial.neighbours(spark.createDataFrame(pts, "id int, lat double, lon double"), "id", 5).collect():
+        got.setdefault(r.id, []).append((r.place, r.r_id))
+    for p in pts:
+        want = sorted((q for q in pts if q[0] != p[0]), key=lambda q: ((q[1] - p[1]) ** 2 + (q[2] - p[2]) ** 2, q[0]))[:5]
+        assert [x for _, x in sorted(got[p[0]])] == [q[0] for q in want]
+
+
+def test_a_long_chain_is_one_parent(spark):
+    rows = [(i * 37 % 120, 0, 33.0 + i * 0.02, -118.0) for i in range(120)]
+    df = spark.createDataFrame(rows, "id int, g int, lat double, lon double")
+    assert {r.parent for r in spatial.parent_groups(df, "id", "g", 3.0).collect()} == {0}
 
 
 def test_parent_groups_are_connected(spark):
@@ -301,7 +346,7 @@ def test_entry_point_without_the_optional_package(monkeypatch):
 
 def test_nearest_series_answers_every_place(spark):
     d = "/root/testdata/sf0.001"
-    got = catalog.QUERIES["j07_nearest_series_whole"](spark, d).groupBy("site").agg(F.count(F.lit(1)).alias("n"), F.sum("rain").alias("rain")).collect()
+    got = catalog.QUERIES["j07_nearest_series"](spark, d).groupBy("site").agg(F.count(F.lit(1)).alias("n"), F.sum("rain").alias("rain")).collect()
     stations, sums = registry.places(spark, d).collect(), {r.site: (r.n, r.rain) for r in registry.shipments(spark, d).groupBy("site").agg(F.count(F.lit(1)).alias("n"), F.sum("rain").alias("rain")).collect()}
 
     def km(a, b):
@@ -353,7 +398,159 @@ def test_ensemble_is_registered_with_all_draws_and_trees(spark, monkeypatch):
     assert seen == {"draws": 12, "trees": 250}
 
 
-@pytest.mark.parametrize("name", ["j29_metadata_chain_whole", "j05_inner_whole"])
+@pytest.mark.parametrize("name", ["j29_metadata_chain", "j05_inner"])
 def test_joins_keep_every_row(spark, name):
     d = "/root/testdata/sf0.001"
     assert catalog.QUERIES[name](spark, d).count() == registry.table(spark, d, "lineitem").count()
+
+
+def newton(x, y, offset=None, ridge=1e-4):
+    """A plain logistic fit; the intercept is last and has no ridge."""
+    x = np.column_stack([x, np.ones(len(x))])
+    w, penalty = np.zeros(x.shape[1]), np.array([ridge] * (x.shape[1] - 1) + [0.0])
+    for _ in range(60):
+        p = 1 / (1 + np.exp(-(x @ w + (0 if offset is None else offset))))
+        w = w - np.linalg.solve((x.T * (p * (1 - p))) @ x + np.diag(penalty), x.T @ (p - y) + penalty * w)
+    return w
+
+
+def fit_rows(n=400, seed=2):
+    rng = np.random.default_rng(seed)
+    a, b = rng.integers(0, 9, n) / 4, rng.integers(0, 5, n) / 2
+    y = (rng.random(n) < 1 / (1 + np.exp(-(a - b)))).astype(int)
+    return [(i, f"g{i % 3}", float(a[i]), float(b[i]), int(y[i]), date(2019, 1, 1) + timedelta(days=int(rng.integers(0, 2400)))) for i in range(n)]
+
+
+FIT_SCHEMA = "id int, g string, a double, b double, y int, day date"
+
+
+def test_group_fits_against_plain_newton(spark):
+    rows = fit_rows()
+    df = spark.createDataFrame([*rows, (999, "one class", 0.5, 0.5, 1, date(2020, 1, 1))], FIT_SCHEMA).withColumn("o", F.col("a") / 3)
+    got = fits.group_logits(fits.counted(df, ["g"], ["a", "b"], "y", "o"), "g", ["a", "b"], "o")
+    assert set(got) == {"g0", "g1", "g2"}
+    for g, w in got.items():
+        own = np.array([r[2:5] for r in rows if r[1] == g])
+        assert np.allclose(w, newton(own[:, :2], own[:, 2], own[:, 0] / 3), atol=1e-6)
+
+
+def test_folds_and_months_are_fitted_on_other_rows(spark):
+    rows = fit_rows()
+    df = spark.createDataFrame(rows, FIT_SCHEMA)
+    x, y = np.array([r[2:4] for r in rows]), np.array([r[4] for r in rows])
+    held = {r.id: r.p for r in fits.held_out_fits(df, "g", ["a", "b"], "y").collect()}
+    for g in ("g0", "g1", "g2"):
+        w = newton(x[[r[1] != g for r in rows]], y[[r[1] != g for r in rows]])
+        for r in rows:
+            if r[1] == g:
+                assert math.isclose(held[r[0]], 1 / (1 + math.exp(-(r[2] * w[0] + r[3] * w[1] + w[2]))), rel_tol=1e-5)
+    got = {r.id: (r.month, r.p) for r in fits.walk_forward_fits(df, "day", ["a", "b"], "y", years=4).collect()}
+    seen = 0
+    for r in rows[::17]:
+        month = r[5].replace(day=1)
+        start = month.replace(year=month.year - 4)
+        train = np.array([start <= q[5].replace(day=1) < month for q in rows])
+        assert got[r[0]][0] == month
+        if len(set(y[train])) < 2:
+            assert got[r[0]][1] is None
+        elif train.sum() > 60:
+            w = newton(x[train], y[train])
+            seen += 1
+            assert math.isclose(got[r[0]][1], 1 / (1 + math.exp(-(r[2] * w[0] + r[3] * w[1] + w[2]))), rel_tol=1e-4)
+    assert seen > 5
+
+
+def test_level_calibration_against_plain_loops(spark):
+    rng = np.random.default_rng(7)
+    n = 900
+    county, site = rng.integers(0, 4, n), rng.integers(0, 30, n)
+    station, p = rng.integers(0, 12, n), np.round(rng.random(n) * 0.9 + 0.05, 2)
+    y = (rng.random(n) < np.clip(p + (county - 1.5) * 0.1, 0.02, 0.98)).astype(int)
+    county[:10] = 9  # too few rows for a fit of its own
+    rows = [(i, f"c{county[i]}" if i % 50 else None, f"s{site[i]}", f"t{station[i]}", float(p[i]), int(y[i])) for i in range(n)]
+    df = spark.createDataFrame(rows, "id int, county string, site string, station string, p double, y int")
+    got = {r.id: r for r in fits.LevelCalibrator().fit(df, "p", "y").transform(df).collect()}
+    lg, ex = lambda v: np.log(v / (1 - v)), lambda v: 1 / (1 + np.exp(-v))
+    names, z = np.array([r[1] or "" for r in rows]), lg(p)
+    b, a = newton(z[:, None], y, ridge=1.0)
+    whole, zz, counts = (a, b), a + b * z, np.zeros((3, n))
+    for c in set(names) - {""}:
+        own = names == c
+        if own.sum() >= 24:
+            slope, start = newton(z[own][:, None], y[own], ridge=1.0)
+            w = own.sum() / (own.sum() + 64)
+            zz[own] = whole[0] * (1 - w) + start * w + (whole[1] * (1 - w) + slope * w) * z[own]
+            counts[0, own] = own.sum()
+    base, out = zz.copy(), zz.copy()
+    for level, (values, least) in enumerate(((site, 8), (station, 16)), 1):
+        for v in set(values):
+            own = values == v
+            if own.sum() >= least:
+                out[own] += (lg((y[own].sum() + 0.5) / (own.sum() + 1)) - lg(ex(base[own]).mean())) * own.sum() / (own.sum() + 24)
+                counts[level, own] = own.sum()
+    half = 1.64 * np.sqrt(max(0.01, np.var(y - ex(out))) + (1 / (counts + 1)).sum(0))
+    for i in range(n):
+        assert np.allclose([got[i].calibrated, got[i].low, got[i].high], [ex(out[i]), ex(out[i] - half[i]), ex(out[i] + half[i])], atol=1e-5)
+
+
+def test_two_tier_offsets_and_draws(spark):
+    rows = fit_rows(600, 4)
+    df = spark.createDataFrame(rows, FIT_SCHEMA)
+    got = {r.id: r for r in fits.two_tier(df, "g", ["a", "b"], "y", {"a": F.lit(0.0)}, draws=1, ratio=1e9, tie="id").collect()}
+    y = np.array([r[4] for r in rows])
+    g = {k: np.array([r[1] == k for r in rows]) for k in ("g0", "g1", "g2")}
+    rate = {k: (y[m].sum() + 4 * y.mean()) / (m.sum() + 4) for k, m in g.items()}
+    margin = np.array([math.log(rate[r[1]] / (1 - rate[r[1]])) for r in rows])
+    x = np.array([r[2:4] for r in rows])
+    w = newton(np.concatenate([x, x * [0, 1]]), np.concatenate([y, y]), np.concatenate([margin, margin]))
+    for i, r in enumerate(rows):  # one draw of all rows: both copies fitted around the level
+        assert math.isclose(got[i].margin, margin[i], rel_tol=1e-9)
+        assert math.isclose(got[i].p, 1 / (1 + math.exp(-(margin[i] + x[i] @ w[:2] + w[2]))), rel_tol=1e-5)
+    few = fits.two_tier(df, "g", ["a", "b"], "y", {"a": F.lit(0.0)}, tie="id")
+    assert few.where("p <= 0 or p >= 1 or p is null").count() == 0
+
+
+def test_station_residuals_are_boosted_within_bounds(spark):
+    rng = np.random.default_rng(6)
+    rows = []
+    for i in range(400):
+        x, s = float(rng.integers(0, 10)), "few" if i < 20 else "flat" if i < 80 else f"s{i % 2}"
+        rows.append((i, s, x if i % 40 else None, 0.3, 0 if s == "flat" else int(rng.random() < (0.8 if x > 5 else 0.1))))
+    df = spark.createDataFrame(rows, "id int, s string, x double, p double, y int").withColumn("p", F.when(F.col("s") == "flat", 0.0).otherwise(F.col("p")))
+    got = {r.id: r for r in fits.station_residuals(df, "s", "p", "y", ["x"]).collect()}
+    assert all(got[i].corrected == got[i].p and got[i].residual == 0 for i in range(80))
+    assert all(abs(r.residual) <= 0.3 and (r.id < 80 or 0.001 <= r.corrected <= 0.999) for r in got.values())
+    before = np.mean([(r[4] - 0.3) ** 2 for r in rows[80:]])
+    assert np.mean([(r[4] - got[r[0]].corrected) ** 2 for r in rows[80:]]) < before * 0.85
+    # cells with counts give the same trees as the rows themselves
+    bins = rng.integers(0, 6, (200, 2))
+    target = rng.normal(size=200)
+    cells, place = np.unique(bins, axis=0, return_inverse=True)
+    n = np.bincount(place.ravel())
+    mean = np.bincount(place.ravel(), target) / n
+    assert np.allclose(fits.boosted(bins, target, np.ones(200)), fits.boosted(cells, mean, n.astype(float))[place.ravel()])
+
+
+def test_snapshot_is_published_whole(spark, tmp_path):
+    root = f"file://{tmp_path}/snap"
+    df = spark.createDataFrame([(2, float("nan")), (1, 1.5)], "k int, v double")
+    for _ in range(2):
+        sinks.write_snapshot({"a": (df, "k"), "b": (df.where("k = 1"), "k")}, root, {"n": 2, "bad": float("inf")})
+    assert [r.v for r in spark.read.parquet(f"{root}/a").orderBy("k").collect()] == [1.5, None]
+    assert {r.key: r.payload for r in spark.read.parquet(f"{root}/system_health").collect()} == {"n": "2", "bad": "null"}
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["snap"]
+
+
+def test_datastore_needs_a_shared_folder_on_a_cluster(spark, monkeypatch):
+    class Conf:
+        def get(self, *_):
+            return None
+
+    class Away:
+        conf = Conf()
+
+        class sparkContext:  # noqa: N801
+            master = "spark://host:7077"
+
+    with pytest.raises(ValueError, match="share"):
+        registry.shared_path(Away(), "x")
