@@ -92,25 +92,32 @@ def collapse_physical(df: DataFrame, keys: list[str], time: str, value: str, sou
 
     Two rows of different sources are one sample if their values agree and they lie within
     ``minutes`` of the unit's first row; each unit holds a source at most once. Units form
-    greedily in order of time, value and tie. Keys with one row never enter Python.
+    greedily in order of time and tie. Only rows of one value without a gap of more than ``minutes``
+    can be a unit, so these small clusters are what a task holds; those of one row or one source
+    never enter Python. Rows without a value are units of their own.
     """
-    counted = group_size(df, keys, "_n")
-    alone = counted.where("_n = 1").drop("_n")
-    schema = df.schema
+    w = Window.partitionBy(*keys, value).orderBy(time, tie)
+    gap = F.unix_micros(F.col(time).cast("timestamp")) - F.unix_micros(F.lag(time).over(w).cast("timestamp"))
+    marked = df.withColumn("_new", F.when(gap <= minutes * 60_000_000, 0).otherwise(1)).withColumn("_cluster", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    own = Window.partitionBy(*keys, value, "_cluster")
+    marked = marked.withColumn("_mixed", F.col(value).isNotNull() & (F.min(source).over(own) != F.max(source).over(own)))
+    alone = marked.where("not coalesce(_mixed, false)").drop("_new", "_cluster", "_mixed")
+    within, columns = pd.Timedelta(minutes=minutes), df.columns
 
     def collapse(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values([time, value, tie], kind="stable").reset_index(drop=True)
-        units: list[tuple] = []  # first time, value, sources, row kept
+        rows = rows.sort_values([time, tie], kind="stable").reset_index(drop=True)
+        units: list[tuple] = []  # first time, sources; only those that a later row can still join
         kept = []
-        for i, (t, v, s) in enumerate(zip(rows[time], rows[value], rows[source], strict=True)):
+        for i, (t, s) in enumerate(zip(rows[time], rows[source], strict=True)):
+            units = [u for u in units if t - u[0] <= within]
             for unit in units:
-                if unit[1] == v and s not in unit[2] and t - unit[0] <= pd.Timedelta(minutes=minutes):
-                    unit[2].add(s)
+                if s not in unit[1]:
+                    unit[1].add(s)
                     break
             else:
-                units.append((t, v, {s}))
+                units.append((t, {s}))
                 kept.append(i)
-        return rows.loc[kept]
+        return rows.loc[kept, columns]
 
-    many = counted.where("_n > 1").drop("_n").groupBy(*keys).applyInPandas(collapse, schema)
+    many = marked.where("_mixed").drop("_new", "_mixed").groupBy(*keys, value, "_cluster").applyInPandas(collapse, df.schema)
     return alone.unionByName(many)

@@ -64,8 +64,15 @@ def likeness(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([token_set_ratio(list(x), list(y)) for x, y in zip(a, b, strict=True)])
 
 
-#: Names of one group that a name is compared with at most; the catalogue is a bounded table.
-CATALOGUE = 20_000
+def _can_be_like(a: Column, b: Column, least: float) -> Column:
+    """Whether the likeness of two token arrays can reach ``least``: edits are no more than the characters apart."""
+    shared, left, right = (F.array_join(F.array_sort(x), " ") for x in (F.array_intersect(a, b), F.array_except(a, b), F.array_except(b, a)))
+    one, two = F.trim(F.concat_ws(" ", shared, left)), F.trim(F.concat_ws(" ", shared, right))
+
+    def near(x: Column, y: Column) -> Column:
+        return F.levenshtein(x, y) <= (1 - least / 100) * (F.length(x) + F.length(y)) + 1e-9
+
+    return (left == "") | (right == "") | near(one, two) | ((shared != "") & (near(shared, one) | near(shared, two)))
 
 
 def resolve(names: DataFrame, catalogue: DataFrame, aliases: DataFrame, least: float = 90.0, margin: float = 20.0) -> DataFrame:
@@ -73,7 +80,8 @@ def resolve(names: DataFrame, catalogue: DataFrame, aliases: DataFrame, least: f
 
     Layers: the exact normalised label, an alias, a label whose tokens open the name (the
     longest), then the best likeness of at least ``least`` that leads the next by ``margin``.
-    Labels and names meet on a shared token, never all against all.
+    Equal names are resolved once. Labels and names meet on a shared token, never all against all, and pairs
+    whose edit distance rules out a likeness that could matter go before any is scored in Python.
     """
     key: Column = F.array_join(tokens(F.col("name")), " ")
     left = names.withColumns({"_key": key, "_tok": tokens(F.col("name"))})
@@ -85,9 +93,13 @@ def resolve(names: DataFrame, catalogue: DataFrame, aliases: DataFrame, least: f
     opened = opened.where(F.slice("_tok", F.lit(1), F.size("_ltok")) == F.col("_ltok"))
     longest = opened.groupBy("name_id").agg(F.max_by("target", F.struct(F.size("_ltok"), -F.xxhash64("target"))).alias("target"))
     done = exact.select("name_id").union(other.select("name_id")).union(longest.select("name_id")).distinct()
-    open_ = left.join(done, "name_id", "left_anti").withColumn("_t", F.explode(F.array_distinct("_tok")))
-    met = open_.join(labels.select("target", "_ltok", F.explode(F.array_distinct("_ltok")).alias("_t")), "_t").select("name_id", "_tok", "target", "_ltok").distinct()
-    w = Window.partitionBy("name_id").orderBy(F.desc("s"), "target")
+    open_ = left.join(done, "name_id", "left_anti")
+    distinct = open_.select("_key", "_tok").distinct()
+    met = distinct.withColumn("_t", F.explode(F.array_distinct("_tok"))).join(labels.select("target", "_ltok", F.explode(F.array_distinct("_ltok")).alias("_t")), "_t").select("_key", "_tok", "target", "_ltok")
+    # a likeness below ``least - margin`` neither wins nor takes the lead from a winner
+    met = met.where(_can_be_like(F.col("_tok"), F.col("_ltok"), least - margin)).distinct()
+    w = Window.partitionBy("_key").orderBy(F.desc("s"), "target")
     scored = met.withColumn("s", likeness("_tok", "_ltok")).withColumns({"_r": F.row_number().over(w), "_next": F.lead("s").over(w)})
-    fuzzy = scored.where((F.col("_r") == 1) & (F.col("s") >= least) & (F.col("s") - F.coalesce("_next", F.lit(0.0)) >= margin))
+    best = scored.where((F.col("_r") == 1) & (F.col("s") >= least) & (F.col("s") - F.coalesce("_next", F.lit(0.0)) >= margin))
+    fuzzy = open_.select("name_id", "_key").join(best.select("_key", "target"), "_key")
     return cascade(names, "name_id", [exact, other, longest, fuzzy], "target")

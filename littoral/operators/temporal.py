@@ -6,6 +6,8 @@ of the same day never see each other.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -64,28 +66,19 @@ def regulatory_geomean(df: DataFrame, keys: list[str], day: str, column: str, fl
 def wetness_index(df: DataFrame, keys: list[str], day: str, column: str, alpha: float = 0.2) -> DataFrame:
     """Exponentially weighted mean of the values before the row, the first taken as 0.
 
-    With weights (1 - a)^k the recursion is a scaled running sum, but the scale overflows on
-    long series; a fold over the prior values is exact. It is quadratic in a key's rows.
+    With weights (1 - a)^k the recursion is a scaled running sum. So that the scale cannot overflow, a
+    key's rows are cut into blocks after which a weight has fallen to 1e-20: what a block's end passes
+    on counts in the next block and, in double precision, no further. Linear in the rows.
     """
-    past = F.collect_list(F.coalesce(F.col(column), F.lit(0.0))).over(prior_rows(keys, day))
-    return df.withColumn("wetness", F.aggregate(past, F.lit(0.0), lambda acc, x: acc * (1 - alpha) + x * alpha))
-
-
-def wetness_scan(df: DataFrame, keys: list[str], day: str, column: str, alpha: float = 0.2) -> DataFrame:
-    """W8 for long histories: one pass per key in Arrow batches."""
-    import pandas as pd
-
-    def scan(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(day, kind="stable")
-        now, out = 0.0, []
-        for x in rows[column].fillna(0.0):
-            out.append(now)
-            now = now * (1 - alpha) + x * alpha
-        return rows.assign(wetness=out)
-
-    from pyspark.sql import types as T
-
-    return df.groupBy(*keys).applyInPandas(scan, T.StructType([*df.schema.fields, T.StructField("wetness", T.DoubleType())]))
+    keep = 1 - alpha
+    block = max(1, math.ceil(-46 / math.log(keep)))
+    order = Window.partitionBy(*keys).orderBy(day)
+    out = df.withColumn("_i", F.row_number().over(order) - 1).withColumn("_b", F.floor(F.col("_i") / block)).withColumn("_p", F.col("_i") % block)
+    x, power = F.coalesce(F.col(column).cast("double"), F.lit(0.0)) * alpha, lambda e: F.pow(F.lit(keep), e)
+    inside = Window.partitionBy(*keys, "_b").orderBy("_i").rowsBetween(Window.unboundedPreceding, -1)
+    passed = F.sum(x * power(block - 1 - F.col("_p"))).over(Window.partitionBy(*keys).orderBy("_b").rangeBetween(-1, -1))
+    own = F.sum(x * power(-F.col("_p"))).over(inside) * power(F.col("_p") - 1)
+    return out.withColumn("wetness", F.coalesce(own, F.lit(0.0)) + F.coalesce(passed, F.lit(0.0)) * power(F.col("_p"))).drop("_i", "_b", "_p")
 
 
 def first_flush(df: DataFrame, keys: list[str], day: str, column: str, amount: float = 12.7) -> DataFrame:
@@ -179,14 +172,12 @@ def window_to_cutoff(readings: DataFrame, key: str, time: str, value: str, cutof
     """
     longest = max(hours)
     span = -(-longest // 24) + 1
-    at = F.to_date(time)
     named = readings.select(key, F.col(time).alias("_t"), F.col(value).alias("_v"), F.explode(F.sequence(F.lit(0), F.lit(span))).alias("_k")).withColumn("day", F.date_add(F.to_date("_t"), F.col("_k")))
     joined = named.join(cutoffs, "day").where((F.col("_t") < F.col(cutoff)) & (F.col("_t") >= F.col(cutoff) - F.expr(f"INTERVAL {longest} HOURS")))
     aggs = []
     for h in hours:
         inside = F.when(F.col("_t") >= F.col(cutoff) - F.expr(f"INTERVAL {h} HOURS"), F.col("_v"))
         aggs += [F.coalesce(F.sum(inside), F.lit(0.0)).alias(f"sum_{h}h"), F.avg(inside).alias(f"mean_{h}h"), F.max(inside).alias(f"max_{h}h")]
-    del at
     return joined.groupBy(key, "day").agg(F.max_by("_v", "_t").alias("latest"), F.count("_v").alias("readings"), *aggs)
 
 

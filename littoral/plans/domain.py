@@ -538,16 +538,17 @@ def k08(spark, d):
 # --- plug-ins
 
 
-@query("x02_feature_builders", f"WITH {SD} SELECT site, COUNT(*) AS samples, COUNT(*) FILTER (exceeds) AS bad, 0 AS broken FROM sd GROUP BY 1")
+@query("x02_feature_builders", f"WITH {SD} SELECT site, COUNT(*) AS samples, COUNT(*) FILTER (exceeds) AS bad, 0 AS broken, 0 AS failing FROM sd GROUP BY 1")
 def x02(spark, d):
     """Registered builders add a column each; one that fails gives zeros."""
     sd = site_day(spark, d)
-    builders = {"samples": lambda x: x.groupBy("site").agg(F.count(F.lit(1)).alias("samples")), "bad": lambda x: x.where("exceeds").groupBy("site").agg(F.count(F.lit(1)).alias("bad")), "broken": lambda x: x.select("no_such_column")}
+    builders = {"samples": lambda x: x.groupBy("site").agg(F.count(F.lit(1)).alias("samples")), "bad": lambda x: x.where("exceeds").groupBy("site").agg(F.count(F.lit(1)).alias("bad")), "broken": lambda x: x.select("no_such_column"), "failing": lambda x: x.select("site", F.raise_error(F.lit("at run time")).cast("int").alias("failing"))}
 
     def add(base, item):
         name, build = item
         try:
-            extra = build(sd)
+            # computed here, so that a builder that fails at run time stops itself only
+            extra = build(sd).checkpoint()
             return base.join(extra, "site", "left").withColumn(name, F.coalesce(name, F.lit(0)))
         except Exception:  # a plug-in must not stop the run
             return base.withColumn(name, F.lit(0))

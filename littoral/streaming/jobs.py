@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.types import LongType, StructField, StructType
 
 
 def parquet_stream(spark: SparkSession, path: str, schema, files: int = 1) -> DataFrame:
@@ -54,19 +56,44 @@ def last_value(stream: DataFrame, key: str, time: str, value: str) -> DataFrame:
     return stream.select(key, F.col(time).cast("timestamp_ntz").alias(time), value).groupBy(key).applyInPandasWithState(update, f"{key} {kind}, at timestamp_ntz, last double", "t long, v double", "update", GroupStateTimeout.NoTimeout)
 
 
-def append_once(stream: DataFrame, path: str, keys: list[str], checkpoint: str):
-    """Each batch is written under its number, so a batch that is run again replaces itself."""
+def append_once(stream: DataFrame, path: str, keys: list[str], checkpoint: str, order: str | None = None):
+    """Each batch is written under its number, so a batch that is run again replaces itself.
+
+    Of a batch the last row of each key is written, unless the log has that very row already; a later row of
+    a key is appended, and ``read_once`` takes the last.
+    """
 
     def write(batch: DataFrame, number: int) -> None:
-        batch.dropDuplicates(keys).write.mode("overwrite").parquet(f"{path}/batch={number}")
+        spark = batch.sparkSession
+        last = Window.partitionBy(*keys).orderBy(F.desc(order) if order else F.lit(0))
+        rows = batch.withColumn("_r", F.row_number().over(last)).where("_r = 1").drop("_r")
+        hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+        if number and hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop):
+            log = spark.read.schema(StructType([*batch.schema.fields, StructField("batch", LongType())])).parquet(path).where(F.col("batch") < number)
+            log = log.withColumn("_r", F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc("batch")))).where("_r = 1").drop("_r")
+            same = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in batch.columns]
+            rows = rows.alias("a").join(log.alias("b"), reduce(lambda x, y: x & y, same), "left_anti")
+        rows.write.mode("overwrite").parquet(f"{path}/batch={number}")
 
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
 
 
-def run_to_table(stream: DataFrame, name: str, mode: str = "append", checkpoint: str | None = None) -> DataFrame:
-    """Process all that is there into a memory table; for checks against the batch form."""
-    writer = stream.writeStream.format("memory").queryName(name).outputMode(mode).trigger(availableNow=True)
+def read_once(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
+    """The last row of each key."""
+    last = Window.partitionBy(*keys).orderBy(F.desc("batch"))
+    return spark.read.parquet(path).withColumn("_r", F.row_number().over(last)).where("_r = 1").drop("_r", "batch")
+
+
+def run_to_table(stream: DataFrame, path: str, mode: str = "append", checkpoint: str | None = None) -> DataFrame:
+    """Process all that is there, batch by batch, into files: each batch under its number, or the whole result anew in
+    ``complete`` mode. For checks against the batch form."""
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(path if mode == "complete" else f"{path}/batch={number}")
+
+    writer = stream.writeStream.foreachBatch(write).outputMode(mode).trigger(availableNow=True)
     if checkpoint:
         writer = writer.option("checkpointLocation", checkpoint)
     writer.start().awaitTermination()
-    return stream.sparkSession.table(name)
+    out = stream.sparkSession.read.parquet(path)
+    return out if mode == "complete" else out.drop("batch")

@@ -10,6 +10,7 @@ from littoral.functions import core
 from littoral.operators import dedupe, entity, fits, gates, metrics, models, rates, serving, spatial, temporal
 from littoral.plans import catalog, registry
 from littoral.sources import datastore, readers
+from littoral.streaming import jobs as streams
 from pyspark.sql import functions as F
 
 
@@ -78,12 +79,15 @@ def test_history_is_strictly_prior(spark):
     assert [r.d for r in tensor] == [d + timedelta(9)] and len(tensor[0].history) == 30 and tensor[0].history[-7] == [2.0] and tensor[0].history[-1] == [0.0]
 
 
-def test_wetness_fold_equals_scan(spark):
-    d = date(2026, 1, 1)
-    df = spark.createDataFrame([(k, d + timedelta(n), float((n * 7 + k) % 5)) for k in range(3) for n in range(40)], "s int, d date, v double")
-    a = {(r.s, r.d): r.wetness for r in temporal.wetness_index(df, ["s"], "d", "v").collect()}
-    b = {(r.s, r.d): r.wetness for r in temporal.wetness_scan(df, ["s"], "d", "v").collect()}
-    assert a.keys() == b.keys() and all(math.isclose(a[k], b[k], abs_tol=1e-12) for k in a)
+def test_wetness_against_a_loop(spark):
+    rng = np.random.default_rng(1)
+    data = [(k, i, None if rng.random() < 0.1 else float(rng.integers(0, 40))) for k, n in (("a", 700), ("b", 3), ("c", 1)) for i in range(n)]
+    for alpha in (0.2, 0.02, 0.9):
+        got = {(r.s, r.d): r.wetness for r in temporal.wetness_index(spark.createDataFrame(data, "s string, d int, v double"), ["s"], "d", "v", alpha).collect()}
+        now = {}
+        for s, d, v in data:
+            assert math.isclose(got[s, d], now.get(s, 0.0), rel_tol=1e-12, abs_tol=1e-15)
+            now[s] = now.get(s, 0.0) * (1 - alpha) + (v or 0.0) * alpha
 
 
 def test_golden_rates(spark):
@@ -554,3 +558,55 @@ def test_datastore_needs_a_shared_folder_on_a_cluster(spark, monkeypatch):
 
     with pytest.raises(ValueError, match="share"):
         registry.shared_path(Away(), "x")
+
+
+def test_collapse_physical_against_the_whole_greedy_rule(spark):
+    rng = np.random.default_rng(12)
+    start = datetime(2026, 1, 1)
+    rows = [(f"k{rng.integers(2)}", start + timedelta(minutes=int(rng.integers(0, 900))), float(rng.integers(3)) if rng.random() < 0.95 else None, f"s{rng.integers(3)}", i) for i in range(300)]
+    want = []
+    for k in ("k0", "k1"):
+        units = []
+        for r in sorted((r for r in rows if r[0] == k), key=lambda r: (r[1], r[4])):
+            for u in units:
+                if r[2] is not None and u[1] == r[2] and r[3] not in u[2] and r[1] - u[0] <= timedelta(minutes=30):
+                    u[2].add(r[3])
+                    break
+            else:
+                units.append((r[1], r[2], {r[3]}))
+                want.append(r[4])
+    out = dedupe.collapse_physical(spark.createDataFrame(rows, "k string, t timestamp, v double, s string, id int"), ["k"], "t", "v", "s", "id")
+    assert sorted(r.id for r in out.collect()) == sorted(want)
+
+
+def test_a_key_of_two_batches_is_in_the_log_once(spark, tmp_path):
+    source, path = tmp_path / "in", f"file://{tmp_path}/log"
+    schema = "k int, v string, at int"
+    for rows in ([(1, "a", 1), (1, "b", 2), (2, "x", 1)], [(1, "b", 2), (2, "y", 3), (3, "z", 1)], []):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"file://{source}")
+        stream = streams.parquet_stream(spark, f"file://{source}", schema)
+        streams.append_once(stream, path, ["k"], f"file://{tmp_path}/offsets", "at").trigger(availableNow=True).start().awaitTermination()
+    assert sorted((r.k, r.v) for r in streams.read_once(spark, path, ["k"]).collect()) == [(1, "b"), (2, "y"), (3, "z")]
+    assert sorted((r.k, r.v) for r in spark.read.parquet(path).collect()) == [(1, "b"), (2, "x"), (2, "y"), (3, "z")]
+
+
+def test_late_rows_are_dropped_behind_the_watermark(spark, tmp_path):
+    source, t = f"file://{tmp_path}/in", datetime(2026, 1, 10)
+    schema = "k int, t timestamp, v double"
+    batches = [[(1, t, 1.0)], [(1, t + timedelta(days=9), 2.0)], [(1, t, 4.0), (1, t + timedelta(days=9), 8.0)]]  # the third has a row nine days late
+    for i, rows in enumerate(batches):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(source)
+        daily = streams.daily(streams.parquet_stream(spark, source, schema), "k", "t", "v", "2 days", "0 hours")
+        streams.run_to_table(daily, f"file://{tmp_path}/out{i}", "update", f"file://{tmp_path}/offsets")
+    last = {r.until.day: r.total for r in spark.read.parquet(f"file://{tmp_path}/out2").collect()}
+    assert last == {20: 10.0}
+
+
+def test_can_be_like_never_rules_out_a_likeness(spark):
+    rng = np.random.default_rng(3)
+    words = ["beach", "cove", "point", "pointe", "north", "nort", "pier", "peer", "san", "santa"]
+    pairs = [(list(rng.choice(words, rng.integers(1, 5))), list(rng.choice(words, rng.integers(1, 5)))) for _ in range(400)]
+    pairs = [([str(x) for x in a], [str(x) for x in b]) for a, b in pairs]
+    df = spark.createDataFrame(pairs, "a array<string>, b array<string>").withColumn("can", entity._can_be_like(F.col("a"), F.col("b"), 70.0))
+    rows = df.collect()
+    assert all(r.can for r in rows if entity.token_set_ratio(r.a, r.b) >= 70) and not all(r.can for r in rows)
