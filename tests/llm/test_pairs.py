@@ -82,6 +82,8 @@ def test_embeddings_with_copies_added(spark):
 
 def test_embeddings_in_many_tiles(spark, monkeypatch):
     monkeypatch.setattr(embeddings, "TILE", 40)
+    monkeypatch.setattr(embeddings, "MOST", 40)
+    monkeypatch.setattr(embeddings, "BLOCK", 16)
     rng = np.random.default_rng(5)
     centre = rng.normal(size=(60, 24))
     rows = [(i, [float(x) for x in centre[i % 60 if i % 3 else 0] + rng.normal(size=24) * 0.18]) for i in range(900)]
