@@ -24,7 +24,7 @@ def clashing(spark):
 
 
 CASES = {
-    "plan_mix": (mixing.plan_mix, mixing.PLAN, ()), "shard": (sharding.shard_by_bytes, ("size", "shard", "slot"), ()), "secrets": (secrets.find_secrets, secrets.MADE, ()), "lm": (lm.score, ("n_words", "log_prob", "mean_log_prob"), ("text",)),
+    "plan_mix": (mixing.plan_mix, mixing.PLAN, ()), "shard": (sharding.shard_by_bytes, ("size", "shard", "slot"), ()), "secrets": (secrets.find_secrets, secrets.MADE, ()), "lm": (lm.score, ("n_words", "log_prob", "mean_log_prob", "least_count"), ("text",)),
     "near_copies": (jaccard.drop_near_copies, (), ()), "language": (language.identify, ("lang_pred", "score"), ()), "bpe": (lambda d: bpe.encode(d)[0], ("ids",), ()), "html": (lambda d: html.extract(d.withColumn("html", F.col("text"))), ("text", "n_chars"), ("html",)),
 }
 

@@ -272,45 +272,104 @@ def test_html_odd_rows(spark):
     assert html.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
-def test_lm_windows_and_scores_against_loops():
+SHAPE = lm.Shape()
+
+
+def plain_word(net, context, target):
+    """One word's log-probability by the formulas."""
+    of, members = net.of, net.shape.members
+    h = np.tanh(of["bias"] + sum(of["embed"][k][context[k]] for k in range(len(lm.REACH))))
+    g, m = target // members, target % members
+    a, b = h @ of["group"] + of["group_bias"], h @ of["member"][g] + of["member_bias"][g]
+    return a[g] - np.log(np.exp(a).sum()) + b[m] - np.log(np.exp(b).sum())
+
+
+def plain_context(own, i, outside):
+    return [own[i + k] if 0 <= i + k < len(own) else outside for k in lm.REACH]
+
+
+@pytest.mark.parametrize("shape", [SHAPE, lm.Shape(10, 7, 5, 3, 12)])
+def test_lm_windows_and_scores_against_loops(shape):
     rng = np.random.default_rng(3)
     sizes = np.array([0, 1, 5, 0, 7])
-    ids = rng.integers(0, lm.CLASSES, sizes.sum()).astype(np.int32)
-    context, at, want = lm.windows(ids, sizes), 0, []
+    ids = rng.integers(0, shape.classes, sizes.sum()).astype(np.int32)
+    context, at, want = lm.windows(ids, sizes, shape.classes), 0, []
     for n in sizes:
         own = ids[at : at + n]
         at += n
-        want += [[own[i + k] if 0 <= i + k < n else lm.CLASSES for k in lm.REACH] for i in range(n)]
+        want += [plain_context(own, i, shape.classes) for i in range(n)]
     assert context.tolist() == want
-    net = lm.Net()
-    got = net.run(context, ids)
-    for c, t, x in zip(context, ids, got, strict=True):
-        h = np.tanh(net.of["bias"] + sum(net.of["embed"][k][c[k]] for k in range(4)))
-        g, m = t // lm.MEMBERS, t % lm.MEMBERS
-        a, b = h @ net.of["group"] + net.of["group_bias"], h @ net.of["member"][g] + net.of["member_bias"][g]
-        assert np.isclose(x, a[g] - np.log(np.exp(a).sum()) + b[m] - np.log(np.exp(b).sum()), atol=1e-4)
+    net = lm.Net(shape)
+    for c, t, x in zip(context, ids, net.run(context, ids), strict=True):
+        assert np.isclose(x, plain_word(net, c, t), atol=1e-4)
 
 
 def test_lm_gradient_by_differences():
     rng = np.random.default_rng(4)
-    net = lm.Net()
-    context, target = rng.integers(0, lm.CLASSES, (6, 4)), rng.integers(0, lm.CLASSES, 6)
+    net = lm.Net(SHAPE)
+    context, target = rng.integers(0, SHAPE.classes, (6, 4)), rng.integers(0, SHAPE.classes, 6)
     before, flat = net.flat.copy(), net.flat.astype(np.float64)
     net.run(context, target, 1.0)
     grad = (before - net.flat) * np.sqrt(net.sums)
     for i in np.argsort(-np.abs(grad))[:5]:
         step = np.zeros_like(flat)
         step[i] = 1e-2
-        low, high = (-lm.Net(flat + s * step).run(context, target).mean() for s in (-1, 1))
+        low, high = (-lm.Net(SHAPE, flat + s * step).run(context, target).mean() for s in (-1, 1))
         assert np.isclose((high - low) / 2e-2, grad[i], rtol=0.05)
 
 
+@pytest.mark.parametrize("shape", [SHAPE, lm.Shape(40, 8, 6, 4, 64)])
+def test_lm_query_against_plain_loops(spark, monkeypatch, shape):
+    """Counts, classes, shares, windows and sums of every document, with the parameters that were fitted."""
+    import xxhash
+
+    nets, fit = [], lm.fit
+
+    def kept(*a):
+        nets.append(fit(*a))
+        return nets[-1]
+
+    monkeypatch.setattr(lm, "fit", kept)
+    docs = pd.read_parquet(f"{SMALL}/documents.parquet")[["doc_id", "text"]]
+    rows = lm.score(spark.createDataFrame(docs), shape).collect()
+    split = {i: [w for w in regex.split(r"[\x20\x09-\x0D]+", t.lower()) if w] for i, t in zip(docs.doc_id, docs.text, strict=True)}
+    counts = Counter(w for ws in split.values() for w in ws)
+    order = sorted(counts, key=lambda w: (-counts[w], w))
+    own = {w: i for i, w in enumerate(order[: shape.known])}
+
+    def hashed(w):
+        seed = xxhash.xxh64_intdigest(w.encode(), 42)  # Spark hashes column by column
+        number = xxhash.xxh64_intdigest((1).to_bytes(4, "little"), seed)
+        number -= (number >> 63) << 64
+        return shape.known + number % shape.hashed
+
+    of = {w: own.get(w, hashed(w)) for w in counts}
+    totals = Counter()
+    for w, n in counts.items():
+        totals[of[w]] += n
+    for r in rows:
+        ws = split[r.doc_id]
+        ids = [of[w] for w in ws]
+        want = sum(plain_word(nets[0], plain_context(ids, i, shape.classes), ids[i]) + np.log(counts[w] / totals[of[w]]) for i, w in enumerate(ws))
+        assert r.n_words == len(ws) and np.isclose(r.log_prob, want, rtol=1e-4, atol=0.02)
+        assert r.least_count == (min(counts[w] for w in ws) if ws else None)
+
+
+def test_lm_parameters_are_averaged_by_words(spark, monkeypatch):
+    """The sum over a tree of tasks is the sum of all vectors."""
+    rng = np.random.default_rng(1)
+    vectors = rng.integers(-(1 << 40), 1 << 40, (23, 9))
+    frame = spark.createDataFrame([(v.tolist(),) for v in vectors], "sums array<long>").repartition(7)
+    monkeypatch.setattr(lm, "FAN", 3)
+    assert lm._added(frame, 23).first().sums == vectors.sum(0).tolist()
+
+
 def test_lm_tells_order_and_odd_rows(spark):
     rows = lm.op4_lm(spark, MORE).toPandas()
     docs = pd.read_parquet(f"{MORE}/documents.parquet")
     assert sorted(rows.doc_id) == sorted(docs.doc_id) and (rows.log_prob <= 0).all()
     counts = Counter(w for t in docs.text for w in t.lower().split())
-    total, known = sum(counts.values()), sorted(counts.values(), reverse=True)[: lm.KNOWN]
+    total, known = sum(counts.values()), sorted(counts.values(), reverse=True)[: SHAPE.known]
     rest = total - sum(known)
     unigram = sum(n * np.log(n / total) for n in known) + rest * np.log(rest / total / (len(counts) - len(known)))
     assert rows.log_prob.sum() > unigram  # better than word frequencies alone
@@ -324,7 +383,7 @@ def test_lm_tells_order_and_odd_rows(spark):
 
 def test_lm_shared_words_score_by_their_counts(spark):
     """Of words outside the known ones, one that stands 50 times scores higher than one that stands once."""
-    known, often, once = ([f"{k}{i}" for i in range(n)] for k, n in (("known", lm.KNOWN), ("often", 300), ("once", 300)))
+    known, often, once = ([f"{k}{i}" for i in range(n)] for k, n in (("known", SHAPE.known), ("often", 300), ("once", 300)))
     rows = [" ".join(known)] * 100 + [" ".join(often)] * 49 + often + once
     scored = lm.score(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")).toPandas().set_index("doc_id").log_prob.sort_index()
     gap = scored[149:449].mean() - scored[449:].mean()
@@ -338,9 +397,8 @@ def test_lm_scores_beat_a_unigram_with_true_counts(spark):
     assert lm.op4_lm(spark, MORE).toPandas().log_prob.sum() > sum(n * np.log(n / total) for n in counts.values())
 
 
-def test_lm_joined_shares_equal_cached_ones(spark, monkeypatch):
+def test_lm_joined_shares_equal_cached_ones(spark):
     frame = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text")
-    cached = lm.score(frame).toPandas().set_index("doc_id").log_prob.sort_index()
-    monkeypatch.setattr(lm, "CACHED", 1024)
-    joined = lm.score(frame).toPandas().set_index("doc_id").log_prob.sort_index()
-    assert np.allclose(cached, joined, rtol=0.01)
+    cached = lm.score(frame).toPandas().set_index("doc_id").sort_index()
+    joined = lm.score(frame, SHAPE._replace(cached=1024)).toPandas().set_index("doc_id").sort_index()
+    assert np.allclose(cached.log_prob, joined.log_prob, rtol=0.01) and cached.least_count.equals(joined.least_count)
