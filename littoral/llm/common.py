@@ -100,6 +100,14 @@ def join_spread(rows: DataFrame, table: DataFrame, key: str, scratch: Scratch) -
     return rows.join(F.broadcast(of_hot), key).unionByName(rows.join(F.broadcast(hot), key, "left_anti").join(table, key))
 
 
+def join_counts(rows: DataFrame, counts: DataFrame, key: str) -> DataFrame:
+    """Inner join with (key, n), which counts the rows of a key: hot keys by broadcast, so their rows stay where they are."""
+    hot = counts.where(F.col("n") > HOT_ROWS)
+    if hot.isEmpty():
+        return rows.join(counts, key)
+    return rows.join(F.broadcast(hot), key).unionByName(rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(counts.where(F.col("n") <= HOT_ROWS), key))
+
+
 def let(value: Column, use: Callable[[Column], Column]) -> Column:
     """``use(value)`` with ``value`` computed once, inside interpreted expressions too."""
     return F.element_at(F.transform(F.array(value), use), 1)

@@ -1,8 +1,9 @@
 """Connected components by alternating large and small stars, as joins and aggregations.
 
 Every round sends each node's larger neighbours to its least one. Least neighbours are found
-by a map-side combined minimum and joined back, so a node with very many neighbours is neither
-collected nor held by one task alone. Rounds are written to the shared folder.
+by a map-side combined minimum and joined back; the edges of a node with very many neighbours
+stay where they are and get its minimum by broadcast, so such a node is neither collected nor
+held by one task. Rounds are written to the shared folder.
 
 Defined cases: self-loops and repeated edges change nothing; an empty edge table gives no rows.
 """
@@ -13,18 +14,23 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from littoral.llm.common import Scratch
+from littoral.llm import common
+from littoral.llm.common import Scratch, join_counts
 
 
-def _toward_least(edges: DataFrame, small: bool) -> DataFrame:
+def _toward_least(edges: DataFrame, small: bool, scratch: Scratch, spread: bool, name: str) -> DataFrame:
     """edges: (u, v). Large star: neighbours above u go to the least of u and all its neighbours;
-    small star: u and its lesser neighbours go to the least of them."""
+    small star: u and its lesser neighbours go to the least of them. ``spread``: a node may be hot."""
     if small:
         both = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     else:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    joined = both.join(least, "u")
+    if spread:
+        both = scratch.save(both, f"{name}-both")
+        least = scratch.save(both.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n")).select("u", F.least("u", "m").alias("m"), "n"), f"{name}-least")
+        joined = join_counts(both, least, "u")
+    else:
+        joined = both.join(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "u")
     if small:
         out = joined.select(F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v"))
     else:
@@ -35,16 +41,21 @@ def _toward_least(edges: DataFrame, small: bool) -> DataFrame:
 def components(edges: DataFrame, scratch: Scratch, name: str = "cc") -> DataFrame:
     """edges: (u long, v long). (node, root): root is the least node reachable; only nodes with an edge."""
     now = scratch.save(edges.select("u", "v").where("u != v").distinct(), f"{name}-0")
-    mark, turn = None, 0
+    turn, seen = 0, now.agg(F.count(F.lit(1))).first()[0]
+    mark = None
     while True:
         turn += 1
-        now = scratch.save(_toward_least(_toward_least(now, False), True), f"{name}-{turn}")
+        spread = seen > common.HOT_ROWS  # no node has more neighbours than there are edges
+        large = _toward_least(now, False, scratch, spread, f"{name}-{turn}-large")
+        now = scratch.save(_toward_least(large, True, scratch, spread, f"{name}-{turn}-small"), f"{name}-{turn}")
+        if spread:
+            scratch.drop(*(f"{name}-{turn}-{star}-{part}" for star in ("large", "small") for part in ("both", "least")))
         if turn > 1:
             scratch.drop(f"{name}-{turn - 1}")
-        seen = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if seen == mark:
+        seen, total = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        if (seen, total) == mark:
             break
-        mark = seen
+        mark = (seen, total)
     nodes = now.select(F.col("u").alias("node"), F.col("v").alias("root"))
     return nodes.unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("root"))).distinct()
 

@@ -5,7 +5,10 @@ In each run a node walks to the shingles that a hash shared by all nodes picks w
 ``1 / (threshold * size)``, so similar nodes meet with a constant probability. Buckets that are
 too large are split again on sampled coordinates of a 128-value signature, in repeated runs;
 a bucket that does not fall apart (most of it agrees) or is still large at the last level is
-compared whole, in tiles. The number of runs follows from the recall wanted.
+compared whole, in tiles. The number of runs follows from the recall wanted. A coordinate is the
+token of the set that is least under one of 128 hash functions, by one byte, so a further split is
+on sampled shared tokens too, without the sets at hand. Members of a bucket that very many share
+stay where they are and learn its size by broadcast.
 
 Buckets are compared by signature and give a spanning forest of the pairs that can reach the
 threshold, never all pairs. Within the components of that forest every pair is then compared
@@ -30,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from littoral.llm.common import Kept, Scratch, documents, giving_back, mix64, words
+from littoral.llm.common import Kept, Scratch, documents, giving_back, join_counts, mix64, words
 from littoral.llm.components import components, forest
 
 SHINGLE = 5
@@ -164,7 +167,7 @@ def _pairs(tiles: DataFrame, key: str) -> DataFrame:
 def _tiles(members: DataFrame, counts: DataFrame) -> DataFrame:
     """Candidate edges (u, v) of buckets compared whole. members: (path, node, size, sketch); counts: (path, n)."""
     # each tile holds a bounded number of nodes, whatever the bucket holds
-    dealt = members.join(counts, "path").withColumn("tiles", F.ceil(F.col("n") / TILE).cast("int"))
+    dealt = join_counts(members, counts, "path").withColumn("tiles", F.ceil(F.col("n") / TILE).cast("int"))
     dealt = dealt.withColumn("tile", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int"))
     tiles = dealt.groupBy("path", "tiles", "tile").agg(F.collect_list(F.struct("node", "size", "sketch")).alias("left"))
 
@@ -203,23 +206,23 @@ def _candidates(nodes: DataFrame, runs: int, scratch: Scratch) -> DataFrame:
     """Forest edges between nodes that may be similar. nodes: (node, size, sketch, paths)."""
     steps = nodes.select("node", F.explode("paths").alias("path"))
     counts = scratch.save(steps.groupBy("path").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "counts-1")
-    met = steps.join(counts.select("path"), "path", "left_semi")
+    met = join_counts(steps, counts, "path").drop("n")
     # (path, node) pairs first: signatures join only where a bucket has company
     members = scratch.save(met.join(nodes.select("node", "size", "sketch"), "node").select("path", "node", "size", "sketch"), "members-1")
-    edges = scratch.save(_tiles(members.join(counts.where(F.col("n") <= TILE), "path", "left_semi"), counts.where(F.col("n") <= TILE)), "edges-1")
+    edges = scratch.save(_tiles(members, counts.where(F.col("n") <= TILE)), "edges-1")
     for turn in range(2, LEVELS + 1):
         large = counts.where(F.col("n") > TILE)
         if large.isEmpty():
             return edges
-        level = members.join(large.select("path"), "path", "left_semi")
+        level = scratch.save(join_counts(members, large, "path").drop("n"), f"level-{turn}")
         children = scratch.save(_split(level, turn, runs), f"members-{turn}")
         sizes = scratch.save(children.groupBy("parent", "path").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), f"counts-{turn}")
-        whole = large.join(sizes.groupBy("parent").agg(F.max("n").alias("most")), F.col("path") == F.col("parent"), "left")
+        whole = large.join(sizes.groupBy("parent").agg(F.max("n").alias("most")), F.col("path") == F.col("parent"), "left")  # a row per bucket
         whole = scratch.save(whole.where(F.col("most") > F.col("n") / 2).select("path", "n"), f"whole-{turn}")  # most of it agrees
         rest = sizes.join(whole.select(F.col("path").alias("parent")), "parent", "left_anti").select("path", "n")
         now, last = children.select("path", "node", "size", "sketch"), turn == LEVELS
         fits = rest if last else rest.where(F.col("n") <= TILE)
-        found = _tiles(level.join(whole, "path", "left_semi"), whole).unionByName(_tiles(now.join(fits, "path", "left_semi"), fits))
+        found = _tiles(level, whole).unionByName(_tiles(now, fits))
         edges = edges.unionByName(scratch.save(found, f"edges-{turn}"))
         members, counts = now, rest
     return edges

@@ -8,7 +8,7 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(__file__))
 from fixtures import SCHEMA, odd_documents  # noqa: E402
-from littoral.llm import components, embeddings, jaccard  # noqa: E402
+from littoral.llm import common, components, embeddings, jaccard  # noqa: E402
 from littoral.llm.common import Scratch  # noqa: E402
 
 MORE, LARGER = "/root/testdata/sf0.01", "/root/testdata/sf0.1"
@@ -31,7 +31,9 @@ def classes(ids, links):
     return out
 
 
-def test_components_against_search(spark):
+@pytest.mark.parametrize("hot", [100_000, 40])
+def test_components_against_search(spark, monkeypatch, hot):
+    monkeypatch.setattr(common, "HOT_ROWS", hot)
     rng = np.random.default_rng(2)
     links = [(int(a), int(b)) for a, b in rng.integers(0, 300, (200, 2))] + [(1000 + i, 1001 + i) for i in range(60)] + [(2000, 2001 + i) for i in range(500)]
     edges = spark.createDataFrame(links, "u long, v long")
@@ -141,6 +143,7 @@ def test_jaccard_splits_large_buckets(spark, monkeypatch, tile):
     """Groups of near copies and a passage that all share, with buckets far larger than a tile."""
     monkeypatch.setattr(jaccard, "TILE", tile)
     monkeypatch.setattr(jaccard, "EXACT", 500)
+    monkeypatch.setattr(common, "HOT_ROWS", 60)
     rng = np.random.default_rng(6)
     passage = [f"p{i}" for i in range(12)]
     texts = {}
