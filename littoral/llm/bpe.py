@@ -134,12 +134,12 @@ class Cache:
         words, index, bounds = flat.dictionary, flat.indices.to_numpy(zero_copy_only=False), texts.offsets.to_numpy()
         bounds = bounds - bounds[0]
         found = pc.index_in(words, self.words).fill_null(-1).to_numpy(zero_copy_only=False)
-        starts, sizes = np.append(self.ends[:-1], 0), np.append(np.diff(self.ends), 0)  # the last is for no such word
+        size = np.where(found < 0, 0, self.ends[found + 1] - self.ends[found])[index]  # of each word, whether known or not
+        ends = np.append(0, np.cumsum(size))
+        ids = np.arange(ends[-1])
+        ids += np.repeat(self.ends[found][index] - ends[:-1], size)
+        ids = self.ids[ids]
         known = found[index]
-        size = sizes[known]
-        ends = np.cumsum(size)
-        ids = self.ids[np.repeat(starts[known] - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)]
-        ends = np.append(0, ends)
         gap = np.flatnonzero(known < 0)
         text = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))[gap]
         # runs end at gaps and at the ends of texts

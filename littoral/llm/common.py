@@ -29,7 +29,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 #: Rows and bytes of an Arrow batch, at most, so that the memory of Python workers does not depend on long texts.
-ARROW_ROWS, ARROW_BYTES = 2048, 16 << 20
+ARROW_ROWS, ARROW_BYTES = 1024, 8 << 20
 
 
 def small_batches(spark: SparkSession) -> None:
