@@ -11,6 +11,7 @@ sys.path.insert(0, os.path.dirname(__file__))
 import corpus_pipeline  # noqa: E402
 from fixtures import odd_documents  # noqa: E402
 from littoral.llm import secrets  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
 from test_native import BASE, filled  # noqa: E402
 from test_pairs import brute_texts, classes  # noqa: E402
 from test_text import TIKTOKEN  # noqa: E402
@@ -53,11 +54,17 @@ def test_pipeline_against_brute_force(spark):
         assert r.ids == TIKTOKEN.encode_ordinary(texts[r.doc_id]) and r.n_tokens == len(r.ids) and r.round_trip
 
 
+CLASHES = ("lang_pred", "score", "secret_spans", "live_hashes", "max_owners", "rate", "copies", "source_size", "node", "class_id", "stays", "found", "looked", "_d", "_k", "_sig", "_copy", "_source")
+
+
 def test_stages_keep_columns_and_odd_rows(spark):
     docs = odd_documents(spark)
+    docs = docs.select("*", *[F.concat_ws("-", F.lit(c), F.coalesce("doc_id", F.lit(0))).alias(c) for c in CLASHES])
     for name, stage in corpus_pipeline.STAGES[:-1]:
         out = stage(spark, docs, "")
         assert out.columns == docs.columns, name
+        for r in out.collect():
+            assert all(r[c] == f"{c}-{r.doc_id or 0}" for c in CLASHES), name
         assert stage(spark, docs.limit(0), "").count() == 0
     kept = {r.doc_id for r in corpus_pipeline.known_language(spark, docs, "").collect()}
     assert kept == {1, None, 4, 5, 6, 7, 8}
