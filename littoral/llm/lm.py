@@ -50,7 +50,7 @@ class Shape(NamedTuple):
     hashed: int = 256
     groups: int = 32
     hidden: int = 16
-    cached: int = 1 << 16
+    cached: int = 1 << 18
 
     @property
     def classes(self) -> int:
