@@ -20,9 +20,9 @@ STEPS = 25
 
 
 def counted(rows: DataFrame, keys: list[str], features: list[str], label: str, offset: str | None = None) -> DataFrame:
-    """One row per distinct keys, features and offset with the counts ``n`` and ``pos``."""
+    """One row per distinct keys, features and offset with the counts ``_n`` and ``_pos``."""
     same = [*keys, *features, *([offset] if offset else [])]
-    return rows.groupBy(*same).agg(F.count(F.lit(1)).alias("n"), F.sum(F.col(label).cast("long")).alias("pos"))
+    return rows.groupBy(*same).agg(F.count(F.lit(1)).alias("_n"), F.sum(F.col(label).cast("long")).alias("_pos"))
 
 
 def _linear(features: list[str], weights: Column, offset: str | None) -> Column:
@@ -32,14 +32,15 @@ def _linear(features: list[str], weights: Column, offset: str | None) -> Column:
 
 
 def group_logits(cells: DataFrame, group: str, features: list[str], offset: str | None = None, ridge: float = 1e-4, intercept_ridge: float = 0.0) -> dict:
-    """cells: (group, features, n, pos). Weights of each group, the intercept last; groups of one class have none.
+    """cells: (group, features, _n, _pos). Weights of each group, the intercept last; groups of one class have none.
 
     Minimises the log loss plus ``ridge / 2`` times the squared weights, by Newton's method with halved steps.
     """
     spark, size = cells.sparkSession, len(features) + 1
+    cells = cells.checkpoint()  # read by every step
     kind = cells.schema[group].dataType.simpleString()
     # one row per group
-    known = {r[group]: (r.n, r.pos) for r in cells.groupBy(group).agg(F.sum("n").alias("n"), F.sum("pos").alias("pos")).collect()}
+    known = {r[group]: (r._n, r._pos) for r in cells.groupBy(group).agg(F.sum("_n").alias("_n"), F.sum("_pos").alias("_pos")).collect()}
     weights = {g: np.zeros(size) for g, (n, pos) in known.items() if 0 < pos < n}
     penalty = np.array([ridge] * len(features) + [intercept_ridge])
     best: dict = {}
@@ -48,19 +49,19 @@ def group_logits(cells: DataFrame, group: str, features: list[str], offset: str
     for _ in range(4 * STEPS):
         if not todo:
             break
-        table = spark.createDataFrame([(g, [float(w) for w in weights[g]]) for g in todo], f"`{group}` {kind}, w array<double>")
-        at = cells.join(F.broadcast(table), group).withColumn("z", _linear(features, F.col("w"), offset)).withColumn("p", 1 / (1 + F.exp(-F.col("z"))))
+        table = spark.createDataFrame([(g, [float(w) for w in weights[g]]) for g in todo], f"`{group}` {kind}, _w array<double>")
+        at = cells.join(F.broadcast(table), group).withColumn("_z", _linear(features, F.col("_w"), offset)).withColumn("_p", 1 / (1 + F.exp(-F.col("_z"))))
         # log(1 + exp(z)) without overflow
-        loss = F.sum(F.col("n") * (F.greatest(F.col("z"), F.lit(0.0)) + F.log1p(F.exp(-F.abs("z")))) - F.col("pos") * F.col("z"))
-        curve = F.col("n") * F.col("p") * (1 - F.col("p"))
-        sums = [F.sum(a * (F.col("n") * F.col("p") - F.col("pos"))) for a in x] + [F.sum(curve * x[i] * x[j]) for i in range(size) for j in range(i, size)]
+        loss = F.sum(F.col("_n") * (F.greatest(F.col("_z"), F.lit(0.0)) + F.log1p(F.exp(-F.abs("_z")))) - F.col("_pos") * F.col("_z"))
+        curve = F.col("_n") * F.col("_p") * (1 - F.col("_p"))
+        sums = [F.sum(a * (F.col("_n") * F.col("_p") - F.col("_pos"))) for a in x] + [F.sum(curve * x[i] * x[j]) for i in range(size) for j in range(i, size)]
         for row in at.groupBy(group).agg(loss.alias("loss"), *[s.alias(f"s{i}") for i, s in enumerate(sums)]).collect():
             g, w = row[group], weights[row[group]]
             now = row.loss + float(penalty @ (w * w)) / 2
             if g in best and now > best[g][0] + 1e-12 * abs(now):  # too far: half the step
                 step[g] = step[g] / 2
                 weights[g] = best[g][1] - step[g]
-                if np.abs(step[g]).max() < 1e-12:
+                if np.abs(step[g]).max() < 1e-8:
                     weights[g] = best[g][1]
                     todo.discard(g)
                 continue
@@ -70,22 +71,22 @@ def group_logits(cells: DataFrame, group: str, features: list[str], offset: str
             hessian[np.triu_indices(size)] = [row[f"s{size + i}"] for i in range(size * (size + 1) // 2)]
             hessian = hessian + np.triu(hessian, 1).T + np.diag(penalty)
             step[g] = np.linalg.lstsq(hessian, grad, rcond=None)[0]
-            if np.abs(step[g]).max() < 1e-10:
+            weights[g] = w - step[g]
+            if grad @ step[g] <= 1e-10 * max(1.0, abs(now)):  # what is left to gain is lost in rounding
+                best[g] = (now, weights[g])
                 todo.discard(g)
-            else:
-                weights[g] = w - step[g]
     return {g: [float(v) for v in best[g][1]] for g in best}
 
 
 def weight_table(rows: DataFrame, weights: dict, group: str) -> DataFrame:
     kind = rows.schema[group].dataType.simpleString()
-    return rows.sparkSession.createDataFrame([(g, w) for g, w in weights.items()], f"`{group}` {kind}, w array<double>")
+    return rows.sparkSession.createDataFrame([(g, w) for g, w in weights.items()], f"`{group}` {kind}, _w array<double>")
 
 
 def with_probability(rows: DataFrame, weights: dict, group: str, features: list[str], offset: str | None = None) -> DataFrame:
     """``rows`` with ``p`` by the weights of their group; null where it has none."""
     table = weight_table(rows, weights, group)
-    return rows.join(F.broadcast(table), group, "left").withColumn("p", F.when(F.col("w").isNotNull(), expit(_linear(features, F.col("w"), offset)))).drop("w")
+    return rows.join(F.broadcast(table), group, "left").withColumn("p", F.when(F.col("_w").isNotNull(), expit(_linear(features, F.col("_w"), offset)))).drop("_w")
 
 
 def walk_forward_fits(rows: DataFrame, day: str, features: list[str], label: str, years: int = 4, ridge: float = 1e-4) -> DataFrame:
@@ -98,7 +99,7 @@ def walk_forward_fits(rows: DataFrame, day: str, features: list[str], label: str
     listed = F.array(*[F.lit(m) for m in months])
     cells = counted(rows, ["month"], features, label)
     window = F.filter(listed, lambda m: (m > F.col("month")) & (F.add_months(m, -12 * years) <= F.col("month")))
-    fits = group_logits(cells.withColumn("refit", F.explode(window)).drop("month").groupBy("refit", *features).agg(F.sum("n").alias("n"), F.sum("pos").alias("pos")), "refit", features, ridge=ridge)
+    fits = group_logits(cells.withColumn("refit", F.explode(window)).drop("month").groupBy("refit", *features).agg(F.sum("_n").alias("_n"), F.sum("_pos").alias("_pos")), "refit", features, ridge=ridge)
     return with_probability(rows, fits, "month", features)
 
 
@@ -107,7 +108,7 @@ def held_out_fits(rows: DataFrame, group: str, features: list[str], label: str,
     cells = counted(rows, [group], features, label)
     folds = [r[group] for r in cells.select(group).distinct().collect()]  # one row per fold
     other = F.filter(F.array(*[F.lit(g) for g in folds]), lambda g: g != F.col(group))
-    spread = cells.withColumn("fold", F.explode(other)).groupBy("fold", *features).agg(F.sum("n").alias("n"), F.sum("pos").alias("pos"))
+    spread = cells.withColumn("fold", F.explode(other)).groupBy("fold", *features).agg(F.sum("_n").alias("_n"), F.sum("_pos").alias("_pos"))
     fits = group_logits(spread, "fold", features, ridge=ridge)
     return with_probability(rows, fits, group, features)
 
@@ -130,14 +131,14 @@ class LevelCalibrator:
         if 0 in every:
             self.whole = (every[0][1], every[0][0])
         cells = counted(rows, [self.outer], ["l"], "y").where(F.col(self.outer).isNotNull())
-        sizes = cells.groupBy(self.outer).agg(F.sum("n").alias("rows"))
+        sizes = cells.groupBy(self.outer).agg(F.sum("_n").alias("rows"))
         enough = cells.join(sizes.where(F.col("rows") >= self.least[0]).select(self.outer), self.outer, "left_semi")
         fits = group_logits(enough, self.outer, ["l"], ridge=1.0)
         table = weight_table(rows, fits, self.outer).join(sizes, self.outer)
         weight = F.col("rows") / (F.col("rows") + self.strengths[0])
 
         def pooled(i: int, base: float) -> Column:
-            return F.lit(base) * (1 - weight) + F.get("w", F.lit(i)) * weight
+            return F.lit(base) * (1 - weight) + F.get("_w", F.lit(i)) * weight
 
         self.outers = table.select(self.outer, pooled(1, self.whole[0]).alias("outer_a"), pooled(0, self.whole[1]).alias("outer_b"), F.col("rows").alias("outer_n"))
         for i, name in enumerate([self.inner, self.last][: 2 if self.last else 1], 1):

@@ -438,6 +438,14 @@ def test_group_fits_against_plain_newton(spark):
         assert np.allclose(w, newton(own[:, :2], own[:, 2], own[:, 0] / 3), atol=1e-6)
 
 
+def test_fits_of_features_with_any_name(spark):
+    rows = fit_rows()
+    w = newton(np.array([r[2:4] for r in rows]), np.array([r[4] for r in rows]))
+    for a, b in (("p", "w"), ("z", "n"), ("pos", "loss"), ("month", "refit")):
+        df = spark.createDataFrame(rows, FIT_SCHEMA).select(F.lit(0).alias("g"), F.col("a").alias(a), F.col("b").alias(b), "y")
+        assert np.allclose(fits.group_logits(fits.counted(df, ["g"], [a, b], "y"), "g", [a, b])[0], w, atol=1e-6)
+
+
 def test_folds_and_months_are_fitted_on_other_rows(spark):
     rows = fit_rows()
     df = spark.createDataFrame(rows, FIT_SCHEMA)
