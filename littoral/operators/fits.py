@@ -113,6 +113,23 @@ def held_out_fits(rows: DataFrame, group: str, features: list[str], label: str,
     return with_probability(rows, fits, group, features)
 
 
+def scoped_fits(rows: DataFrame, scopes: list[str], features: list[str], label: str, least: int = 50, ridge: float = 1e-4) -> DataFrame:
+    """Logistic fits per scope, the finest first, and over all rows; a row is scored by the finest scope that has
+    ``least`` rows and both outcomes. Adds ``scope`` and ``p``."""
+    out = rows.withColumn("scope", F.lit(None).cast("string")).withColumn("p_scoped", F.lit(None).cast("double"))
+    for name in [*scopes, None]:
+        keyed, key = (out, name) if name else (out.withColumn("_all", F.lit(0)), "_all")
+        cells = counted(keyed.where(F.col(key).isNotNull()), [key], features, label)
+        enough = cells.groupBy(key).agg(F.sum("_n").alias("_rows")).where(F.col("_rows") >= (least if name else 1)).select(key)
+        weights = group_logits(cells.join(enough, key, "left_semi"), key, features, ridge=ridge)
+        table = weight_table(keyed, weights, key).withColumnRenamed("_w", "_own")
+        own = expit(_linear(features, F.col("_own"), None))
+        better = F.col("scope").isNull() & F.col("_own").isNotNull()
+        joined = keyed.join(F.broadcast(table), key, "left").withColumn("p_scoped", F.when(better, own).otherwise(F.col("p_scoped")))
+        out = joined.withColumn("scope", F.when(better, F.lit(name or "all")).otherwise(F.col("scope"))).select(*rows.columns, "scope", "p_scoped")
+    return out.withColumn("p", F.col("p_scoped")).drop("p_scoped")
+
+
 class LevelCalibrator:
     """M4: calibration of log-odds with partial pooling: county slope and intercept shrink to the whole, site and
     station intercepts to their county, by their rows.

@@ -209,7 +209,10 @@ def m01(spark, d):
     return rows.select("doc_id", F.round(model.probability(), 5).alias("probability"))
 
 
-@query("m03_isotonic")
+@query("m03_isotonic", f"""WITH {SCORED}, per AS (SELECT ROUND(p, 4) AS s, AVG(CAST(y AS INT)) AS m, COUNT(*) AS n FROM sc GROUP BY 1), ix AS (SELECT s, m, n, row_number() OVER (ORDER BY s) AS i, SUM(m * n) OVER (ORDER BY s) AS cy, SUM(n) OVER (ORDER BY s) AS cn FROM per),
+ b AS (SELECT j.i AS j, k.i AS k, (k.cy - j.cy + j.m * j.n) / (k.cn - j.cn + j.n) AS a FROM ix j JOIN ix k ON k.i >= j.i), lo AS (SELECT j, k, MIN(a) OVER (PARTITION BY j ORDER BY k DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS a FROM b), f AS (SELECT ix.s, MAX(lo.a) AS f FROM ix JOIN lo ON lo.j <= ix.i AND lo.k = ix.i GROUP BY 1),
+ t AS (SELECT MAX(f) AS top FROM f), st AS (SELECT MIN(s) AS start, ANY_VALUE(top) AS top FROM f, t WHERE f >= top - 1e-9), c AS (SELECT COUNT(*) AS n FROM sc, st WHERE p >= start), low AS (SELECT COALESCE((SELECT MAX(f) FROM f, t WHERE f < top - 1e-9), (SELECT top FROM t)) AS below)
+ SELECT doc_id, ROUND(CASE WHEN c.n < 20 THEN LEAST(f.f, below) ELSE f.f END, 5) AS calibrated FROM sc JOIN f ON f.s = ROUND(sc.p, 4), c, low""")
 def m03(spark, d):
     rows = scored(spark, d)
     knots = models.isotonic_knots(rows, "p", "y", 20)
@@ -248,7 +251,7 @@ def m14(spark, d):
     return models.leave_one_group_out(observations(spark, d), "method", "exceeds").select("method", "n", "pos", F.round("held_out_rate", 6).alias("held_out_rate"))
 
 
-@query("m15_stratified_part")
+@query("m15_stratified_part", f"WITH {SCORED}, n AS (SELECT lang, COUNT(*) AS n, CAST(ceil(COUNT(*) * 0.2::DOUBLE) AS BIGINT) AS k FROM sc GROUP BY 1) SELECT lang, 'calibration' AS part, k AS n FROM n UNION ALL SELECT lang, 'fit', n - k FROM n WHERE n > k")
 def m15(spark, d):
     r = models.stratified_part(scored(spark, d), ["lang"], "doc_id")
     return r.groupBy("lang", "part").agg(F.count(F.lit(1)).alias("n"))
@@ -269,7 +272,7 @@ def m19(spark, d):
     return rows.select("site", "day", F.round(models.routed(F.col("ratio"), F.lit(0.1), F.col("w")), 6).alias("routed"))
 
 
-@query("m20_drivers")
+@query("m20_drivers", f"WITH {SCORED} SELECT doc_id, array_to_string(list_transform(list_sort([{{'m': -abs(p * 1.5), 'n': 'p'}}, {{'m': -abs(p0 * -1.0), 'n': 'p0'}}, {{'m': -abs(toxic * 0.5::DOUBLE), 'n': 't'}}])[1:2], lambda x: x.n), ',') AS drivers FROM sc")
 def m20(spark, d):
     return scored(spark, d).withColumn("t", F.col("toxic").cast("double")).select("doc_id", F.array_join(models.drivers({"p": 1.5, "p0": -1.0, "t": 0.5}, 2), ",").alias("drivers"))
 

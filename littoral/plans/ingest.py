@@ -537,6 +537,12 @@ def m09(spark, d):
     return fits.station_residuals(rows, "source", "p", "y", ["p0", "toxic"]).select("doc_id", F.round("residual", 5).alias("residual"), F.round("corrected", 5).alias("corrected"))
 
 
+@query("m10_scoped_fits")
+def m10(spark, d):
+    rows = scored(spark, d).withColumns({"y": F.col("y").cast("int"), "x": F.col("p")}).select("doc_id", "source", "lang", "x", "p0", "y")
+    return fits.scoped_fits(rows, ["source", "lang"], ["x", "p0"], "y", 20).select("doc_id", "scope", F.round("p", 5).alias("p"))
+
+
 @query("m14_held_out_fits")
 def m14(spark, d):
     rows = scored(spark, d).withColumn("y", F.col("y").cast("int"))

@@ -446,6 +446,20 @@ def test_fits_of_features_with_any_name(spark):
         assert np.allclose(fits.group_logits(fits.counted(df, ["g"], [a, b], "y"), "g", [a, b])[0], w, atol=1e-6)
 
 
+def test_scoped_fits_fall_back(spark):
+    rows = [(*r[:2], "n0" if r[0] % 2 else "n1", *r[2:5]) for r in fit_rows()] + [(1000 + i, "few", "n0", float(i), 1.0, i % 2) for i in range(9)] + [(2000 + i, None, None, 1.0, 1.0, 1) for i in range(3)]
+    df = spark.createDataFrame(rows, "id int, g string, h string, a double, b double, y int")
+    got = {r.id: r for r in fits.scoped_fits(df, ["g", "h"], ["a", "b"], "y", 20).collect()}
+    assert len(got) == len(rows)
+    for scope, of in (("g", lambda r: r[1]), ("h", lambda r: r[2]), ("all", lambda r: 0)):
+        for r in rows[::29] + rows[-12:]:
+            if got[r[0]].scope == scope:
+                own = np.array([q[3:] for q in rows if of(q) == of(r)])
+                w = newton(own[:, :2], own[:, 2])
+                assert math.isclose(got[r[0]].p, 1 / (1 + math.exp(-(r[3] * w[0] + r[4] * w[1] + w[2]))), rel_tol=1e-5)
+    assert got[1003].scope == "h" and got[2000].scope == "all" and got[5].scope == "g"
+
+
 def test_folds_and_months_are_fitted_on_other_rows(spark):
     rows = fit_rows()
     df = spark.createDataFrame(rows, FIT_SCHEMA)
