@@ -183,6 +183,41 @@ def test_texts_survive_the_picture(spark):
         assert r.tail_crc32 == zlib.crc32(payload[-16:])
 
 
+def plain_hash(picture):
+    """The difference hash by the share of every pixel in every cell, pixel by pixel."""
+    from fractions import Fraction
+
+    height, width = len(picture), len(picture[0])
+    grey = [[0.299 * r + 0.587 * g + 0.114 * b for r, g, b in row] for row in picture]
+
+    def shares(n, cells):
+        return [[max(Fraction(0), min(Fraction(i + 1), Fraction((c + 1) * n, cells)) - max(Fraction(i), Fraction(c * n, cells))) for i in range(n)] for c in range(cells)]
+
+    down, across = shares(height, 8), shares(width, 9)
+    cell = [[sum(float(y * x) * grey[i][j] for i, y in enumerate(down[a]) if y for j, x in enumerate(across[b]) if x) * 72 / (height * width) for b in range(9)] for a in range(8)]
+    bits = "".join("1" if round(cell[a][b], 6) < round(cell[a][b + 1], 6) else "0" for a in range(8) for b in range(8))
+    return f"{int(bits, 2):016x}"
+
+
+def test_media_feature_against_plain_loops(spark):
+    import io
+
+    import numpy as np
+
+    texts = ["", "a short text", "two words " * 30, "é and ü " * 900, "the longest text of all, over several tiles " * 320]
+    rows = media.read_back(media.store_texts(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))).collect()
+    for r in rows:
+        raw = texts[r.doc_id].encode()
+        raw += b" " * (-len(raw) % 192 or (192 if not raw else 0))
+        pixels = [[tuple(raw[(y * 64 + x) * 3 : (y * 64 + x) * 3 + 3]) for x in range(64)] for y in range(len(raw) // 192)]
+        tiles = hashlib.sha256()
+        for at in range(0, len(pixels), 64):
+            part, out = pixels[at : at + 64], io.BytesIO()
+            np.save(out, np.array(part, np.uint8))
+            tiles.update(b"%d,0," % (at // 64) + out.getvalue() + plain_hash(part).encode())
+        assert r.feature == f"64x{len(pixels)}:{plain_hash(pixels)}:{tiles.hexdigest()[:16]}", r.doc_id
+
+
 def test_media_odd_rows_and_decoders(spark):
     import io
 
