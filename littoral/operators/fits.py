@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from littoral.functions.core import clip, expit, logit
+from littoral.session import cut
 
 STEPS = 25
 
@@ -37,7 +38,7 @@ def group_logits(cells: DataFrame, group: str, features: list[str], offset: str
     Minimises the log loss plus ``ridge / 2`` times the squared weights, by Newton's method with halved steps.
     """
     spark, size = cells.sparkSession, len(features) + 1
-    cells = cells.checkpoint()  # read by every step
+    cells = cut(cells)  # read by every step
     kind = cells.schema[group].dataType.simpleString()
     # one row per group
     known = {r[group]: (r._n, r._pos) for r in cells.groupBy(group).agg(F.sum("_n").alias("_n"), F.sum("_pos").alias("_pos")).collect()}

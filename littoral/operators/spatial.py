@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from littoral.functions.core import haversine_km
+from littoral.session import cut
 
 KM_PER_DEGREE = math.pi * 6371.0 / 180
 #: Half the way around the globe: no two places are further apart.
@@ -89,9 +90,9 @@ def nearest(left: DataFrame, right: DataFrame, left_id: str, right_id: str, most
     km = max(spacing * KM_PER_DEGREE, 0.01)
     while spacing:
         km = min(km, limit)
-        best = within_km(todo, right, km, lat, lon).groupBy(left_id).agg(F.min(F.struct("km", F.col(f"r_{right_id}").alias("id"))).alias("_m")).checkpoint()
+        best = cut(within_km(todo, right, km, lat, lon).groupBy(left_id).agg(F.min(F.struct("km", F.col(f"r_{right_id}").alias("id"))).alias("_m")))
         found = found.unionByName(best.select(left_id, F.col("_m.id").alias("_id"), F.col("_m.km").alias("_km")))
-        todo = todo.join(best.select(left_id), left_id, "left_anti").checkpoint()
+        todo = cut(todo.join(best.select(left_id), left_id, "left_anti"))
         if km >= limit or todo.isEmpty():
             break
         km *= 2
@@ -116,11 +117,11 @@ def neighbours(points: DataFrame, id_column: str, k: int, lat: str = "lat", lon:
         near = near.drop("_y", "_x").where(F.col(id_column) != F.col(other)).withColumn("d2", d2)
         whole = width >= 360  # every place is in reach
         near = near if whole else near.where(F.col("d2") <= width * width)
-        ranked = near.withColumn("place", F.row_number().over(Window.partitionBy(id_column).orderBy("d2", other))).where(F.col("place") <= k).checkpoint()
+        ranked = cut(near.withColumn("place", F.row_number().over(Window.partitionBy(id_column).orderBy("d2", other))).where(F.col("place") <= k))
         full = ranked.groupBy(id_column).agg(F.count(F.lit(1)).alias("n")).where(F.lit(whole) | (F.col("n") >= min(k, total - 1))).select(id_column)
         done = ranked.join(full, id_column, "left_semi")
         found = done if found is None else found.unionByName(done)
-        todo = todo.join(full, id_column, "left_anti").checkpoint()
+        todo = cut(todo.join(full, id_column, "left_anti"))
         if whole or todo.isEmpty():
             return found.select(id_column, lat, lon, other, f"r_{lat}", f"r_{lon}", "d2", "place")
         width *= 2
@@ -160,8 +161,8 @@ def parent_groups(points: DataFrame, id_column: str, group: str, km: float = 3.0
     """
     slim = points.select(id_column, group, "lat", "lon")
     pairs = within_km(slim, slim, km).where(F.col(group) == F.col(f"r_{group}"))
-    edges = pairs.select(F.col(id_column).alias("a"), F.col(f"r_{id_column}").alias("b")).where("a != b").checkpoint()
-    labels = points.select(F.col(id_column).alias("a"), F.col(id_column).alias("parent")).checkpoint()
+    edges = cut(pairs.select(F.col(id_column).alias("a"), F.col(f"r_{id_column}").alias("b")).where("a != b"))
+    labels = cut(points.select(F.col(id_column).alias("a"), F.col(id_column).alias("parent")))
     while True:
         spread = edges.join(labels.withColumnRenamed("a", "b"), "b").groupBy("a").agg(F.min("parent").alias("low"))
         near = labels.join(spread, "a", "left").select("a", F.col("parent").alias("old"), F.least("parent", F.coalesce("low", "parent")).alias("near"))
@@ -169,7 +170,7 @@ def parent_groups(points: DataFrame, id_column: str, group: str, km: float = 3.0
         through = near.groupBy(F.col("old").alias("a")).agg(F.min("near").alias("under"))
         pulled = near.join(through, "a", "left").select("a", "old", F.least("near", F.coalesce("under", "near")).alias("parent"))
         jump = pulled.select(F.col("a").alias("parent"), F.col("parent").alias("further"))
-        new = pulled.join(jump, "parent").select("a", F.least("parent", "further").alias("parent"), (F.least("parent", "further") < F.col("old")).alias("moved")).checkpoint()
+        new = cut(pulled.join(jump, "parent").select("a", F.least("parent", "further").alias("parent"), (F.least("parent", "further") < F.col("old")).alias("moved")))
         labels = new.drop("moved")
         if new.where("moved").isEmpty():
             return labels.withColumnRenamed("a", id_column)

@@ -11,6 +11,7 @@ from littoral import schemas, sinks
 from littoral.functions import core
 from littoral.operators import gates, metrics, models, serving
 from littoral.plans.registry import ADV, OBS, SCORED, SD, advisories, observations, query, scored, shared_path, site_day, table
+from littoral.session import cut
 from littoral.sources import readers
 
 NOW = datetime(2000, 6, 1)
@@ -551,7 +552,7 @@ def x02(spark, d):
         name, build = item
         try:
             # computed here, so that a builder that fails at run time stops itself only
-            extra = build(sd).checkpoint()
+            extra = cut(build(sd))
             return base.join(extra, "site", "left").withColumn(name, F.coalesce(name, F.lit(0)))
         except Exception:  # a plug-in must not stop the run
             return base.withColumn(name, F.lit(0))

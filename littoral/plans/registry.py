@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-import re
-import tempfile
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from littoral.functions.core import exceeds
+from littoral.session import shared_path  # noqa: F401  the queries' folders
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -30,17 +28,6 @@ def table(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
-def shared_path(spark: SparkSession, name: str) -> str:
-    """A new path in the cluster's shared folder; a local one only for a session without a cluster that names none."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not re.fullmatch(r"local(\[.*])?", spark.sparkContext.master):
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        root = "file://" + tempfile.mkdtemp(prefix="littoral-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 def observations(spark: SparkSession, d: str) -> DataFrame:
     """events as lab samples; errors play the molecular assay with its own threshold."""
     threshold = F.when(F.col("event_type") == "error", 120.0).otherwise(60.0)

@@ -2,7 +2,29 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import re
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+
+
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new path in the cluster's shared folder; a local one only for a session without a cluster that names none."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not re.fullmatch(r"local(\[.*])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        root = "file://" + tempfile.mkdtemp(prefix="littoral-")
+        spark.conf.set("spark.checkpoint.dir", root)
+    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """``df`` computed once and read back from the shared folder, which cuts its lineage and survives lost executors."""
+    path = shared_path(df.sparkSession, "cut")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def build_session(name: str = "littoral", **conf: str) -> SparkSession:
