@@ -197,7 +197,7 @@ class Codec:
         word below, so the least number is the leftmost pair of lowest rank.
         """
         id_mask, place_mask, below = F.lit(NONE).cast("long"), F.lit(((1 << PLACE_BITS) - 1) << ID_BITS).cast("long"), F.lit((1 << RANK_AT) - 1).cast("long")
-        none = F.lit(NONE << RANK_AT).cast("long")
+        none, gone = F.lit(NONE << RANK_AT).cast("long"), F.lit(-1).cast("long")
 
         def id_of(x: Column) -> Column:
             return x.bitwiseAND(id_mask)
@@ -212,9 +212,9 @@ class Codec:
             def changed(x: Column, i: Column) -> Column:
                 merged = ranked(rank, id_of(F.get(state, i + 2))).bitwiseOR(best.bitwiseAND(place_mask)).bitwiseOR(rank)
                 before = ranked(id_of(x), rank).bitwiseOR(x.bitwiseAND(below))
-                return F.when(x == best, merged).when(F.get(state, i + 1) == best, before).otherwise(x)
+                return F.when(x == best, merged).when(F.get(state, i + 1) == best, before).when(F.get(state, i - 1) == best, gone).otherwise(x)
 
-            return F.filter(F.transform(state, changed), lambda _, i: (i == 0) | (F.get(state, i - 1) != best))
+            return F.array_remove(F.transform(state, changed), gone)
 
         def everywhere(state: Column, best: Column) -> Column:
             """All pairs of lowest rank merged, from the left; only the first where one of them makes a pair of lower rank."""
