@@ -228,15 +228,6 @@ def s32(spark, d):
     return m.select("site", normalize.confidence(F.col("nearest_km")).alias("confidence"))
 
 
-@query("t02_late_data", "SELECT event_type, COUNT(*) AS n FROM events GROUP BY 1")
-def t02(spark, d):
-    """Late rows inside the watermark count."""
-    from littoral.plans.streams import _events, _table
-
-    s = _events(spark, d).withWatermark("ts", "60 days").groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
-    return _table(s, spark, "complete")
-
-
 @query("w17_collapse_physical")
 def w17b(spark, d):
     """Units of one physical sample across sources, within half an hour."""

@@ -29,6 +29,18 @@ def t01(spark, d):
     return _table(jobs.dedupe(s, ["user_id", "event_type", "day"], "ts", "60 days").select("user_id", "event_type", "day"), spark)
 
 
+@query("t02_late_data", """WITH e AS (SELECT *, event_id % 4 <> 3 AS early, CAST(ts AS DATE) + 1 AS until FROM events), w AS (SELECT MAX(ts) FILTER (event_id % 2 = 0) - INTERVAL 2 DAYS AS mark FROM e)
+ SELECT until, COUNT(*) FILTER (early OR until > mark) AS readings FROM e, w GROUP BY 1 HAVING COUNT(*) FILTER (early OR until > mark) > 0""")
+def t02(spark, d):
+    """A quarter of the rows comes after all others: those of days behind the watermark are too late and dropped."""
+    events, source, k = table(spark, d, "events"), shared_path(spark, "stream"), F.col("event_id") % 4
+    for part in (k % 2 == 0, k == 1, k == 3):
+        events.where(part).repartitionByRange(FILES, "ts").write.mode("append").parquet(source)
+    stream = jobs.parquet_stream(spark, source, events.schema, FILES).withColumn("ts", F.col("ts").cast("timestamp"))
+    counts = jobs.daily(stream.withColumn("all", F.lit(0)), "all", "ts", "value", "2 days", "0 hours")
+    return _table(counts, spark, "update").groupBy(F.to_date("until").alias("until")).agg(F.max("readings").alias("readings"))
+
+
 @query("t03_daily", "SELECT user_id, COUNT(*) AS readings, ROUND(SUM(value), 4) AS total FROM events GROUP BY 1, CAST(ts - INTERVAL 13 HOURS AS DATE)")
 def t03(spark, d):
     out = _table(jobs.daily(_events(spark, d), "user_id", "ts", "value", "60 days"), spark, "complete")
