@@ -21,6 +21,11 @@ KM_PER_DEGREE = math.pi * 6371.0 / 180
 FARTHEST_KM = 180 * KM_PER_DEGREE
 
 
+def cells(lat: Column, lon: Column, degrees: float) -> tuple[Column, Column]:
+    """Numbers of the square cells of a grid in degrees."""
+    return F.floor(lat / degrees).cast("long"), F.floor(lon / degrees).cast("long")
+
+
 def _bands(km: float) -> float:
     """Height of a band in degrees, a little more than the radius."""
     return km / KM_PER_DEGREE * 1.001
