@@ -236,11 +236,20 @@ def embedding_links(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFra
         ends = [f(F.col("box")[i]).alias(f"{f.__name__}{i}") for i in range(BOX) for f in (F.min, F.max)]
         rows = sorted(dealt.groupBy("leaf", "tile").agg(*ends).collect())  # as many rows as tiles
         low, high = (np.array([[r[f"{f}{i}"] for i in range(BOX)] for r in rows]) for f in ("min", "max"))
-        near = []
-        for i in range(len(rows)):
-            gap = np.maximum(0, np.maximum(low[i] - high[i:], low[i:] - high[i]))
-            near += [(rows[i].leaf, rows[i].tile, rows[i + j].leaf, rows[i + j].tile) for j in np.flatnonzero((gap**2).sum(1) <= 2 - 2 * threshold + 1e-9).tolist()]
-        pairs = scratch.save(spark.createDataFrame(near, "li int, ti int, lj int, tj int"), "pairs")
+        names = np.array([(r.leaf, r.tile) for r in rows], np.int32)
+        boxes = spark.sparkContext.broadcast((low, high, names))  # a box per tile
+
+        def partners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            low, high, names = boxes.value
+            for batch in batches:
+                for i in batch.column(0).to_pylist():
+                    gap = np.maximum(0, np.maximum(low[i] - high[i:], low[i:] - high[i]))
+                    j = i + np.flatnonzero((gap**2).sum(1) <= 2 - 2 * threshold + 1e-9)
+                    own = [np.full(len(j), x, np.int32) for x in names[i]]
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in (*own, names[j, 0], names[j, 1])], names=["li", "ti", "lj", "tj"])
+
+        numbers = spark.range(0, len(rows), 1, -(-len(rows) // 64))
+        pairs = scratch.save(numbers.mapInArrow(giving_back(partners), "li int, ti int, lj int, tj int"), "pairs")
         tiles = dealt.groupBy("leaf", "tile").agg(F.collect_list(F.struct("node", "copies", "embedding")).alias("side"))
         tiles = scratch.save(tiles, "tiles")
         key = ["li", "ti", "lj", "tj"]
