@@ -287,7 +287,7 @@ def score(docs: DataFrame, shape: Shape = Shape()) -> DataFrame:  # noqa: B008
     split = docs.select(*keep, words(F.lower("text")).alias("words"))
     coded = split.withColumn("ids", F.transform("words", vocabulary.number)).withColumn("row", F.monotonically_increasing_id())
     rest = F.filter("words", lambda w, i: F.get(F.col("ids"), i) >= shape.cached)
-    tokens = scratch.save(coded.withColumn("rest", F.when(F.exists("ids", lambda x: x >= shape.cached), rest)).drop("words"), "tokens")
+    tokens = scratch.save(coded.withColumn("rest", rest).drop("words"), "tokens")
     net = fit(tokens, vocabulary, scratch)
     model = spark.sparkContext.broadcast((net.flat, vocabulary.classes, vocabulary.shares, vocabulary.counts))
 
