@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from collections import deque
+from collections.abc import Iterator
 from functools import reduce
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -93,31 +95,40 @@ def collapse_physical(df: DataFrame, keys: list[str], time: str, value: str, sou
     Two rows of different sources are one sample if their values agree and they lie within
     ``minutes`` of the unit's first row; each unit holds a source at most once. Units form
     greedily in order of time and tie. Only rows of one value without a gap of more than ``minutes``
-    can be a unit, so these small clusters are what a task holds; those of one row or one source
-    never enter Python. Rows without a value are units of their own.
+    can be a unit, so clusters of one row or one source never enter Python; the others pass
+    through it in order, in one step a row. Rows without a value are units of their own.
     """
+    at = F.unix_micros(F.col(time).cast("timestamp"))
     w = Window.partitionBy(*keys, value).orderBy(time, tie)
-    gap = F.unix_micros(F.col(time).cast("timestamp")) - F.unix_micros(F.lag(time).over(w).cast("timestamp"))
-    marked = df.withColumn("_new", F.when(gap <= minutes * 60_000_000, 0).otherwise(1)).withColumn("_cluster", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    marked = df.withColumn("_new", F.when(at - F.lag(at).over(w) <= minutes * 60_000_000, 0).otherwise(1)).withColumn("_cluster", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
     own = Window.partitionBy(*keys, value, "_cluster")
     marked = marked.withColumn("_mixed", F.col(value).isNotNull() & (F.min(source).over(own) != F.max(source).over(own)))
-    alone = marked.where("not coalesce(_mixed, false)").drop("_new", "_cluster", "_mixed")
-    within, columns = pd.Timedelta(minutes=minutes), df.columns
-
-    def collapse(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values([time, tie], kind="stable").reset_index(drop=True)
-        units: list[tuple] = []  # first time, sources; only those that a later row can still join
-        kept = []
-        for i, (t, s) in enumerate(zip(rows[time], rows[source], strict=True)):
-            units = [u for u in units if t - u[0] <= within]
-            for unit in units:
-                if s not in unit[1]:
-                    unit[1].add(s)
-                    break
-            else:
-                units.append((t, {s}))
-                kept.append(i)
-        return rows.loc[kept, columns]
-
-    many = marked.where("_mixed").drop("_new", "_mixed").groupBy(*keys, value, "_cluster").applyInPandas(collapse, df.schema)
-    return alone.unionByName(many)
+    alone = marked.where("not coalesce(_mixed, false)").select(*df.columns)
+    within, columns = minutes * 60_000_000, df.columns
+
+    def collapse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Sources join a cluster's units in the order in which these began, so ``following``, the first unit
+        # that a source has not joined, tells which one a row joins; ``begun`` holds times of units in reach.
+        begun: deque[int] = deque()
+        following: dict = {}
+        gone = 0
+        for batch in batches:
+            kept = []
+            for new, t, s in zip(*(batch.column(c).to_pylist() for c in ("_new", "_at", source)), strict=True):
+                if new:
+                    begun.clear()
+                    following.clear()
+                    gone = 0
+                while begun and t - begun[0] > within:
+                    begun.popleft()
+                    gone += 1
+                unit = max(following.get(s, 0), gone)
+                following[s] = unit + 1
+                fresh = unit == gone + len(begun)
+                if fresh:
+                    begun.append(t)
+                kept.append(fresh)
+            yield batch.select(columns).filter(pa.array(kept, pa.bool_()))
+
+    many = marked.where("_mixed").withColumn("_at", at).repartition(*keys, value, "_cluster").sortWithinPartitions(*keys, value, "_cluster", time, tie)
+    return alone.unionByName(many.drop("_mixed", "_cluster").mapInArrow(collapse, df.schema))

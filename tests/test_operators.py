@@ -632,3 +632,26 @@ def test_can_be_like_never_rules_out_a_likeness(spark):
     df = spark.createDataFrame(pairs, "a array<string>, b array<string>").withColumn("can", entity._can_be_like(F.col("a"), F.col("b"), 70.0))
     rows = df.collect()
     assert all(r.can for r in rows if entity.token_set_ratio(r.a, r.b) >= 70) and not all(r.can for r in rows)
+
+
+def test_collapse_physical_carries_clusters_across_batches(spark):
+    """Clusters pass through Python in order, not one call each; a dense one takes a step a row."""
+    start = datetime(2026, 1, 1)
+    rows = [("k", start + timedelta(seconds=i // 3), float(c), "a" if i % 4 else "b", c * 100_000 + i) for c, n in ((0, 2_000), (1, 50)) for i in range(n)]
+    df = spark.createDataFrame(rows, "k string, t timestamp, v double, s string, id int")
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        out = dedupe.collapse_physical(df, ["k"], "t", "v", "s", "id", 90)
+        assert "FlatMapGroups" not in out._jdf.queryExecution().toString()
+        got = sorted(r.id for r in out.collect())
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    want = []
+    for c in (0.0, 1.0):
+        count = {"a": 0, "b": 0}  # no unit goes out of reach: a row is kept while its source leads
+        for r in (r for r in rows if r[2] == c):
+            count[r[3]] += 1
+            if count[r[3]] > max(n for s, n in count.items() if s != r[3]):
+                want.append(r[4])
+    assert got == want
