@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import pickle
+from collections.abc import Iterator
+from functools import reduce
 from multiprocessing.pool import ThreadPool
 
+import numpy as np
+import pandas as pd
 from pyspark.ml import Estimator, Model, Pipeline
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.clustering import KMeans
@@ -12,8 +17,10 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GeneralizedLinearRegression, IsotonicRegression
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from littoral.functions.core import clip, expit, through_knots
+from littoral.operators import boosting
 
 
 class OffsetLogit:
@@ -123,21 +130,62 @@ def baseline(features: list[str], label: str, kind: str = "logistic") -> Pipelin
     return Pipeline(stages=[*steps, last[kind]()])
 
 
+#: Distinct rows up to which an ensemble's member is fitted inside one task.
+DISTINCT_ROWS = 250_000
+
+
 def undersampled_ensemble(rows: DataFrame, features: list[str], label: str, draws: int = 12, ratio: float = 2.0, trees: int = 10) -> list:
-    """M6: boosted trees on all positives and a hash-drawn share of the negatives per draw."""
-    counts = {int(r[label]): r["count"] for r in rows.groupBy(F.col(label).cast("int").alias(label)).count().collect()}
+    """M6: boosted trees on all positives and a hash-drawn share of the negatives per draw.
+
+    A draw takes or leaves equal rows together, so a fit needs distinct rows and their counts: up to ``DISTINCT_ROWS``
+    of them a task fits a draw, beyond that Spark's distributed learner does.
+    """
+    names = [f"_f{i}" for i in range(len(features))]
+    slim = rows.select(*[F.col(c).cast("double").alias(n) for c, n in zip(features, names, strict=True)], F.col(label).cast("int").alias("_label"), *[F.col(c).alias(f"_r{i}") for i, c in enumerate(features)])
+    whole = [F.col(n).isNotNull() & ~F.isnan(n) for n in names]
+    counts = {int(r["_label"]): r["count"] for r in slim.groupBy("_label").count().collect()}
     share = min(1.0, ratio * counts.get(1, 0) / max(1, counts.get(0, 1)))
+
+    def drawn(d: int, columns: list[str]) -> Column:
+        return F.pmod(F.xxhash64(F.lit(d), *columns), F.lit(1 << 20)) / float(1 << 20) < share
+
+    raw = [f"_r{i}" for i in range(len(features))]
+    distinct = reduce(lambda df, c: df.where(c), whole, slim).groupBy(*names, "_label", *raw).agg(F.count(F.lit(1)).alias("_n"))
+    taken = distinct.select(*names, "_label", "_n", *[((F.col("_label") == 1) | drawn(d, raw)).alias(f"_d{d}") for d in range(draws)])
+    few = taken.limit(DISTINCT_ROWS + 1).toPandas()
+    if few.empty:
+        raise ValueError("an ensemble needs rows whose features are known")
+    if len(few) <= DISTINCT_ROWS:
+        x, y, n, chosen = few[names].to_numpy(float), few["_label"].to_numpy(), few["_n"].to_numpy(float), few[[f"_d{d}" for d in range(draws)]].to_numpy(bool)
+
+        def fit_draws(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                for d in batch["draw"]:
+                    k = chosen[:, d]
+                    yield pd.DataFrame({"draw": [d], "model": [pickle.dumps(vars(boosting.fit(x[k], y[k], n[k], trees)))]})
+
+        fitted = rows.sparkSession.range(0, draws, 1, draws).withColumnRenamed("id", "draw").mapInPandas(fit_draws, "draw long, model binary").collect()
+        return [boosting.BoostedTrees(**pickle.loads(r["model"])) for r in sorted(fitted, key=lambda r: r["draw"])]
     ready = VectorAssembler(inputCols=features, outputCol="_x", handleInvalid="skip").transform(rows)
 
     def fit(d: int):
-        u = F.pmod(F.xxhash64(F.lit(d), *features), F.lit(1 << 20)) / float(1 << 20)
-        return GBTClassifier(featuresCol="_x", labelCol=label, maxIter=trees, seed=d).fit(ready.where((F.col(label) == 1) | (u < share)))
+        return GBTClassifier(featuresCol="_x", labelCol=label, maxIter=trees, seed=d).fit(ready.where((F.col(label) == 1) | drawn(d, features)))
 
     with ThreadPool(4) as pool:  # draws do not depend on each other
         return pool.map(fit, range(draws))
 
 
 def ensemble_probability(models: list, rows: DataFrame, features: list[str]) -> DataFrame:
+    """``rows`` with the mean ``probability`` of the models."""
+    if all(isinstance(m, boosting.BoostedTrees) for m in models):
+
+        @F.pandas_udf(T.DoubleType())
+        def mean_probability(*columns: pd.Series) -> pd.Series:
+            x = np.column_stack([c.to_numpy(float, na_value=np.nan) for c in columns])
+            different, back = np.unique(x, axis=0, return_inverse=True)
+            return pd.Series(np.mean([m.probability(different) for m in models], axis=0)[back.reshape(-1)])
+
+        return rows.withColumn("probability", mean_probability(*[F.col(c).cast("double") for c in features]))
     out = VectorAssembler(inputCols=features, outputCol="_x", handleInvalid="keep").transform(rows)
     for i, m in enumerate(models):
         out = m.copy({m.predictionCol: f"_p{i}", m.rawPredictionCol: f"_r{i}", m.probabilityCol: f"_q{i}"}).transform(out)

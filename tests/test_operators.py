@@ -655,3 +655,17 @@ def test_collapse_physical_carries_clusters_across_batches(spark):
             if count[r[3]] > max(n for s, n in count.items() if s != r[3]):
                 want.append(r[4])
     assert got == want
+
+
+def test_ensemble_of_distinct_rows_is_sparks_learner(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    rows = [(float(a), float(b), int(rng.random() < (0.1 + 0.25 * (a > 20) + 0.3 * (b > 3)))) for a, b in zip(rng.integers(0, 60, 900), rng.integers(0, 7, 900), strict=True)]
+    df = spark.createDataFrame(rows, "a double, b double, y int")
+    jobs, fits = [], models.GBTClassifier
+    monkeypatch.setattr(models, "GBTClassifier", lambda **k: jobs.append(1) or fits(**k))
+    fast = models.ensemble_probability(models.undersampled_ensemble(df, ["a", "b"], "y", draws=2, trees=12, ratio=1.0), df, ["a", "b"])
+    got = {(r.a, r.b): r.probability for r in fast.collect()}
+    assert not jobs  # no job for each level of each tree
+    monkeypatch.setattr(models, "DISTINCT_ROWS", 10)
+    slow = models.ensemble_probability(models.undersampled_ensemble(df, ["a", "b"], "y", draws=2, trees=12, ratio=1.0), df, ["a", "b"])
+    assert len(jobs) == 2 and all(abs(got[r.a, r.b] - r.probability) < 1e-6 for r in slow.collect())
