@@ -68,9 +68,14 @@ def within_km(left: DataFrame, right: DataFrame, km: float, lat: str = "lat", lo
 
 
 def radius_features(left: DataFrame, right: DataFrame, id_column: str, km: float = 10.0, near: float = 1.0) -> DataFrame:
-    """Counts within two radii and the least distance; points without a neighbour get 0 and null."""
-    pairs = within_km(left, right, km)
-    per = pairs.groupBy(id_column).agg(F.count(F.lit(1)).alias("assets"), F.count_if(F.col("km") <= near).alias("assets_near"), F.min("km").alias("nearest_km"))
+    """Counts within two radii and the least distance; points without a neighbour get 0 and null.
+
+    Equal places act as one with their count, so pairs are those of different places.
+    """
+    spot = ["lat", "lon"]
+    pairs = within_km(left.select(*spot).distinct(), right.groupBy(*spot).agg(F.count(F.lit(1)).alias("n")), km)
+    per = pairs.groupBy(*spot).agg(F.sum("r_n").alias("_n"), F.sum(F.when(F.col("km") <= near, F.col("r_n")).otherwise(0)).alias("_near"), F.min("km").alias("_km"))
+    per = left.select(id_column, *spot).join(per, spot).groupBy(id_column).agg(F.sum("_n").alias("assets"), F.sum("_near").alias("assets_near"), F.min("_km").alias("nearest_km"))
     return left.join(per, id_column, "left").withColumns({"assets": F.coalesce("assets", F.lit(0)), "assets_near": F.coalesce("assets_near", F.lit(0))})
 
 

@@ -669,3 +669,31 @@ def test_ensemble_of_distinct_rows_is_sparks_learner(spark, monkeypatch):
     monkeypatch.setattr(models, "DISTINCT_ROWS", 10)
     slow = models.ensemble_probability(models.undersampled_ensemble(df, ["a", "b"], "y", draws=2, trees=12, ratio=1.0), df, ["a", "b"])
     assert len(jobs) == 2 and all(abs(got[r.a, r.b] - r.probability) < 1e-6 for r in slow.collect())
+
+
+def _pairs_read(df):
+    """The most rows that a join of the executed plan has put out."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    most, todo = 0, [plan]
+    while todo:
+        node = todo.pop()
+        if "Join" in node.nodeName():
+            most = max(most, node.metrics().apply("numOutputRows").value())
+        if node.nodeName() == "AdaptiveSparkPlan":
+            todo.append(node.executedPlan())
+        elif "QueryStage" in node.nodeName():
+            todo.append(node.plan())
+        todo += [node.children().apply(i) for i in range(node.children().size())]
+    return most
+
+
+def test_radius_counts_equal_places_once(spark):
+    spots = [(33.0, -118.0), (33.05, -118.0), (33.2, -118.0), (40.0, -118.0)]
+    left = spark.createDataFrame([(i, *spots[i % 4]) for i in range(400)] + [(400, None, None)], "id int, lat double, lon double")
+    right = spark.createDataFrame([(i, *spots[i % 3]) for i in range(300)], "id int, lat double, lon double")
+    df = spatial.radius_features(left, right, "id", 30.0, 10.0)
+    assert _pairs_read(df) <= 1000
+    want = {0: (300, 200), 1: (300, 200), 2: (300, 100), 3: (0, 0)}
+    for r in df.collect():
+        assert (r.assets, r.assets_near) == (want[r.id % 4] if r.id < 400 else (0, 0)) and (r.nearest_km is None) == (r.assets == 0)
