@@ -112,29 +112,37 @@ def nearest(left: DataFrame, right: DataFrame, left_id: str, right_id: str, most
 def neighbours(points: DataFrame, id_column: str, k: int, lat: str = "lat", lon: str = "lon") -> DataFrame:
     """(id, r_id, r_lat, r_lon, d2, place) of the k nearest others by squared difference in degrees, ties by id.
 
-    Square cells as wide as the search radius; the radius doubles for places with fewer than k others inside it.
+    The points of one spot share its k + 1 nearest points, less the point itself, and no spot gives more than its
+    k + 1 least ids, so only spots are compared. Square cells as wide as the search radius; the radius doubles for
+    spots with fewer points inside it.
     """
     points = points.select(id_column, lat, lon).where(F.col(lat).isNotNull() & F.col(lon).isNotNull())
-    other, width, d2 = f"r_{id_column}", _spacing(points, lat, lon) * math.sqrt(k + 1), None
-    todo, found, total = points, None, points.count()
-    right = points.select(*[F.col(c).alias(f"r_{c}") for c in (id_column, lat, lon)])
+    other, total = f"r_{id_column}", points.count()
+    least = points.withColumn("_r", F.row_number().over(Window.partitionBy(lat, lon).orderBy(id_column))).where(F.col("_r") <= k + 1).drop("_r")
+    right = cut(least.select(*[F.col(c).alias(f"r_{c}") for c in (id_column, lat, lon)]))
+    todo, found = right.select(F.col(f"r_{lat}").alias(lat), F.col(f"r_{lon}").alias(lon)).distinct(), None
+    width = _spacing(todo, lat, lon) * math.sqrt(k + 1)
     a, b = F.col(f"r_{lat}") - F.col(lat), F.col(f"r_{lon}") - F.col(lon)
-    d2 = a * a + b * b
     while True:
         cell = [F.floor(F.col(c) / width).cast("long") for c in (lat, lon)]
         spread = [F.explode(F.sequence(c - 1, c + 1)).alias(n) for c, n in zip(cell, ("_y", "_x"), strict=True)]
         near = todo.select("*", spread[0]).select("*", spread[1]).join(right.withColumns({"_y": F.floor(F.col(f"r_{lat}") / width).cast("long"), "_x": F.floor(F.col(f"r_{lon}") / width).cast("long")}), ["_y", "_x"])
-        near = near.drop("_y", "_x").where(F.col(id_column) != F.col(other)).withColumn("d2", d2)
+        near = near.drop("_y", "_x").withColumn("d2", a * a + b * b)
         whole = width >= 360  # every place is in reach
         near = near if whole else near.where(F.col("d2") <= width * width)
-        ranked = cut(near.withColumn("place", F.row_number().over(Window.partitionBy(id_column).orderBy("d2", other))).where(F.col("place") <= k))
-        full = ranked.groupBy(id_column).agg(F.count(F.lit(1)).alias("n")).where(F.lit(whole) | (F.col("n") >= min(k, total - 1))).select(id_column)
-        done = ranked.join(full, id_column, "left_semi")
+        ranked = cut(near.withColumn("_place", F.row_number().over(Window.partitionBy(lat, lon).orderBy("d2", other))).where(F.col("_place") <= k + 1))
+        full = ranked.groupBy(lat, lon).agg(F.count(F.lit(1)).alias("n")).where(F.lit(whole) | (F.col("n") >= min(k + 1, total))).select(lat, lon)
+        done = ranked.join(full, [lat, lon], "left_semi")
         found = done if found is None else found.unionByName(done)
-        todo = cut(todo.join(full, id_column, "left_anti"))
+        todo = cut(todo.join(full, [lat, lon], "left_anti"))
         if whole or todo.isEmpty():
-            return found.select(id_column, lat, lon, other, f"r_{lat}", f"r_{lon}", "d2", "place")
+            break
         width *= 2
+    lists = found.groupBy(lat, lon).agg(F.sort_array(F.collect_list(F.struct("_place", other, f"r_{lat}", f"r_{lon}", "d2"))).alias("_near"))
+    own = points.join(lists, [lat, lon])
+    others = F.slice(F.filter("_near", lambda x: x[other] != F.col(id_column)), 1, k)
+    out = own.select(id_column, lat, lon, F.posexplode(others).alias("_i", "_o"))
+    return out.select(id_column, lat, lon, *[F.col(f"_o.{c}").alias(c) for c in (other, f"r_{lat}", f"r_{lon}", "d2")], (F.col("_i") + 1).alias("place"))
 
 
 def resolve_conflicts(matches: DataFrame, target: str, distance: str, tie: str) -> DataFrame:

@@ -697,3 +697,19 @@ def test_radius_counts_equal_places_once(spark):
     want = {0: (300, 200), 1: (300, 200), 2: (300, 100), 3: (0, 0)}
     for r in df.collect():
         assert (r.assets, r.assets_near) == (want[r.id % 4] if r.id < 400 else (0, 0)) and (r.nearest_km is None) == (r.assets == 0)
+
+
+def test_neighbours_of_many_points_at_few_spots(spark, monkeypatch):
+    rng = np.random.default_rng(2)
+    spots = [(float(a), float(b)) for a, b in rng.normal(size=(12, 2)).round(1)] + [(50.0, 60.0)]
+    pts = [(i, *spots[min(12, int(x))]) for i, x in enumerate(rng.exponential(3, 400))] + [(900, -40.0, 10.0)]
+    rows, kept = [], spatial.cut
+    monkeypatch.setattr(spatial, "cut", lambda df: (out := kept(df), rows.append(out.count()))[0])
+    got = {}
+    for r in spatial.neighbours(spark.createDataFrame(pts, "id int, lat double, lon double"), "id", 5).collect():
+        got.setdefault(r.id, []).append((r.place, r.r_id, r.r_lat, r.r_lon, r.d2))
+    assert max(rows) <= 14 * 6  # rows of spots, not of points
+    for p in pts:
+        want = sorted((((q[1] - p[1]) ** 2 + (q[2] - p[2]) ** 2, q[0], q[1], q[2]) for q in pts if q[0] != p[0]))[:5]
+        assert [(i + 1, q[1], q[2], q[3]) for i, q in enumerate(want)] == [x[:4] for x in sorted(got[p[0]])]
+        assert np.allclose([q[0] for q in want], [x[4] for x in sorted(got[p[0]])])
