@@ -203,13 +203,17 @@ def uv_or_proxy(uv: Column, radiation: Column) -> tuple[Column, Column]:
 
 
 def history_tensor(df: DataFrame, keys: list[str], day: str, columns: list[str], length: int = 30, least: int = 3) -> DataFrame:
-    """A dense calendar of the ``length`` days before each row, oldest first; days without a row hold zeros."""
+    """A dense calendar of the ``length`` days before each row, oldest first; days without a row hold zeros.
+
+    ``history_days`` counts the days that have a row, whatever it holds.
+    """
     w = prior_days(keys, day, length)
     rows = F.collect_list(F.struct(day_number(F.col(day)).alias("d"), F.array(*[F.coalesce(F.col(c).cast("float"), F.lit(0.0).cast("float")) for c in columns]).alias("x"))).over(w)
     zeros = F.array(*[F.lit(0.0).cast("float")] * len(columns))
     out = df.withColumn("_h", rows).where(F.size("_h") >= least).withColumn("_now", day_number(F.col(day)))
     out = out.withColumn("_m", F.map_from_entries(F.transform("_h", lambda r: F.struct(F.col("_now") - r["d"], r["x"]))))
-    return out.withColumn("history", F.transform(F.sequence(F.lit(length), F.lit(1)), lambda k: F.coalesce(F.element_at("_m", k), zeros))).drop("_h", "_m", "_now")
+    history = F.transform(F.sequence(F.lit(length), F.lit(1)), lambda k: F.coalesce(F.element_at("_m", k), zeros))
+    return out.withColumns({"history": history, "history_days": F.size("_h").cast("long")}).drop("_h", "_m", "_now")
 
 
 def nearest_in_time(df: DataFrame, keys: list[str], time: str, now, columns: list[str]) -> DataFrame:

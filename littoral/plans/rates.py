@@ -131,9 +131,8 @@ def w13(spark, d):
  SELECT site, day, COUNT(*) AS rows, ROUND(SUM(CAST(value AS FLOAT)::DOUBLE * k), 2) AS checksum FROM h GROUP BY 1, 2 HAVING COUNT(*) >= 3""")
 def w14(spark, d):
     t = temporal.history_tensor(site_day(spark, d), ["site"], "day", ["value"])
-    filled = F.size(F.filter("history", lambda x: x[0] != 0)).cast("long")
     total = F.aggregate(F.transform("history", lambda x, i: x[0].cast("double") * (30 - i)), F.lit(0.0), lambda a, x: a + x)
-    return t.select("site", "day", filled.alias("rows"), F.round(total, 2).alias("checksum"))
+    return t.select("site", "day", F.col("history_days").alias("rows"), F.round(total, 2).alias("checksum"))
 
 
 @query("w16_keep_last", "SELECT o_custkey, o_orderkey, o_totalprice FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1")

@@ -713,3 +713,10 @@ def test_neighbours_of_many_points_at_few_spots(spark, monkeypatch):
         want = sorted((((q[1] - p[1]) ** 2 + (q[2] - p[2]) ** 2, q[0], q[1], q[2]) for q in pts if q[0] != p[0]))[:5]
         assert [(i + 1, q[1], q[2], q[3]) for i, q in enumerate(want)] == [x[:4] for x in sorted(got[p[0]])]
         assert np.allclose([q[0] for q in want], [x[4] for x in sorted(got[p[0]])])
+
+
+def test_history_counts_days_of_zero(spark, tmp_path):
+    rows = [(i, datetime(2024, 1, 1 + i, 9), 1, "view", v) for i, v in enumerate([0.0, 5.0, 0.0, 2.0, 7.0])]
+    spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double").write.parquet(f"{tmp_path}/events.parquet")
+    got = {r.day.day: (r.rows, r.checksum) for r in catalog.QUERIES["w14_history_tensor"](spark, str(tmp_path)).collect()}
+    assert got == {4: (3, 10.0), 5: (4, 17.0)}
