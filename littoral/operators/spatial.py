@@ -42,8 +42,8 @@ def _cell(lon: Column, count: Column) -> Column:
     return F.pmod(F.floor((lon + 180.0) / 360.0 * count).cast("long"), count)
 
 
-def within_km(left: DataFrame, right: DataFrame, km: float, lat: str = "lat", lon: str = "lon") -> DataFrame:
-    """Pairs within ``km``, with the distance ``km``. Right columns get the prefix ``r_``.
+def within_km(left: DataFrame, right: DataFrame, km: float, lat: str = "lat", lon: str = "lon", same: list[str] | None = None) -> DataFrame:
+    """Pairs within ``km`` that agree in the columns ``same``, with the distance ``km``. Right columns get the prefix ``r_``.
 
     A left place looks into the cells of its own band and both next to it that its circle can reach
     at its latitude, around the date line and, near a pole, all around; the exact distance decides.
@@ -64,7 +64,9 @@ def within_km(left: DataFrame, right: DataFrame, km: float, lat: str = "lat", lo
     b = right.select(*[F.col(c).alias(f"r_{c}") for c in right.columns]).withColumn("_band", F.floor(F.col(f"r_{lat}") / step).cast("long"))
     b = b.withColumn("_cell", _cell(F.col(f"r_{lon}"), _cells_of(F.col("_band"), km)))
     distance = haversine_km(F.col(lat), F.col(lon), F.col(f"r_{lat}"), F.col(f"r_{lon}"))
-    return a.join(b, ["_band", "_cell"]).withColumn("km", distance).where(F.col("km") <= km).drop("_band", "_cell")
+    agree = [f"_same{i}" for i in range(len(same or []))]
+    a, b = (side.withColumns({n: F.col(prefix + c) for n, c in zip(agree, same or [], strict=True)}) for side, prefix in ((a, ""), (b, "r_")))
+    return a.join(b, ["_band", "_cell", *agree]).withColumn("km", distance).where(F.col("km") <= km).drop("_band", "_cell", *agree)
 
 
 def radius_features(left: DataFrame, right: DataFrame, id_column: str, km: float = 10.0, near: float = 1.0) -> DataFrame:
@@ -175,12 +177,17 @@ def parent_groups(points: DataFrame, id_column: str, group: str, km: float = 3.0
     """Connected places within ``km`` of each other inside a group: (id, parent), the parent being the least id.
 
     A round takes the least label among a place and its neighbours, then the label of that label, so
-    chains shorten by half; it ends when a round changes nothing. Rounds are checkpointed.
+    chains shorten by half; it ends when a round changes nothing. Rounds are checkpointed. A group's
+    points at one spot are one node; a point without a place or a group is its own parent.
     """
-    slim = points.select(id_column, group, "lat", "lon")
-    pairs = within_km(slim, slim, km).where(F.col(group) == F.col(f"r_{group}"))
+    known = F.lit(True)
+    for c in ("lat", "lon"):
+        known = known & F.col(c).isNotNull() & ~F.isnan(c)
+    placed = points.where(known & F.col(group).isNotNull())
+    spots = cut(placed.groupBy(group, "lat", "lon").agg(F.min(id_column).alias(id_column)))
+    pairs = within_km(spots, spots, km, same=[group])
     edges = cut(pairs.select(F.col(id_column).alias("a"), F.col(f"r_{id_column}").alias("b")).where("a != b"))
-    labels = cut(points.select(F.col(id_column).alias("a"), F.col(id_column).alias("parent")))
+    labels = cut(spots.select(F.col(id_column).alias("a"), F.col(id_column).alias("parent")))
     while True:
         spread = edges.join(labels.withColumnRenamed("a", "b"), "b").groupBy("a").agg(F.min("parent").alias("low"))
         near = labels.join(spread, "a", "left").select("a", F.col("parent").alias("old"), F.least("parent", F.coalesce("low", "parent")).alias("near"))
@@ -191,7 +198,10 @@ def parent_groups(points: DataFrame, id_column: str, group: str, km: float = 3.0
         new = cut(pulled.join(jump, "parent").select("a", F.least("parent", "further").alias("parent"), (F.least("parent", "further") < F.col("old")).alias("moved")))
         labels = new.drop("moved")
         if new.where("moved").isEmpty():
-            return labels.withColumnRenamed("a", id_column)
+            break
+    found = spots.join(labels.withColumnRenamed("a", id_column), id_column).drop(id_column)
+    grouped = placed.select(id_column, group, "lat", "lon").join(found, [group, "lat", "lon"]).select(id_column, "parent")
+    return grouped.unionByName(points.where(~known | F.col(group).isNull()).select(id_column, F.col(id_column).alias("parent")))
 
 
 def parents(points: DataFrame, id_column: str, group: str, name: str, status: str, km: float = 3.0) -> DataFrame:

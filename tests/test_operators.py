@@ -720,3 +720,16 @@ def test_history_counts_days_of_zero(spark, tmp_path):
     spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double").write.parquet(f"{tmp_path}/events.parquet")
     got = {r.day.day: (r.rows, r.checksum) for r in catalog.QUERIES["w14_history_tensor"](spark, str(tmp_path)).collect()}
     assert got == {4: (3, 10.0), 5: (4, 17.0)}
+
+
+def test_parents_link_spots_not_points(spark, monkeypatch):
+    spots = [(33.0, -118.0), (33.02, -118.0), (33.04, -118.0), (33.5, -118.0)]
+    rows = [(1000 - i, i // 4 % 2, *spots[i % 4]) for i in range(400)] + [(2000, 0, None, -118.0), (2001, 0, None, -118.0), (2002, None, *spots[0]), (2003, None, *spots[0]), (2004, 0, float("nan"), -118.0)]
+    most, kept = [], spatial.cut
+    monkeypatch.setattr(spatial, "cut", lambda df: (out := kept(df), most.append(out.count()))[0])
+    got = {r.id: r.parent for r in spatial.parent_groups(spark.createDataFrame(rows, "id int, g int, lat double, lon double"), "id", "g", 3.0).collect()}
+    assert max(most) <= 8  # nodes and links of four spots in two groups
+    together = {}
+    for i, g, lat, _ in rows[:400]:
+        together.setdefault((g, lat == 33.5), []).append(i)
+    assert got == {i: min(ids) for ids in together.values() for i in ids} | {i: i for i in range(2000, 2005)}
