@@ -33,6 +33,12 @@ def finite(c: Column) -> Column:
     return F.when(~F.isnan(c) & (F.abs(c) < float("inf")), c)
 
 
+def round_scaled(c: Column, places: int) -> Column:
+    """Rounded as SQL engines do, the scaled double half away from zero; Spark rounds the shortest decimal. Doubles only."""
+    scale = float(10**places)
+    return F.coalesce(finite(F.round(c * scale, 0) / scale), c)
+
+
 def clean_text(c: Column) -> Column:
     """Trimmed text; tokens that stand for nothing become null."""
     t = F.trim(c)

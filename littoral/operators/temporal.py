@@ -168,17 +168,25 @@ def window_to_cutoff(readings: DataFrame, key: str, time: str, value: str, cutof
     """Sums, means and maxima over the hours before each day's cutoff, half-open [cutoff - h, cutoff).
 
     Each reading names the days whose longest window holds it, so readings meet days on equal
-    keys; cutoffs (one row per day) must be shared by all keys and hold a column ``day``.
+    keys; cutoffs (a calendar, one row per day) must be shared by all keys and hold a column ``day``.
+    Values are added in the order of time, equal times by value: a sum of doubles depends on its
+    order, so results do not depend on how the readings are split. One task reads a key's window
+    of one day, in running sums; its sort and its rows go to disk where they outgrow memory.
     """
     longest = max(hours)
     span = -(-longest // 24) + 1
     named = readings.select(key, F.col(time).alias("_t"), F.col(value).alias("_v"), F.explode(F.sequence(F.lit(0), F.lit(span))).alias("_k")).withColumn("day", F.date_add(F.to_date("_t"), F.col("_k")))
-    joined = named.join(cutoffs, "day").where((F.col("_t") < F.col(cutoff)) & (F.col("_t") >= F.col(cutoff) - F.expr(f"INTERVAL {longest} HOURS")))
+    since = {h: F.col("_t") >= F.col(cutoff) - F.expr(f"INTERVAL {h} HOURS") for h in hours}
+    joined = named.join(F.broadcast(cutoffs), "day").where((F.col("_t") < F.col(cutoff)) & since[longest])
+    rows = joined.select(key, "day", "_t", "_v", *[F.when(since[h], F.col("_v")).alias(f"_{h}") for h in hours if h != longest])
+    order = Window.partitionBy(key, "day").orderBy("_t", "_v")
+    run = order.rowsBetween(Window.unboundedPreceding, 0)
     aggs = []
     for h in hours:
-        inside = F.when(F.col("_t") >= F.col(cutoff) - F.expr(f"INTERVAL {h} HOURS"), F.col("_v"))
-        aggs += [F.coalesce(F.sum(inside), F.lit(0.0)).alias(f"sum_{h}h"), F.avg(inside).alias(f"mean_{h}h"), F.max(inside).alias(f"max_{h}h")]
-    return joined.groupBy(key, "day").agg(F.max_by("_v", "_t").alias("latest"), F.count("_v").alias("readings"), *aggs)
+        v = "_v" if h == longest else f"_{h}"
+        aggs += [F.coalesce(F.sum(v).over(run), F.lit(0.0)).alias(f"sum_{h}h"), F.avg(v).over(run).alias(f"mean_{h}h"), F.max(v).over(run).alias(f"max_{h}h")]
+    rows = rows.select(key, "day", F.col("_v").alias("latest"), F.count("_v").over(run).alias("readings"), *aggs, F.lead(F.lit(1)).over(order).alias("_next"))
+    return rows.where("_next is null").drop("_next")
 
 
 def prior_by_difference(df: DataFrame, long: int, short: int, name: str) -> DataFrame:

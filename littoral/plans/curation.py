@@ -157,7 +157,7 @@ def a07(spark, d):
     o = observations(spark, d)
     cuts = o.select("day").distinct().withColumn("cut", F.col("day").cast("timestamp_ntz") + F.expr("INTERVAL 13 HOURS"))
     r = temporal.window_to_cutoff(o, "site", "ts", "value", cuts, "cut", [6, 72])
-    return r.select("site", "day", F.round("mean_72h", 6).alias("mean_72h"), F.round("mean_6h", 6).alias("mean_6h"), F.coalesce(F.col("mean_6h") > F.col("mean_72h"), F.lit(False)).alias("rising"))
+    return r.select("site", "day", *[core.round_scaled(F.col(c), 6).alias(c) for c in ("mean_72h", "mean_6h")], F.coalesce(F.col("mean_6h") > F.col("mean_72h"), F.lit(False)).alias("rising"))
 
 
 @query("m10_scoped_rate", f"""WITH {SCORED}, s AS (SELECT source, lang, COUNT(*) n, AVG(CAST(y AS INT)) r FROM sc GROUP BY 1, 2), l AS (SELECT lang, COUNT(*) n, AVG(CAST(y AS INT)) r FROM sc GROUP BY 1), g AS (SELECT AVG(CAST(y AS INT)) r FROM sc) SELECT source, lang, ROUND(CASE WHEN s.n >= 8 THEN s.r WHEN l.n >= 20 THEN l.r ELSE g.r END, 6) AS rate, CASE WHEN s.n >= 8 THEN 'source' WHEN l.n >= 20 THEN 'lang' ELSE 'global' END AS scope FROM s JOIN l USING (lang), g""")

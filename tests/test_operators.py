@@ -733,3 +733,30 @@ def test_parents_link_spots_not_points(spark, monkeypatch):
     for i, g, lat, _ in rows[:400]:
         together.setdefault((g, lat == 33.5), []).append(i)
     assert got == {i: min(ids) for ids in together.values() for i in ids} | {i: i for i in range(2000, 2005)}
+
+
+@pytest.mark.parametrize("parts", [1, 3, 7])
+def test_window_to_cutoff_adds_in_the_order_of_time(spark, parts):
+    """1e16 - 1e16 + 1 is 1 and 1e16 + 1 - 1e16 is 0: the order of time decides, not the order or the split of the rows."""
+    at = lambda day, hour: datetime(2024, 1, day, hour)
+    data = [("a", at(2, 12), 1.0), ("a", at(2, 8), 1e16), ("a", at(2, 10), -1e16), ("a", at(2, 11), None), ("a", at(2, 13), 5.0), ("a", None, 9.0), ("b", at(2, 7), 2.0), ("b", at(2, 6), 4.0), ("c", at(2, 9), None)]
+    cuts = spark.createDataFrame([(date(2024, 1, d), at(d, 13)) for d in (2, 3, 5)], "day date, cut timestamp_ntz")
+    readings = spark.createDataFrame(data, "s string, t timestamp_ntz, v double").repartition(parts, "v")
+    got = {(r.s, r.day.day): (r.latest, r.readings, r.sum_6h, r.mean_6h, r.max_6h, r.sum_72h, r.mean_72h, r.max_72h) for r in temporal.window_to_cutoff(readings, "s", "t", "v", cuts, "cut", [6, 72]).collect()}
+    assert got == {
+        ("a", 2): (1.0, 3, 1.0, 1 / 3, 1e16, 1.0, 1 / 3, 1e16), ("a", 3): (5.0, 4, 0.0, None, None, 6.0, 1.5, 1e16), ("a", 5): (5.0, 1, 0.0, None, None, 5.0, 5.0, 5.0),
+        ("b", 2): (2.0, 2, 2.0, 2.0, 2.0, 6.0, 3.0, 4.0), ("b", 3): (2.0, 2, 0.0, None, None, 6.0, 3.0, 4.0), ("c", 2): (None, 0, 0.0, None, None, 0.0, None, None), ("c", 3): (None, 0, 0.0, None, None, 0.0, None, None),
+    }
+
+
+def test_round_scaled_equals_sql(spark):
+    """Ties at the seventh decimal as the SQL rounds them, the scaled double half away from zero; nulls and values without a finite scaled double stay."""
+    import duckdb
+
+    values = [k + (2 * j + 1) / 2e6 for k in (0, 1, 7, 55, 1000) for j in range(0, 900, 7)] + [x / 32 + 0.01 for x in range(50)] + [0.0, 1e300, 1e305, 0.49999999999999994e-6]
+    values += [-x for x in values] + [math.inf, -math.inf, None]
+    con = duckdb.connect()
+    want = [con.execute("SELECT round(?::DOUBLE, 6)", [x]).fetchone()[0] for x in values]
+    rows = spark.createDataFrame(list(enumerate(values)), "i int, x double").select("i", core.round_scaled(F.col("x"), 6).alias("y")).orderBy("i")
+    assert [r.y for r in rows.collect()] == want
+    assert math.isnan(one(spark, core.round_scaled(F.lit(math.nan), 6)))

@@ -47,3 +47,17 @@ def test_equal_to_sql(spark, duck, name):
 @pytest.mark.parametrize("name", sorted(set(catalog.QUERIES) - set(catalog.ORACLE_SQL)))
 def test_runs(spark, name):
     assert catalog.QUERIES[name](spark, SF).count() > 0
+
+
+@pytest.mark.parametrize("copies", [20, 60])
+def test_rising_flow_adds_in_the_order_of_time(spark, tmp_path, copies):
+    """Copies a little later make equal means that only the order of their sums tells apart, and means that end in a 5; one thread of the SQL adds in time order."""
+    con = duckdb.connect(config={"threads": 1})
+    con.execute("SET TimeZone = 'UTC'")
+    rows = f"SELECT event_id + k * 1000 AS event_id, ts + k * INTERVAL 977 SECONDS AS ts, user_id, event_type, value, props FROM range({copies}) r(k), '/root/testdata/sf0.001/events.parquet'"
+    con.execute(f"COPY ({rows} ORDER BY hash(event_id * 7 + k)) TO '{tmp_path}/events.parquet'")
+    con.execute(f"CREATE VIEW events AS FROM '{tmp_path}/events.parquet'")
+    got = {(r.site, r.day): (r.mean_72h, r.mean_6h, r.rising) for r in catalog.QUERIES["a07_rising_flow"](spark, str(tmp_path)).collect()}
+    want = {(site, day): rest for site, day, *rest in con.execute(f"SELECT site, day, mean_72h, mean_6h, rising FROM ({catalog.ORACLE_SQL['a07_rising_flow']})").fetchall()}
+    assert got.keys() == want.keys() and len(got) > 100
+    assert [k for k in got if got[k] != tuple(want[k])] == []
